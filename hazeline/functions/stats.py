@@ -82,7 +82,7 @@ def t_quantile_column(p: float, dof: Column) -> Column:
     g3 = (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384
     v = dof.cast("double")
     expansion = F.lit(z) + F.lit(g1) / v + F.lit(g2) / (v * v) + F.lit(g3) / (v * v * v)
-    table = F.lit(list(t_table(p)))
+    table = F.expr("array(" + ", ".join(f"{q!r}D" for q in t_table(p)) + ")")
     return F.when(
         dof.between(1, TABLE_SIZE), F.get(table, dof.cast("int") - 1)
     ).when(dof > TABLE_SIZE, expansion)

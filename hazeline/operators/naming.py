@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.fixed_values import (
@@ -58,6 +58,16 @@ def limit_column(name: Column, limit_names: Sequence[str], rules=LIMIT_RULES_FUL
     return choice
 
 
+def with_limit_names(
+    df: DataFrame, name: str, limit_names: Sequence[str], out: str, rules=LIMIT_RULES_FULL
+) -> DataFrame:
+    """Adds the limit name of each row's value name: worked out once per distinct name."""
+    names = df.select(name).distinct().withColumn(
+        out, limit_column(F.col(name), limit_names, rules)
+    )
+    return df.join(names, name, "left")
+
+
 def _containing(names: Column, fragment: Column) -> Column:
     return F.filter(names, lambda name: F.contains(name, fragment))
 

@@ -34,8 +34,7 @@ ORDER = ["path", "row_no"]
 
 def integrated_long(grids: DataFrame, samplers: DataFrame | None, fraction: str) -> DataFrame:
     """2010+ sheets: sampler and medium in the names, blanks by sample type."""
-    found, _ = G.grids_with_header(grids)
-    named = G.sheet_names(found, samplers)
+    named = G.sheet_names(G.with_grid_header(grids), samplers)
     rows = G.observations(named, "sampling_date", True, ["path", "station", "sheet"])
     return G.measures_long(
         rows.select(
@@ -74,8 +73,7 @@ def speciation_long(grids: DataFrame, header_dict: DataFrame) -> DataFrame:
 
     ``header_dict``: (file_type, old_name, new_name, new_file_type).
     """
-    found, _ = G.grids_with_header(grids)
-    named = G.sheet_names(found)
+    named = G.sheet_names(G.with_grid_header(grids))
     rows = G.observations(named, "date", False, ["path", "station", "file_type"])
     media = F.when((F.col("file_type") == "NA") & (F.col("media") == "y"), "C").otherwise(F.col("media"))
     # ICPMS rows need a fraction; WICPMS only where the file has one; others are fine.
@@ -145,8 +143,7 @@ def mass_file_long(
 
     Dichotomous files keep the first row of a station and date.
     """
-    found, _ = G.grids_with_header(grids)
-    named = G.sheet_names(found)
+    named = G.sheet_names(G.with_grid_header(grids))
     rows = G.observations(named, "date", False, ["path", "station"]).where(
         F.col("c_f") == fraction
     )

@@ -303,6 +303,5 @@ def lookup_rule_cascade(spark, sf):
         ),
         F.replace(F.col("p_name"), F.lit(" "), F.lit("_")), F.lit("_"), F.lower("p_type"),
     )
-    return table(spark, sf, "part").select("p_partkey", name.alias("value_name")).withColumn(
-        "mdl", N.limit_column(F.col("value_name"), LIMITS)
-    )
+    parts = table(spark, sf, "part").select("p_partkey", name.alias("value_name"))
+    return N.with_limit_names(parts, "value_name", LIMITS, "mdl")

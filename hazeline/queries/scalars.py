@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from hazeline.functions import dates as D
 from hazeline.functions import numeric as N
 from hazeline.functions import text as X
-from hazeline.queries.base import query, r, table, text_date
+from hazeline.queries.base import query, r, table
 from hazeline.sources.provenance import path_parts
 
 
@@ -259,7 +259,7 @@ def scalar_parenthesised(spark, sf):
     """
     select o_orderkey, cast(ceil(o_totalprice / 1000) as bigint) + 3 as axis_max,
       round_even(o_totalprice / 1000, 0) as whole, round(sqrt(o_totalprice), 6) as root,
-      round(abs(0.5 - o_totalprice / 500000), 6) as distance
+      round(abs(0.5 - o_totalprice / 500000), 9) as distance
     from orders
     """,
 )
@@ -270,5 +270,5 @@ def scalar_rounding(spark, sf):
         (F.ceil(price / 1000) + 3).alias("axis_max"),
         F.bround(price / 1000, 0).alias("whole"),
         r(F.sqrt(price)).alias("root"),
-        r(F.abs(0.5 - price / 500000)).alias("distance"),
+        r(F.abs(0.5 - price / 500000), 9).alias("distance"),
     )

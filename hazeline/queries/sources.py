@@ -36,10 +36,13 @@ def src_ragged_csv(spark, sf):
     return df.select("o_orderkey", *[F.get("cells", F.lit(i)).alias(f"v{i + 1}") for i in range(5)])
 
 
+def words(line):
+    return F.split(line, " ")
+
+
 def document_grids(spark, sf):
-    """Every document as a sheet: lines as rows, words as cells."""
-    rows = F.transform(F.split("text", "\n"), lambda line: F.split(line, " "))
-    return table(spark, sf, "documents").select("doc_id", rows.alias("rows"))
+    """Every document as a sheet: words as cells."""
+    return table(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("lines"))
 
 
 LINES = """
@@ -57,7 +60,7 @@ LINES = """
     """,
 )
 def src_raw_grid(spark, sf):
-    return G.grid_rows(document_grids(spark, sf)).select(
+    return G.grid_rows(document_grids(spark, sf), words).select(
         "doc_id", "row_no", F.get("cells", F.lit(0)).alias("first_cell"),
         F.size("cells").alias("n_cells"),
     )
@@ -88,27 +91,23 @@ HEADER_SQL = (
     HEADER_SQL
     + """
     , z as (select doc_id, row_no, unnest(range(1, least(len(hd), len(cs)) + 1)) as pos, hd, cs from s)
-    select doc_id, lower(hd[pos]) as col_name, count(*) as n_values, min(cs[pos]) as least
+    select doc_id, lower(hd[pos]) as col_name, count(*) as n_values, sum(length(cs[pos])) as n_chars
     from z group by all
     """,
 )
 def src_header_row(spark, sf):
-    grids = document_grids(spark, sf)
-    found, _ = G.split_by_header(G.with_header(grids, G.first_row_with(F.col("rows"), HEADER)))
-    narrowed = found.withColumn(
-        "body",
-        F.transform(
-            "body", lambda c: G.without_optional_column(F.col("header"), c, OPTIONAL, WIDTH)
-        ),
-    ).withColumn(
-        "header", G.without_optional_column(F.col("header"), F.col("header"), OPTIONAL, WIDTH)
-    )
-    long = G.promote_long(narrowed, ["doc_id"])
+    flagged = headed(spark, sf).withColumn("optional", G.has_optional_column(F.col("header"), OPTIONAL))
+    long = G.promote_long(flagged, ["doc_id"], cells=words, optional="optional", width=WIDTH)
     return long.groupBy("doc_id", F.lower("col_name").alias("col_name")).agg(
-        F.count(F.lit(1)).alias("n_values"), F.min("value").alias("least")
+        F.count(F.lit(1)).alias("n_values"), F.sum(F.length("value")).alias("n_chars")
     )
 
 
+def headed(spark, sf):
+    header = G.first_row_with(F.col("lines"), HEADER, words)
+    return G.with_header(document_grids(spark, sf), header, words)
+
+
 @query(
     "src_header_rejects",
     LINES
@@ -118,10 +117,7 @@ def src_header_row(spark, sf):
     """,
 )
 def src_header_rejects(spark, sf):
-    grids = document_grids(spark, sf)
-    return G.split_by_header(
-        G.with_header(grids, G.first_row_with(F.col("rows"), HEADER))
-    )[1].select("doc_id")
+    return G.split_by_header(headed(spark, sf))[1].select("doc_id")
 
 
 @query(
@@ -134,7 +130,7 @@ def src_header_rejects(spark, sf):
 )
 def src_last_header(spark, sf):
     return document_grids(spark, sf).select(
-        "doc_id", G.last_row_starting(F.col("rows"), "tion").alias("header_row")
+        "doc_id", G.last_row_starting(F.col("lines"), "tion", words).alias("header_row")
     )
 
 
@@ -149,7 +145,7 @@ def src_last_header(spark, sf):
     """,
 )
 def win_next_row_after_marker(spark, sf):
-    found = G.next_rows(document_grids(spark, sf), "tion", ["doc_id"])
+    found = G.next_rows(document_grids(spark, sf), "tion", ["doc_id"], words)
     return found.withColumn(
         "next_cells",
         F.when(

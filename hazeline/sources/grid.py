@@ -1,15 +1,15 @@
 """Raw sheet grids: untyped cells, the header somewhere below a few odd rows.
 
-A grid is one row of ``(path, rows array<array<string>>)``: one sheet of one station and
-year, a few thousand cells at most. Header search, header promotion and the look at the
-next row all happen inside that row, so reading any number of sheets needs no shuffle.
-Files without such a bound (hourly data) are read by ``sources.hourly`` instead, which
-splits files.
+A grid is one row of ``(path, lines array<string>)``: one sheet of one station and year, a
+few thousand cells at most. Header search, the marker rows and the look at the next row all
+happen inside that row, so reading any number of sheets needs no shuffle; lines are cut into
+cells only where cells are needed. Files without such a bound (hourly data) are read by
+``sources.hourly`` instead, which splits files.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,84 +27,99 @@ from hazeline.sources.provenance import with_path_parts
 DISCRIMINATORS = (
     "cart", "cartridge", "media", "sample_type", "sampling_type", "c_f", "f_c", "fraction",
 )
+CellCutter = Callable[[Column], Column]
 
 
-def split_cells(text: Column, sep: str = ",") -> Column:
-    """A file's text to rows of cells: quotes gone, missing-value tokens null."""
-    lines = F.split(text, "\r?\n")
-    return F.transform(
-        lines,
-        lambda line: F.transform(
-            F.split(strip_quotes(line), sep), lambda cell: na_to_null(cell)
-        ),
-    )
+def comma_cells(line: Column) -> Column:
+    """Cells of a line: quotes gone, missing-value tokens null."""
+    return F.transform(F.split(strip_quotes(line), ","), lambda cell: na_to_null(cell))
 
 
-def read_grids(
-    spark: SparkSession, path: str, sep: str = ",", encoding: str = "ISO-8859-1"
-) -> DataFrame:
-    """One row per file: path, year, station, file type, sheet and cells.
+def read_grids(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
+    """One row per file: path, year, station, file type, sheet and lines.
 
     The sheet is the part of the file name between the last ``__`` and the extension.
     """
     files = spark.read.format("binaryFile").load(path)
     text = F.decode(F.col("content"), F.lit(encoding))
-    grids = files.select("path", split_cells(text, sep).alias("rows"))
+    grids = files.select("path", F.split(text, "\r?\n").alias("lines"))
     return with_path_parts(grids).withColumn(
         "sheet", F.nullif(F.regexp_extract("path", r"__([^/]+)\.[^.]+$", 1), F.lit(""))
     )
 
 
-def grid_rows(df: DataFrame, rows: str = "rows") -> DataFrame:
+def grid_rows(df: DataFrame, cells: CellCutter = comma_cells) -> DataFrame:
     """(other columns, row_no from 1, cells)."""
-    rest = [c for c in df.columns if c != rows]
-    return df.select(*rest, F.posexplode(rows).alias("row_no", "cells")).withColumn(
-        "row_no", F.col("row_no") + 1
+    rest = [c for c in df.columns if c != "lines"]
+    return df.select(*rest, F.posexplode("lines").alias("row_no", "line")).select(
+        *rest, (F.col("row_no") + 1).alias("row_no"), cells(F.col("line")).alias("cells")
     )
 
 
-def first_row_with(rows: Column, pattern: str) -> Column:
-    """Number (from 1) of the first row with a matching cell; 0 if there is none."""
+def _first_cell(line: Column, cells: CellCutter) -> Column:
+    return F.get(cells(line), F.lit(0))
+
+
+def _starts_with_mark(line: Column, mark: str, cells: CellCutter) -> Column:
+    """The first cell contains the mark; decided on the plain line where that rules it out."""
+    return F.when(
+        F.contains(line, F.lit(mark)), F.contains(_first_cell(line, cells), F.lit(mark))
+    ).otherwise(F.lit(False))
+
+
+def first_row_with(lines: Column, pattern: str, cells: CellCutter = comma_cells) -> Column:
+    """Number (from 1) of the first row with a matching cell; 0 if there is none.
+
+    ``pattern`` must match inside a single cell; lines without any match are not cut up.
+    """
     hit = F.transform(
-        rows,
-        lambda cells: F.exists(cells, lambda c: F.coalesce(c.rlike(pattern), F.lit(False))),
+        lines,
+        lambda line: F.when(
+            line.rlike(pattern),
+            F.exists(cells(line), lambda c: F.coalesce(c.rlike(pattern), F.lit(False))),
+        ).otherwise(F.lit(False)),
     )
     return F.array_position(hit, True)
 
 
-def last_row_starting(rows: Column, mark: str) -> Column:
+def last_row_starting(lines: Column, mark: str, cells: CellCutter = comma_cells) -> Column:
     """Number of the last row whose first cell contains the mark; 0 if there is none."""
-    hit = F.transform(
-        F.reverse(rows),
-        lambda cells: F.coalesce(F.contains(F.get(cells, F.lit(0)), F.lit(mark)), F.lit(False)),
-    )
+    hit = F.transform(F.reverse(lines), lambda line: _starts_with_mark(line, mark, cells))
     place = F.array_position(hit, True)
-    return F.when(place > 0, F.size(rows) - place + 1).otherwise(F.lit(0).cast("bigint"))
+    return F.when(place > 0, F.size(lines) - place + 1).otherwise(F.lit(0).cast("bigint"))
 
 
-def row_named(rows: Column, mark: str) -> Column:
+def row_named(lines: Column, mark: str, cells: CellCutter = comma_cells) -> Column:
     """Cells of the first row whose first cell equals the mark; null if there is none."""
-    hits = F.filter(rows, lambda cells: F.get(cells, F.lit(0)) == mark)
-    return F.get(hits, F.lit(0))
+    hits = F.filter(
+        lines,
+        lambda line: F.when(
+            F.contains(line, F.lit(mark)), _first_cell(line, cells) == mark
+        ).otherwise(F.lit(False)),
+    )
+    return cells(F.get(hits, F.lit(0)))
 
 
-def without_optional_column(
-    header: Column, cells: Column, spellings: Sequence[str], width: int
-) -> Column:
-    """Cells without column 2 if its header is one of the spellings, at most ``width``."""
+def has_optional_column(header: Column, spellings: Sequence[str]) -> Column:
+    """True if the second header cell is one of the spellings."""
+    return F.coalesce(F.get(header, F.lit(1)).isin(*spellings), F.lit(False))
+
+
+def narrowed(cells: Column, optional: Column, width: int) -> Column:
+    """Cells without column 2 where it is the optional one, at most ``width``."""
     dropped = F.concat(F.slice(cells, 1, 1), F.slice(cells, 3, width - 1))
-    optional = F.coalesce(F.get(header, F.lit(1)).isin(*spellings), F.lit(False))
     return F.when(optional, dropped).otherwise(F.slice(cells, 1, width))
 
 
-def with_header(df: DataFrame, header_row: Column, rows: str = "rows") -> DataFrame:
-    """Adds header_row, header (cells) and body (rows below it)."""
-    numbered = df.withColumn("header_row", header_row.cast("int"))
+def with_header(
+    df: DataFrame, header_row: Column, cells: CellCutter = comma_cells
+) -> DataFrame:
+    """Adds header_row, header (cells) and body (lines below it)."""
     h = F.col("header_row")
-    return numbered.withColumns(
+    return df.withColumn("header_row", header_row.cast("int")).withColumns(
         {
-            "header": F.when(h > 0, F.get(F.col(rows), h - 1)),
-            "body": F.when(h > 0, F.slice(F.col(rows), h + 1, F.size(rows))),
+            "header": F.when(h > 0, cells(F.get("lines", h - 1))),
+            "body": F.when(h > 0, F.slice("lines", h + 1, F.size("lines"))),
         }
     )
 
@@ -113,7 +128,7 @@ def split_by_header(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(files with a header, reject table of the others)."""
     return (
         df.where(F.col("header_row") > 0),
-        df.where(F.col("header_row") == 0).drop("rows", "header", "body"),
+        df.where(F.col("header_row") == 0).drop("lines", "header", "body"),
     )
 
 
@@ -127,18 +142,39 @@ def unique_names(names: Column) -> Column:
     return F.transform(names, numbered)
 
 
-def explode_body(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """One row per data row of each grid: kept columns, row_no, cells."""
-    return df.select(
-        *keep, "header_row", F.posexplode("body").alias("__i", "cells")
-    ).select(
-        *keep, (F.col("header_row") + F.col("__i") + 1).alias("row_no"), "cells"
+def explode_body(
+    df: DataFrame, keep: Sequence[str], cells: CellCutter = comma_cells
+) -> DataFrame:
+    """One row per data row of each grid that is not empty: kept columns, row_no, cells.
+
+    Grids without a header have no body and give no rows. The outer explode keeps Catalyst
+    from repeating the header search in a filter below the scan.
+    """
+    lines = df.select(
+        *keep, "header_row", F.posexplode_outer("body").alias("__i", "__line")
+    ).where(F.col("__line").isNotNull())
+    return lines.select(
+        *keep, (F.col("header_row") + F.col("__i") + 1).alias("row_no"),
+        cells(F.col("__line")).alias("cells"),
     ).where(F.exists("cells", lambda c: c.isNotNull()))
 
 
-def promote_long(df: DataFrame, keep: Sequence[str], names: str = "header") -> DataFrame:
-    """Header cells become column names: (keep..., row_no, col_name, value)."""
-    body = explode_body(df, [*keep, names])
+def promote_long(
+    df: DataFrame, keep: Sequence[str], names: str = "header",
+    cells: CellCutter = comma_cells, optional: str | None = None, width: int | None = None,
+) -> DataFrame:
+    """Header cells become column names: (keep..., row_no, col_name, value).
+
+    With ``optional`` (a flag column per file) and ``width``, names and cells are narrowed to
+    the fixed layout first.
+    """
+    more = [optional] if optional else []
+    body = explode_body(df, [*keep, names, *more], cells)
+    if optional:
+        flag = F.col(optional)
+        body = body.withColumns(
+            {names: narrowed(F.col(names), flag, width), "cells": narrowed(F.col("cells"), flag, width)}
+        )
     zipped = F.zip_with(
         F.col(names), F.col("cells"),
         lambda n, c: F.struct(n.alias("col_name"), c.alias("value")),
@@ -156,10 +192,10 @@ def _prefixed(names: Column, prefix: Column) -> Column:
     )
 
 
-def _marker_cells(rows: Column, mark: str) -> Column:
+def _marker_cells(lines: Column, mark: str) -> Column:
     """Cells of a marker row; the mark itself and N/A are no values."""
     return F.transform(
-        row_named(rows, mark),
+        row_named(lines, mark),
         lambda c: F.when(~c.rlike(f"(?i)N/A|{mark}"), c),
     )
 
@@ -171,9 +207,9 @@ def sheet_names(df: DataFrame, samplers: DataFrame | None = None) -> DataFrame:
     codes of the Sampler row. Without an entry for station and year no sampler is prefixed.
     Missing marker rows are listed in ``warnings``.
     """
-    rows = F.col("rows")
-    medium = F.when(F.col("sheet") == MEDIUM_SHEET, _marker_cells(rows, MEDIUM_MARK))
-    df = df.withColumns({"__medium": medium, "__sampler": _marker_cells(rows, SAMPLER_MARK)})
+    lines = F.col("lines")
+    medium = F.when(F.col("sheet") == MEDIUM_SHEET, _marker_cells(lines, MEDIUM_MARK))
+    df = df.withColumns({"__medium": medium, "__sampler": _marker_cells(lines, SAMPLER_MARK)})
     if samplers is None:
         df = df.withColumns({"s1": F.lit(None).cast("string"), "s2": F.lit(None).cast("string"),
                              "has_info": F.lit(False)})
@@ -266,24 +302,26 @@ def pairs_long(df: DataFrame, keep: Sequence[str], mass: str = "mass") -> DataFr
     return df.select(*keep, F.inline(entries))
 
 
-def next_rows(df: DataFrame, mark: str, keep: Sequence[str], rows: str = "rows") -> DataFrame:
-    """For every row whose first cell contains the mark: that cell and the row after it."""
-    grid = F.col(rows)
-    places = F.filter(
-        F.sequence(F.lit(0), F.size(grid) - 1),
-        lambda i: F.coalesce(
-            F.contains(F.get(F.get(grid, i), F.lit(0)), F.lit(mark)), F.lit(False)
+def next_rows(
+    df: DataFrame, mark: str, keep: Sequence[str], cells: CellCutter = comma_cells
+) -> DataFrame:
+    """For every row whose first cell contains the mark: that cell and the row after it.
+
+    Lines are paired with their successors inside the file's row, so no window is needed.
+    """
+    lines = F.col("lines")
+    pairs = F.zip_with(
+        F.transform(lines, lambda line, i: F.struct(line.alias("line"), (i + 1).alias("no"))),
+        F.slice(lines, F.lit(2), F.size(lines)),
+        lambda here, after: F.struct(
+            here["no"].alias("marker_row"), here["line"].alias("line"), after.alias("after")
         ),
     )
-    found = F.transform(
-        places,
-        lambda i: F.struct(
-            (i + 1).alias("marker_row"),
-            F.get(F.get(grid, i), F.lit(0)).alias("marker"),
-            F.get(grid, i + 1).alias("next_cells"),
-        ),
+    found = F.filter(pairs, lambda p: _starts_with_mark(p["line"], mark, cells))
+    return df.select(*keep, F.inline(found)).select(
+        *keep, "marker_row", _first_cell(F.col("line"), cells).alias("marker"),
+        cells(F.col("after")).alias("next_cells"),
     )
-    return df.select(*keep, F.inline(found))
 
 
 def sampler_info(grids: DataFrame) -> DataFrame:
@@ -301,6 +339,6 @@ def sampler_info(grids: DataFrame) -> DataFrame:
     ).withColumn("type", sampler_kind(F.col("sampler"))).distinct()
 
 
-def grids_with_header(grids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Header search with the usual pattern: (grids with header, rejects)."""
-    return split_by_header(with_header(grids, first_row_with(F.col("rows"), GRID_HEADER_PATTERN)))
+def with_grid_header(grids: DataFrame) -> DataFrame:
+    """Header search with the usual pattern. ``split_by_header`` lists the rejects."""
+    return with_header(grids, first_row_with(F.col("lines"), GRID_HEADER_PATTERN))

@@ -17,7 +17,7 @@ from hazeline.functions.dates import fill_date_parts, parse_date
 from hazeline.functions.numeric import to_double
 from hazeline.functions.text import na_to_null, strip_leading_zeros, strip_quotes
 from hazeline.operators.quality import accept_sources, source_report, split_invalid
-from hazeline.sources.grid import without_optional_column
+from hazeline.sources.grid import comma_cells, has_optional_column, narrowed
 from hazeline.sources.provenance import path_parts
 
 MAX_BROADCAST_FILES = 200_000
@@ -25,7 +25,7 @@ MAX_BROADCAST_FILES = 200_000
 
 def ragged_cells(line, width: int):
     """Cells of one text line: quotes gone, tokens null, padded or cut to ``width``."""
-    cells = F.transform(F.split(line, ","), lambda c: na_to_null(strip_quotes(c)))
+    cells = comma_cells(line)
     padding = F.array_repeat(F.lit(None).cast("string"), width)
     return F.slice(F.concat(cells, padding), 1, width)
 
@@ -70,7 +70,9 @@ def read_hourly(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     rows = raw.join(F.broadcast(headers) if few else headers, "path")
     rejects = raw.select("path").distinct().join(headers, "path", "left_anti")
     width = len(HOURLY_COLUMNS)
-    cells = without_optional_column(F.col("header"), F.col("cells"), METHOD_HEADERS, width)
+    cells = narrowed(
+        F.col("cells"), has_optional_column(F.col("header"), METHOD_HEADERS), width
+    )
     named = rows.select("path", cells.alias("cells")).select(
         "path", *[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(HOURLY_COLUMNS)]
     )
