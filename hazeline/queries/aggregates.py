@@ -98,7 +98,7 @@ def agg_global_scalars(spark, sf):
 @query(
     "agg_mean_ci",
     f"""
-    with t as (select unnest(range(1, 1001)) as dof, unnest({list(t_table(0.95))}) as q),
+    with t as (select unnest(range(1, 1001)) as dof, unnest({list(t_table(0.95, 1000))}) as q),
     s as (select event_type, cast(ts as date) as date, avg(value) as mean, count(value) as n,
         stddev_samp(value) as sd from events group by all)
     select event_type, cast(date as varchar) as date, round(mean, 6) as mean, n,

@@ -41,7 +41,7 @@ def read_grids(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") ->
     The sheet is the part of the file name between the last ``__`` and the extension.
     """
     files = spark.read.format("binaryFile").load(path)
-    text = F.decode(F.col("content"), F.lit(encoding))
+    text = F.decode("content", encoding)
     grids = files.select("path", F.split(text, "\r?\n").alias("lines"))
     return with_path_parts(grids).withColumn(
         "sheet", F.nullif(F.regexp_extract("path", r"__([^/]+)\.[^.]+$", 1), F.lit(""))

@@ -17,7 +17,7 @@ from hazeline.functions.dates import fill_date_parts, parse_date
 from hazeline.functions.numeric import to_double
 from hazeline.functions.text import na_to_null, strip_leading_zeros, strip_quotes
 from hazeline.operators.quality import accept_sources, source_report, split_invalid
-from hazeline.sources.grid import comma_cells, has_optional_column, narrowed
+from hazeline.sources.grid import comma_cells
 from hazeline.sources.provenance import path_parts
 
 MAX_BROADCAST_FILES = 200_000
@@ -31,7 +31,7 @@ def ragged_cells(line, width: int):
 
 
 def read_ragged_csv(spark: SparkSession, path: str, width: int = HOURLY_MAX_FIELDS) -> DataFrame:
-    """(path, place, cells): short rows filled with null, quoting off, latin1.
+    """(path, place, c1..c<width>): short rows filled with null, quoting off, latin1.
 
     ``place`` orders the rows of a file although files are read in splits.
     """
@@ -47,17 +47,16 @@ def read_ragged_csv(spark: SparkSession, path: str, width: int = HOURLY_MAX_FIEL
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         ).alias("place"),
-        F.array(*[na_to_null(strip_quotes(F.col(c.name))) for c in schema]).alias("cells"),
+        *[na_to_null(strip_quotes(F.col(c.name))).alias(c.name) for c in schema],
     )
 
 
 def header_rows(raw: DataFrame) -> DataFrame:
-    """(path, header): the last header row of each file. One small row per file."""
-    first = F.get("cells", F.lit(0))
+    """(path, second): second cell of each file's last header row. One small row per file."""
     return (
-        raw.where(F.contains(first, F.lit(HOURLY_HEADER_MARK)))
+        raw.where(F.contains("c1", F.lit(HOURLY_HEADER_MARK)))
         .groupBy("path")
-        .agg(F.max_by("cells", "place").alias("header"))
+        .agg(F.max_by("c2", "place").alias("second"))
     )
 
 
@@ -67,27 +66,30 @@ def read_hourly(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     headers = header_rows(raw)
     # One row per file: broadcast only if the file listing says they are few.
     few = len(raw.inputFiles()) <= MAX_BROADCAST_FILES
-    rows = raw.join(F.broadcast(headers) if few else headers, "path")
     rejects = raw.select("path").distinct().join(headers, "path", "left_anti")
-    width = len(HOURLY_COLUMNS)
-    cells = narrowed(
-        F.col("cells"), has_optional_column(F.col("header"), METHOD_HEADERS), width
+    wanted = raw.where(F.col("c1").isin(*HOURLY_POLLUTANTS)).drop("place")
+    rows = wanted.join(F.broadcast(headers) if few else headers, "path").withColumn(
+        "shifted", F.coalesce(F.col("second").isin(*METHOD_HEADERS), F.lit(False))
     )
-    named = rows.select("path", cells.alias("cells")).select(
-        "path", *[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(HOURLY_COLUMNS)]
-    )
-    typed = named.where(F.col("pollutant").isin(*HOURLY_POLLUTANTS)).withColumns(
-        {
-            "date": parse_date(F.col("date")),
-            "napsid": strip_leading_zeros(F.col("napsid")),
-            "latitude": to_double(F.col("latitude")),
-            "longitude": to_double(F.col("longitude")),
-            "source": F.col("path"),
-            "declared_year": path_parts(F.col("path"))["year"],
-            **{h: to_double(F.col(h)) for h in HOUR_COLUMNS},
-        }
+
+    def cell(i: int):
+        """Cell i (from 1) of the fixed layout: one further right behind an optional column."""
+        plain = F.col(f"c{i}")
+        return plain if i == 1 else F.when(F.col("shifted"), F.col(f"c{i + 1}")).otherwise(plain)
+
+    convert = {
+        "date": parse_date, "napsid": strip_leading_zeros, "latitude": to_double,
+        "longitude": to_double, **{h: to_double for h in HOUR_COLUMNS},
+    }
+    typed = rows.select(
+        F.col("path").alias("source"),
+        path_parts(F.col("path"))["year"].alias("declared_year"),
+        *[
+            convert.get(name, lambda c: c)(cell(i)).alias(name)
+            for i, name in enumerate(HOURLY_COLUMNS, 1)
+        ],
     )
-    return fill_date_parts(typed).drop("path"), rejects
+    return fill_date_parts(typed), rejects
 
 
 def checked_hourly(
