@@ -86,13 +86,12 @@ def box_outliers(df: DataFrame, keys: Sequence[str], value: str, **options) -> D
 def global_bounds(
     df: DataFrame, value: str, probs: tuple[float, float] = (0.02, 0.98), **options
 ) -> DataFrame:
-    """Quantiles over the whole table attached to every row, as scalar subqueries."""
+    """Quantiles over the whole table attached to every row, as one scalar subquery."""
     q = exact_quantiles(
         df.where(F.col(value).isNotNull()), [], value, probs, ("lo", "hi"), **options
     )
-    return df.withColumns(
-        {"min": q.select("lo").scalar(), "max": q.select("hi").scalar()}
-    )
+    bounds = q.select(F.struct("lo", "hi")).scalar()
+    return df.withColumns({"min": bounds.getField("lo"), "max": bounds.getField("hi")})
 
 
 def ratio_quantiles(

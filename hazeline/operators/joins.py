@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.functions.numeric import haversine_km
+from hazeline.operators.sizes import broadcast_if_small
 
 
 def null_safe_join(
@@ -46,7 +47,8 @@ def first_non_null(
 
     Rows with a missing key are left out. Combines before the shuffle.
     """
-    rank = F.struct(*order)
+    # A single number as order keeps the aggregate hash-based; a struct makes it sort-based.
+    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return (
         df.where(present)
@@ -69,14 +71,27 @@ def merge_sources(
     """Sources in order of priority, aligned by name, then first_non_null.
 
     Rows of one source with the same key are ordered by the tie breakers, or else by all
-    measures, so that the winner never depends on row order.
+    measures, so that the winner never depends on row order. With one tie breaker every
+    source is aggregated under its own name and the sources are coalesced afterwards, which
+    keeps the aggregate hash-based for numeric columns.
     """
     tagged = [
         s.withColumn("source_priority", F.lit(i)) for i, s in enumerate(sources)
     ]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     ties = list(tie_breakers) or list(measures)
-    return first_non_null(union, keys, measures, ["source_priority", *ties])
+    if len(ties) > 1:
+        return first_non_null(union, keys, measures, ["source_priority", *ties])
+    by_source = {
+        f"{m}__{i}": F.when(F.col("source_priority") == i, F.col(m))
+        for m in measures for i in range(len(sources))
+    }
+    apart = union.select(*keys, *ties, *[c.alias(n) for n, c in by_source.items()])
+    firsts = first_non_null(apart, keys, list(by_source), ties)
+    return firsts.select(
+        *keys,
+        *[F.coalesce(*[f"{m}__{i}" for i in range(len(sources))]).alias(m) for m in measures],
+    )
 
 
 def fold_full_outer(
@@ -128,7 +143,7 @@ def compare_with_reference(
     counts: DataFrame, published: DataFrame, key: str, n: str, n_published: str
 ) -> DataFrame:
     """Inner join with a table of published values, and the difference."""
-    return counts.join(F.broadcast(published), key, "inner").withColumn(
+    return counts.join(broadcast_if_small(published), key, "inner").withColumn(
         "diff", F.col(n) - F.col(n_published)
     )
 

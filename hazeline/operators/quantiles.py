@@ -8,7 +8,9 @@ a group in one task, so beyond a checked input size a bracketed selection takes
 2. a second pass counts rows outside the intervals (one row per gap) and value counts
    inside them, again combined before the shuffle; ranks follow from a running sum.
 
-No pass shuffles the raw rows of a large group, and the result is exact.
+The intervals reach the rows by broadcast while the groups are few (they are counted first),
+so the raw rows of a hot group are never shuffled; beyond that by a salted join, which
+spreads a hot group over several tasks. The result is exact either way.
 """
 
 from __future__ import annotations
@@ -21,9 +23,12 @@ from pyspark.sql import functions as F
 
 from hazeline.operators.joins import null_safe_join
 from hazeline.operators.sizes import MIB, estimated_bytes
+from hazeline.sources.stages import ensure_checkpoint_dir
 
 BUILTIN_LIMIT = 256 * MIB
 ACCURACY = 10_000
+BROADCAST_GROUPS = 200_000
+SALTS = 16
 
 
 def exact_quantiles(
@@ -34,6 +39,7 @@ def exact_quantiles(
     names: Sequence[str],
     builtin_limit: int = BUILTIN_LIMIT,
     accuracy: int = ACCURACY,
+    broadcast_groups: int = BROADCAST_GROUPS,
     extra: Sequence[Column] = (),
 ) -> DataFrame:
     """Columns: keys, n (present values), one column per probability, then ``extra``.
@@ -44,7 +50,7 @@ def exact_quantiles(
     values = df.select(*keys, F.col(value).cast("double").alias("v"))
     if estimated_bytes(values) <= builtin_limit:
         return _builtin(values, keys, probs, names, extra)
-    return _bracketed(values, keys, probs, names, accuracy, extra)
+    return _bracketed(values, keys, probs, names, accuracy, broadcast_groups, extra)
 
 
 def _builtin(values, keys, probs, names, extra):
@@ -58,7 +64,8 @@ def _builtin(values, keys, probs, names, extra):
     return grouped.select(*keys, "n", *picks, *rest)
 
 
-def _bracketed(values, keys, probs, names, accuracy, extra):
+def _bracketed(values, keys, probs, names, accuracy, broadcast_groups, extra):
+    ensure_checkpoint_dir(values.sparkSession)
     eps = 1.0 / accuracy
     probs = list(map(float, probs))
     lows = [max(p - 2 * eps, 0.0) for p in probs]
@@ -102,8 +109,16 @@ def _bracketed(values, keys, probs, names, accuracy, extra):
 
     v = F.col("v")
     rows = values.where(v.isNotNull())
-    if keys:
-        rows = null_safe_join(rows, edges, keys, "inner")
+    if keys and edges.limit(broadcast_groups + 1).count() <= broadcast_groups:
+        rows = null_safe_join(rows, F.broadcast(edges), keys, "inner")
+    elif keys:
+        # The salt also makes the grouping below need its own shuffle, which is what lets
+        # Spark split partitions of this join that are still too large.
+        # It comes from the task, not the value: many equal values must spread too, and a
+        # repeated task must give the same salts.
+        salt = F.spark_partition_id() % SALTS
+        spread = edges.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = null_safe_join(rows.withColumn("salt", salt), spread, [*keys, "salt"], "inner")
     else:
         bounds = edges.first()
         rows = rows.select(v, *[F.lit(bounds[c]).alias(c) for c in edges.columns])

@@ -36,15 +36,15 @@ def split_scores(
     d = F.to_date(F.col(date))
     counted = df.groupBy(city).agg(
         F.count(F.lit(1)).alias("total"),
+        F.count(d).alias("dated"),
         *[F.count_if(d <= F.lit(c)).alias(f"b{i}") for i, c in enumerate(candidates)],
-        *[F.count_if(d > F.lit(c)).alias(f"a{i}") for i, c in enumerate(candidates)],
     )
     entries = F.array(
         *[
             F.struct(
                 F.lit(c).alias("split_date"),
                 F.col(f"b{i}").alias("before"),
-                F.col(f"a{i}").alias("after"),
+                (F.col("dated") - F.col(f"b{i}")).alias("after"),
             )
             for i, c in enumerate(candidates)
         ]

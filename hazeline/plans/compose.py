@@ -12,6 +12,7 @@ from hazeline.fixed_values import (
 )
 from hazeline.functions.dates import season
 from hazeline.functions.numeric import null_skipping_sum
+from hazeline.operators.sizes import broadcast_if_small
 
 # Column name templates by sampler for the ions (tf = Teflon filter) and the metals.
 ION = "ions_ic_{sampler}tf_{species}"
@@ -86,7 +87,7 @@ def reconstruct_mass(
         "PBW_h": over(ion_samplers, lambda s: so4(s) + nh4(s)),
         "PBW_molar": over(ion_samplers, lambda s: nh4(s) - so4(s) - no3(s)),
     }
-    factors = F.broadcast(om_factor.select("season", city, "correction_factor"))
+    factors = broadcast_if_small(om_factor.select("season", city, "correction_factor"))
     with_om = (
         df.withColumns(parts)
         .join(factors, ["season", city], "inner")

@@ -21,6 +21,7 @@ from hazeline.operators.columns import rename_long, route_pairs, substitute_in_s
 from hazeline.operators.joins import first_non_null
 from hazeline.operators.quality import complete_keys
 from hazeline.operators.ranking import keep_first
+from hazeline.operators.sizes import broadcast_if_small
 from hazeline.sources import grid as G
 
 LONG = ["station", "date", "fraction", "is_blank", "file_type", "col_name", "value"]
@@ -115,7 +116,7 @@ def speciation_long(grids: DataFrame, header_dict: DataFrame) -> DataFrame:
         F.min("new_file_type").alias("new_file_type")
     )
     return (
-        renamed.join(F.broadcast(types), "file_type", "left")
+        renamed.join(broadcast_if_small(types), "file_type", "left")
         .withColumns(
             {
                 "file_type": F.coalesce("new_file_type", "file_type"),
@@ -179,7 +180,7 @@ def merge_long(sources: Sequence[DataFrame], file_type_short: DataFrame) -> tupl
     union = reduce(lambda a, b: a.unionByName(b), tagged)
     kept, aside = complete_keys(union, ["station", "date"])
     merged = first_non_null(kept, LONG[:-1], ["value"], ["source_priority", *ORDER])
-    short = F.broadcast(file_type_short.select("file_type", "short_name"))
+    short = broadcast_if_small(file_type_short.select("file_type", "short_name"))
     named = merged.join(short, "file_type", "left").withColumn(
         "col_name",
         F.when(
@@ -201,7 +202,7 @@ def widen(
 
 def select_canonical(long: DataFrame, names: DataFrame) -> DataFrame:
     """Rename through the canonical table (old_name, new_name), keeping mapped columns only."""
-    table = F.broadcast(names.select(F.col("old_name").alias("col_name"), "new_name"))
+    table = broadcast_if_small(names.select(F.col("old_name").alias("col_name"), "new_name"))
     return long.join(table, "col_name", "inner").withColumn("col_name", F.col("new_name")).drop(
         "new_name"
     )

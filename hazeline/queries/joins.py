@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from hazeline.fixed_values import EARTH_RADIUS_KM, STUDY_CENTRE, STUDY_RADIUS_KM
 from hazeline.operators import joins as J
+from hazeline.operators.sizes import broadcast_if_small
 from hazeline.queries.base import query, r, table, text_date
 
 
@@ -17,9 +18,8 @@ from hazeline.queries.base import query, r, table, text_date
     """,
 )
 def join_inner_broadcast(spark, sf):
-    # nation and region have a fixed size.
-    nation = F.broadcast(table(spark, sf, "nation"))
-    region = F.broadcast(table(spark, sf, "region"))
+    nation = broadcast_if_small(table(spark, sf, "nation"))
+    region = broadcast_if_small(table(spark, sf, "region"))
     return (
         table(spark, sf, "supplier")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -212,7 +212,7 @@ def join_anti(spark, sf):
 )
 def join_left_outer(spark, sf):
     info = table(spark, sf, "customer").where("c_nationkey < 12").join(
-        F.broadcast(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")
+        broadcast_if_small(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")
     )
     return table(spark, sf, "events").join(
         info, F.col("user_id") == F.col("c_custkey"), "left"

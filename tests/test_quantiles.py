@@ -32,7 +32,9 @@ def expected():
     return groups
 
 
-@pytest.mark.parametrize("options", [{}, {"builtin_limit": 0}, {"builtin_limit": 0, "accuracy": 100}])
+@pytest.mark.parametrize("options", [{}, {"builtin_limit": 0}, {"builtin_limit": 0, "accuracy": 100},
+    {"builtin_limit": 0, "accuracy": 100, "broadcast_groups": 3},
+])
 def test_by_group(df, options):
     got = {r.k: r for r in exact_quantiles(df, ["k"], "v", PROBS, NAMES, **options).collect()}
     want = expected()
