@@ -46,6 +46,11 @@ def any_of(column: Column, values: Iterable) -> Column:
     return F.coalesce(column.isin(*values), F.lit(False))
 
 
+def domain_order(column: Column, values: Iterable[str]) -> Column:
+    """Place (from 1) of a value in its domain's output order; null outside the domain."""
+    return F.nullif(F.array_position(F.lit(list(values)), column), F.lit(0))
+
+
 def sampler_kind(text: Column) -> Column:
     """spec, dich or pm by the words in a sampler description."""
     low = F.lower(text)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,5 +124,7 @@ def substitute_in_scheme(scheme: DataFrame, replacements: Sequence[tuple[str, st
     return scheme.withColumns(changes)
 
 
-def map_columns(df: DataFrame, columns: Sequence[str], fn: Callable[[Column], Column]) -> DataFrame:
-    return df.withColumns({c: fn(F.col(c)) for c in columns})
+def add_missing(df: DataFrame, columns: Sequence[str], data_type: str = "double") -> DataFrame:
+    """Null columns for those of the given names that the frame lacks."""
+    lacking = [c for c in dict.fromkeys(columns) if c not in df.columns]
+    return df.select("*", *[F.lit(None).cast(data_type).alias(c) for c in lacking])

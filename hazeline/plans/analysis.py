@@ -14,7 +14,7 @@ from hazeline.fixed_values import (
 from hazeline.functions.dates import fill_date_parts, month_label
 from hazeline.operators import aggregates as A
 from hazeline.operators import split_date as S
-from hazeline.operators.columns import with_prefix
+from hazeline.operators.columns import add_missing, with_prefix
 from hazeline.operators.joins import anti_ranges, literal_table
 from hazeline.operators.models import polynomial_trend, simple_regression
 from hazeline.operators.naming import match_limits
@@ -62,7 +62,8 @@ def reconstruction(
     Empty rows and known bad observations are left out. Persist it: every table below
     starts here.
     """
-    gases = compose.coalesce_gases(observations)
+    whole = add_missing(observations, ["spec_pm2_5", *ANALYSIS_COLUMNS])
+    gases = compose.coalesce_gases(whole)
     full = compose.reconstruct_mass(gases, om_factor)
     kept = full.select(
         "season", "city", "date", "month", "spec_pm2_5", "station",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +11,40 @@ from hazeline.functions.dates import year_end, year_start
 from hazeline.operators.aggregates import coverage_span
 from hazeline.operators.joins import anti_ranges
 from hazeline.operators.sets import relabel_branch
+from hazeline.sources.grid import comma_cells, sampler_info
 
 COLOURS = {"Spec": "#F8766D", "Dichot": "#B79F00"}
 OTHER_COLOUR = "#00BA38"
 
 
+KIND_NAMES = {"spec": "Spec", "dich": "Dichot", "pm": "PM"}
+
+
+def sheet_samplers(info_grids: DataFrame, folder: str) -> DataFrame:
+    """Samplers of the 2010+ station-info sheets, with the type names of the dictionary."""
+    kind = F
+    for code, name in KIND_NAMES.items():
+        kind = kind.when(F.col("type") == code, name)
+    return sampler_info(info_grids).select(
+        "sampler", "station", "year", F.lit(folder).alias("dir"), kind.alias("type"), "sampler_num"
+    )
+
+
+def file_samplers(grids: DataFrame, folder: str, kind: str, text: str | None = None) -> DataFrame:
+    """Samplers of the older files: the first cell up to " at ", or a fixed text."""
+    first = F.get(comma_cells(F.get("lines", F.lit(0))), F.lit(0))
+    sampler = F.lit(text) if text is not None else F.regexp_replace(first, " at .*", "")
+    return grids.select(
+        sampler.alias("sampler"), "station", "year", F.lit(folder).alias("dir"),
+        F.lit(kind).alias("type"), F.lit(None).cast("string").alias("sampler_num"),
+    )
+
+
+def sampler_dictionary(*parts: DataFrame) -> DataFrame:
+    """All samplers of all folders in one table."""
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def sampler_timeline(
     samplers: DataFrame, stations: DataFrame, exclusions: DataFrame,
     corrected_city: str | None = None, corrected_type: str = "PM", corrected_text: str = "",

@@ -305,3 +305,15 @@ def lookup_rule_cascade(spark, sf):
     )
     parts = table(spark, sf, "part").select("p_partkey", name.alias("value_name"))
     return N.with_limit_names(parts, "value_name", LIMITS, "mdl")
+
+
+@query(
+    "proj_add_missing",
+    """
+    select s_suppkey, s_acctbal, cast(null as double) as ions_ic_tf_sodium,
+      cast(null as double) as pm2_5 from supplier
+    """,
+)
+def proj_add_missing(spark, sf):
+    df = table(spark, sf, "supplier").select("s_suppkey", "s_acctbal")
+    return C.add_missing(df, ["s_acctbal", "ions_ic_tf_sodium", "pm2_5", "pm2_5"])

@@ -272,3 +272,18 @@ def scalar_rounding(spark, sf):
         r(F.sqrt(price)).alias("root"),
         r(F.abs(0.5 - price / 500000), 9).alias("distance"),
     )
+
+
+PRIORITIES = ("5-LOW", "3-MEDIUM", "1-URGENT", "2-HIGH")
+
+
+@query(
+    "scalar_domain_order",
+    """
+    select o_orderkey, case o_orderpriority when '5-LOW' then 1 when '3-MEDIUM' then 2
+      when '1-URGENT' then 3 when '2-HIGH' then 4 end as place from orders
+    """,
+)
+def scalar_domain_order(spark, sf):
+    place = X.domain_order(F.col("o_orderpriority"), PRIORITIES)
+    return table(spark, sf, "orders").select("o_orderkey", place.alias("place"))

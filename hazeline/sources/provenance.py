@@ -33,8 +33,12 @@ def with_path_parts(df: DataFrame, path: str = "path") -> DataFrame:
 
 
 def wanted_files(df: DataFrame, path: str = "path") -> DataFrame:
-    """Leave out French copies, change logs and the like, by file name."""
-    return df.where(~file_name(F.col(path)).rlike(FILE_REJECT_PATTERN))
+    """Leave out French copies, change logs and the like, by file name.
+
+    The extension is not looked at: sheets reach us as text exports, which end in csv.
+    """
+    stem = F.regexp_replace(file_name(F.col(path)), r"\.[^.]+$", "")
+    return df.where(~stem.rlike(FILE_REJECT_PATTERN))
 
 
 def wanted_sheets(df: DataFrame, sheet: str = "sheet") -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from hazeline.operators.joins import literal_table
 from hazeline.operators.naming import canonical_names
 from hazeline.operators.quality import duplicate_keys
+from hazeline.plans import batch
 from hazeline.plans import harmonise as Z
+from hazeline.plans import sampler_timeline as T
 from hazeline.sources import grid as G
 from hazeline.sources.provenance import wanted_sheets
 
@@ -150,3 +152,51 @@ def test_blanks_keep_their_own_rows(spark, sources):
     total = merged.count()
     assert blanks.count() + merged.where("not is_blank").count() == total
     assert {r.date for r in blanks.collect()} == {D2, D3}
+
+
+def test_batch_run(spark, sources, tmp_path, tmp_path_factory):
+    base = tmp_path_factory.getbasetemp()
+    found = {n: sorted(base.glob(f"{n}[0-9]*"))[0] for n in ("new", "old", "mass")}
+    look = tmp_path / "look"
+    look.mkdir()
+    (look / "dict.csv").write_text(
+        "file_type,old_name,new_name,new_file_type,col_type\nCARB,cart_A_oc1,OC1_A,OCEC,num\n"
+    )
+    (look / "scheme.csv").write_text(
+        "old_name,new_name,mdl_name,file_type\niron,iron_fe,iron_fe_mdl,Elements\n"
+    )
+    (look / "short.csv").write_text("file_type,short_name\nElements,EDXRF\nOCEC,OCEC\n")
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    put(empty, "2012_S1_X.csv", "nothing here")
+    folders = batch.Folders(
+        integrated_fine=str(found["new"]), integrated_coarse=str(empty),
+        speciation=str(found["old"]), mass=str(empty), dichotomous=str(found["mass"]),
+        header_dict=str(look / "dict.csv"), part_scheme=str(look / "scheme.csv"),
+        file_type_short=str(look / "short.csv"),
+    )
+    tables = batch.build_tables(spark, folders)
+    target = str(tmp_path / "out")
+    batch.write_tables(tables, target)
+    merged = spark.read.parquet(f"{target}/merged")
+    assert merged.where("col_name = 'OCEC_spec_oc1_a' and value = 1.0").count() == 1
+    assert merged.where("fraction = 'C' and col_name = 'dich_pm2_5_10'").first().value == 3.0
+    assert duplicate_keys(
+        merged, ["station", "date", "fraction", "is_blank", "file_type", "col_name"]
+    ).count() == 0
+    rejects = {r.path.rsplit("/", 1)[1] for r in spark.read.parquet(f"{target}/rejects").collect()}
+    assert rejects == {"2012_S1_X.csv"}
+    names = batch.write_canonical_names(spark, merged, f"{target}/names")
+    assert "spec.TOR.QF.oc1_a" in {r.new_name for r in names.collect()}
+
+
+def test_sampler_dictionary(spark, tmp_path):
+    put(tmp_path, "2004_S60211_PM.csv", "Partisol sampler at Windsor,x", "Date,y")
+    put(tmp_path, "2012_S60211_INT__Station Info.csv", "Sampler # (S-1),x", "Description,Speciation")
+    grids = G.read_grids(spark, str(tmp_path))
+    both = T.sampler_dictionary(
+        T.file_samplers(grids.where("sheet is null"), "PMPART25", "PM"),
+        T.sheet_samplers(grids.where("sheet is not null"), "Integrated"),
+    )
+    got = {(r.sampler, r.year, r.type, r.sampler_num) for r in both.collect()}
+    assert got == {("Partisol sampler", 2004, "PM", None), ("Speciation", 2012, "Spec", "S-1")}
