@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from hazeline.fixed_values import SEASON_MONTHS, SPREADSHEET_EPOCH, WARM_HALF_MONTHS
 from hazeline.functions.numeric import to_double
 
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
 
 def parse_date(text: Column, formats: tuple[str, ...] = ("yyyyMMdd", "yyyy-MM-dd")) -> Column:
     """Date from the first format that fits, else null."""
@@ -21,7 +23,8 @@ def serial_date(text: Column) -> Column:
 
 
 def month_label(date: Column) -> Column:
-    return F.date_format(date, "MMM")
+    """Jan to Dec, by look-up; formatting every row's date is far slower."""
+    return F.get(F.lit(list(MONTHS)), F.month(date) - 1)
 
 
 def season(month: Column) -> Column:

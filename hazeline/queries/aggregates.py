@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hazeline.fixed_values import HOUR_COLUMNS
-from hazeline.functions.dates import half_year
+from hazeline.functions.dates import half_year, month_label
 from hazeline.functions.numeric import row_mean
 from hazeline.functions.stats import t_table
 from hazeline.operators import aggregates as A
@@ -129,7 +129,7 @@ def agg_mean_ci(spark, sf):
 def agg_median_iqr(spark, sf):
     df = table(spark, sf, "lineitem").select(
         "l_returnflag", F.month("l_shipdate").alias("month"),
-        F.date_format("l_shipdate", "MMM").alias("month_text"), "l_quantity", "l_discount",
+        month_label(F.col("l_shipdate")).alias("month_text"), "l_quantity", "l_discount",
     )
     q = A.median_iqr(df, ["l_returnflag", "month", "month_text"], ["l_quantity", "l_discount"])
     return rounded(q, 6, "lower_iqr", "median", "upper_iqr")
@@ -296,7 +296,7 @@ def cmp_before_after(spark, sf):
 
     df = table(spark, sf, "orders").select(
         F.col("o_orderpriority").alias("city"),
-        F.date_format("o_orderdate", "MMM").alias("month_text"),
+        month_label(F.col("o_orderdate")).alias("month_text"),
         F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("v"),
     )
     months = compare_periods(df, ["city", "month_text"], "v", F.lit("1998-01-01").cast("date"))
