@@ -56,19 +56,19 @@ def join_attach_by_key_date(spark, sf):
     "join_full_outer",
     """
     with c as (select c_nationkey as nation, count(*) as customers from customer
-        where c_nationkey < 20 group by all),
+        where c_acctbal > 9000 group by all),
     s as (select s_nationkey as nation, count(*) as suppliers from supplier
-        where s_nationkey >= 5 group by all)
+        where s_acctbal > 5000 group by all)
     select nation, customers, suppliers from c full join s using (nation)
     """,
 )
 def join_full_outer(spark, sf):
     c = (
-        table(spark, sf, "customer").where("c_nationkey < 20")
+        table(spark, sf, "customer").where("c_acctbal > 9000")
         .groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("customers"))
     )
     s = (
-        table(spark, sf, "supplier").where("s_nationkey >= 5")
+        table(spark, sf, "supplier").where("s_acctbal > 5000")
         .groupBy(F.col("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("suppliers"))
     )
     return c.join(s, "nation", "full")
@@ -206,12 +206,12 @@ def join_anti(spark, sf):
     "join_left_outer",
     """
     select event_id, user_id, c_name, n_name from events
-      left join customer on user_id = c_custkey and c_nationkey < 12
+      left join customer on user_id = c_custkey and c_mktsegment <> 'BUILDING'
       left join nation on c_nationkey = n_nationkey
     """,
 )
 def join_left_outer(spark, sf):
-    info = table(spark, sf, "customer").where("c_nationkey < 12").join(
+    info = table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").join(
         broadcast_if_small(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")
     )
     return table(spark, sf, "events").join(

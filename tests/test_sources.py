@@ -56,6 +56,23 @@ def test_hourly_rows(hourly):
     assert [r.path.rsplit("/", 1)[1] for r in rejects.collect()] == ["PM10_2004.csv"]
 
 
+def test_hourly_files_may_be_split(spark, tmp_path):
+    """Headers are found and applied although no task sees the whole file."""
+    body = [line("O3", f"{n:06d}", "20150101", str(n), method="1") for n in range(1, 400)]
+    head = "Pollutant,{}NAPS ID,City,P/T,Latitude,Longitude,Date," + HOURS
+    text = "\n".join([head.format(""), head.format("Method,"), *body])
+    (tmp_path / "O3_2015.csv").write_bytes(text.encode("latin1"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows, rejects = H.read_hourly(spark, str(tmp_path))
+        assert H.read_ragged_csv(spark, str(tmp_path)).rdd.getNumPartitions() > 4
+        assert rejects.count() == 0
+        got = {r.napsid: r.h01 for r in rows.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {str(n): float(n) for n in range(1, 400)}
+
+
 def test_hourly_check(spark, hourly):
     rows, _ = hourly
     stations = spark.createDataFrame([("10102",), ("10103",)], "napsid string")
