@@ -9,23 +9,65 @@ from pyspark.sql import functions as F
 
 from hazeline.fixed_values import (
     ANALYSIS_COLUMNS, BAD_OBSERVATIONS, CITY_ORDER, COMPONENTS, LIMIT_RULES_SHORT,
-    STATION_EXCLUSIONS, WEATHER_COLUMNS,
+    PUBLISHED_COUNTS, STATION_EXCLUSIONS, STUDY_STATIONS, WEATHER_COLUMNS,
 )
 from hazeline.functions.dates import fill_date_parts, month_label
 from hazeline.operators import aggregates as A
 from hazeline.operators import split_date as S
 from hazeline.operators.columns import add_missing, with_prefix
-from hazeline.operators.joins import anti_ranges, literal_table
+from hazeline.operators.joins import anti_ranges, compare_with_reference, literal_table
 from hazeline.operators.models import polynomial_trend, simple_regression
 from hazeline.operators.naming import match_limits
 from hazeline.operators.quality import drop_null_rows, with_null_count
 from hazeline.operators.ranking import group_extreme, sigma_outliers
+from hazeline.operators.sets import add_relabelled_copy, relabel_branch
 from hazeline.plans import compose, summaries
 
 FIRST_DATA_COLUMN = ("season", "city", "date", "month")
 MAX_MISSING = 3
 
 
+def study_stations(metadata: DataFrame, chosen: Sequence[tuple] = STUDY_STATIONS) -> DataFrame:
+    """(station, city) of the chosen stations and of the stations combined with them.
+
+    ``metadata`` is the station table; its combined_stations column names one other station,
+    which takes the city of the station that refers to it.
+    """
+    listed = literal_table(metadata.sparkSession, "station string, city string", chosen)
+    own = metadata.select("station", "combined_stations").join(F.broadcast(listed), "station")
+    other = own.where(F.col("combined_stations").isNotNull()).select(
+        F.concat(F.lit("S"), F.col("combined_stations")).alias("station"), "city"
+    )
+    known = other.join(metadata.select("station"), "station", "left_semi")
+    return own.select("station", "city").unionByName(known)
+
+
+def published_comparison(
+    observations: DataFrame, last_year: int = 2008, published: Sequence[tuple] = PUBLISHED_COUNTS
+) -> DataFrame:
+    """Observations per city and station up to a year, beside the published counts."""
+    counts = observations.where(F.year("date") <= last_year).groupBy("city", "station").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    table = literal_table(
+        observations.sparkSession, "station string, n_published bigint", published
+    )
+    return compare_with_reference(counts, table, "station", "n", "n_published")
+
+
+def box_rows_after(after: DataFrame, city: str = "Edmonton", limit: float = 50.0) -> DataFrame:
+    """Later-period masses for the box plot: one city under its own label, and its values below
+    the limit once more among the other cities."""
+    rows = after.where(F.col("spec_pm2_5") >= 0).select(
+        "city", "spec_pm2_5", F.lit("no").alias("apart")
+    )
+    chosen = F.col("city") == city
+    labelled = relabel_branch(rows, chosen, {"apart": F.lit("yes")})
+    return add_relabelled_copy(
+        labelled, chosen & (F.col("spec_pm2_5") < limit), {"apart": F.lit("no")}
+    )
+
+
 def prepare(
     fine: DataFrame, blanks: DataFrame, stations: DataFrame,
     exclusions: Sequence[tuple] = STATION_EXCLUSIONS, cities: Sequence[str] = CITY_ORDER,
@@ -121,6 +163,9 @@ def study_tables(
         "box_outliers": A.box_outliers(
             measured, ["period", "city"], "spec_pm2_5", **quantile_options
         ),
+        "box_stats_after": A.box_stats(
+            box_rows_after(after), ["apart", "city"], "spec_pm2_5", **quantile_options
+        ),
         "monthly_mean_ci": A.mean_ci(labelled, month, "spec_pm2_5"),
         "january_mean_ci": A.mean_ci(january, ["city", "day"], "spec_pm2_5"),
         "january_outliers": sigma_outliers(january, ["city"], "spec_pm2_5"),

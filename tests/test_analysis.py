@@ -125,6 +125,29 @@ def test_study_tables(study):
     assert tables["with_weather"].columns.count("city") == 1
 
 
+def test_study_stations_and_published_counts(spark):
+    meta = spark.createDataFrame(
+        [("S30113", 30118), ("S30118", None), ("S60211", None), ("S9", None)],
+        "station string, combined_stations int",
+    )
+    got = sorted(map(tuple, analysis.study_stations(meta).collect()))
+    assert got == [("S30113", "Halifax"), ("S30118", "Halifax"), ("S60211", "Windsor")]
+    rows = [("Halifax", "S30113", date(2008, 12, 31))] * 5 + [("Halifax", "S30113", date(2009, 1, 1)),
+            ("Halifax", "S30118", date(2008, 1, 1))]
+    obs = spark.createDataFrame(rows, "city string, station string, date date")
+    row = analysis.published_comparison(obs).collect()
+    assert [(r.station, r.n, r.n_published, r["diff"]) for r in row] == [("S30113", 5, 177, -172)]
+
+
+def test_box_rows_repeat_one_city(spark):
+    rows = [("Edmonton", 60.0), ("Edmonton", 10.0), ("Halifax", 70.0), ("Halifax", -1.0), ("Halifax", None)]
+    df = spark.createDataFrame(rows, "city string, spec_pm2_5 double")
+    got = sorted(map(tuple, analysis.box_rows_after(df).collect()))
+    assert got == [
+        ("Edmonton", 10.0, "no"), ("Edmonton", 10.0, "yes"), ("Edmonton", 60.0, "yes"), ("Halifax", 70.0, "no"),
+    ]
+
+
 def test_gases_come_from_either_name(spark):
     df = spark.createDataFrame([(None, 2.0, 3.0, 4.0)], "spec_sulphur_dioxide double, "
                                "acidic_ic_spec_sulphur_dioxide double, spec_nitric_acid double, "
