@@ -42,8 +42,6 @@ TEXT_COLUMN_FRAGMENTS = (
     "f_c", "fraction", "naps", "date", "flag", "time", "x0", "id", "na",
 )
 
-DATE_KEYS = ("date", "year", "month", "day")
-
 # Pre-2010 carbon columns spread by cartridge.
 CARBON_VALUES = (
     "speciation_mass_ug_m3", "oc1", "oc2", "oc3", "oc4", "poc_r", "poc_t",

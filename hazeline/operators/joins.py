@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hazeline.functions.numeric import haversine_km
 from hazeline.operators.sizes import broadcast_if_small
@@ -40,6 +41,17 @@ def union_observations(*frames: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _rank(df: DataFrame, order: Sequence[str]) -> Column:
+    """Never-null sort key of the order columns, missing ones last.
+
+    A single whole number stays a number, which keeps aggregates over it hash-based; anything
+    else becomes a struct.
+    """
+    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, (T.IntegerType, T.LongType)):
+        return F.coalesce(F.col(order[0]).cast("long"), F.lit(2**63 - 1))
+    return F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))])
+
+
 def first_non_null(
     df: DataFrame, keys: Sequence[str], measures: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
@@ -47,8 +59,7 @@ def first_non_null(
 
     Rows with a missing key are left out. Combines before the shuffle.
     """
-    # A single number as order keeps the aggregate hash-based; a struct makes it sort-based.
-    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    rank = _rank(df, order)
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return (
         df.where(present)

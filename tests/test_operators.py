@@ -43,6 +43,16 @@ def test_first_present_value_by_priority(spark):
     assert got == [("s", 1, 7.0, 5.0), ("t", 1, None, None)]
 
 
+def test_value_with_a_missing_order_comes_last_but_is_kept(spark):
+    df = spark.createDataFrame(
+        [("k", None, 1.0), ("k", 5, 2.0), ("m", None, 3.0)], "k string, t bigint, v double"
+    )
+    want = [("k", 2.0), ("m", 3.0)]
+    assert rows(J.first_non_null(df, ["k"], ["v"], ["t"])) == want
+    assert rows(J.first_non_null(df, ["k"], ["v"], ["t", "v"])) == want
+    assert rows(J.merge_sources([df], ["k"], ["v"], ["t"])) == want
+
+
 def test_missing_date_of_excluded_key_is_dropped(spark):
     df = spark.createDataFrame(
         [("a", date(2014, 5, 26)), ("a", date(2014, 5, 27)), ("a", None), ("b", None)], "station string, date date"
