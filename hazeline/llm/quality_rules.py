@@ -53,8 +53,8 @@ class Measure:
 
 MEASURES = (
     Measure("symbols", "n_symbols", "word_chars", 1000, 20),
-    Measure("dup_lines", "n_dup_lines", "n_lines", 1000, 300),
-    Measure("word_length", "word_chars", "n_words", 100, 100, low_side=True),
+    Measure("dup_lines", "n_dup_lines", "n_lines", 1000, 500),
+    Measure("word_length", "word_chars", "n_words", 100, 300, low_side=True),
 )
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -268,7 +268,7 @@ WITH d AS (
          min(edge) FILTER (4 * below >= 3 * size) AS q3 FROM cum GROUP BY ALL
 ), fence AS (
   SELECT *, q1 - 3 * (q3 - q1) - slack AS low, q3 + 3 * (q3 - q1) + slack AS high
-  FROM q JOIN (VALUES ('symbols', 20), ('dup_lines', 300), ('word_length', 100)) sl(measure, slack) USING (measure)
+  FROM q JOIN (VALUES ('symbols', 20), ('dup_lines', 500), ('word_length', 300)) sl(measure, slack) USING (measure)
 ), pick AS (
   SELECT a.l AS lang, a.s AS source, a.measure,
          CASE WHEN a.size >= 50 THEN a.low WHEN b.size >= 50 THEN b.low ELSE c.low END AS low,
