@@ -37,11 +37,13 @@ MAX_REPEAT_PERCENT = 20
 MIN_GROUP = 50
 #: Fences lie this many interquartile ranges beyond the quartiles.
 REACH = 3
+#: and this part of the upper quartile, so that groups of nearly equal values keep their like.
+NEAR = 4
 
 
 @dataclass(frozen=True)
 class Measure:
-    """``scale * top / bottom`` as a whole number; slack keeps groups without spread from rejecting near values."""
+    """``scale * top / bottom`` as a whole number; slack is what a single odd line or word may add in a short text."""
 
     name: str
     top: str
@@ -167,7 +169,7 @@ def adaptive_thresholds(sketches: DataFrame) -> DataFrame:
         )
     )
     slack = F.create_map(*(F.lit(x) for m in MEASURES for x in (m.name, m.slack)))[F.col("measure")]
-    spread = REACH * (F.col("q3") - F.col("q1")) + slack
+    spread = REACH * (F.col("q3") - F.col("q1")) + F.expr(f"q3 DIV {NEAR}") + slack
     fences = quartiles.select(*key, "size", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
     own = fences.where("level = 0").select(
         F.col("l").alias("lang"), F.col("s").alias("source"), "measure",
@@ -267,7 +269,7 @@ WITH d AS (
   SELECT level, l, s, measure, max(size) AS size, min(edge) FILTER (4 * below >= size) AS q1,
          min(edge) FILTER (4 * below >= 3 * size) AS q3 FROM cum GROUP BY ALL
 ), fence AS (
-  SELECT *, q1 - 3 * (q3 - q1) - slack AS low, q3 + 3 * (q3 - q1) + slack AS high
+  SELECT *, q1 - 3 * (q3 - q1) - q3 // 4 - slack AS low, q3 + 3 * (q3 - q1) + q3 // 4 + slack AS high
   FROM q JOIN (VALUES ('symbols', 20), ('dup_lines', 500), ('word_length', 300)) sl(measure, slack) USING (measure)
 ), pick AS (
   SELECT a.l AS lang, a.s AS source, a.measure,
