@@ -1,6 +1,6 @@
 """Importing this module registers every query of the package."""
 
-from hazeline.llm import chat_format, decontaminate, line_dedup, mixing, quality_rules, simhash, token_counts, token_shards  # noqa: F401
+from hazeline.llm import chat_format, decontaminate, line_dedup, mixing, quality_rules, simhash, substring_dedup, token_counts, token_shards  # noqa: F401
 from hazeline.llm.registry import ORACLE, REGISTRY
 
 __all__ = ["ORACLE", "REGISTRY"]

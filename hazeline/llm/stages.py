@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -40,3 +41,12 @@ def discard(df: DataFrame) -> None:
         if "/corpus/" in folder:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(conf).delete(path, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of frames that are no longer referenced.
+
+    Its cleaner acts when the driver collects garbage, which a job of a few large stages may not see in time.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
