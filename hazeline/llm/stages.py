@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +47,11 @@ def discard(df: DataFrame) -> None:
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of frames that are no longer referenced.
 
-    Its cleaner acts when the driver collects garbage, which a job of a few large stages may not see in time.
+    Its cleaner acts when the driver collects garbage, which a job of a few large stages may not see in time. Python tells the
+    JVM of dropped frames from another thread, hence the short waits.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.3)
+        spark._jvm.System.gc()
+        time.sleep(0.3)

@@ -182,7 +182,11 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     named = materialise(
         docs.mapInArrow(representative_batches, "name long, doc long, first long, windows int"), "substring-names"
     )
-    shared = named.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    # written before it is joined, so that Spark can split a name that very many windows share
+    shared = materialise(
+        named.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "substring-shared"
+    )
+    release_shuffles(docs.sparkSession)
     ranges = materialise(
         named.join(shared, "name").groupBy("doc").agg(F.collect_list(F.struct("first", "windows")).alias("ranges")),
         "substring-ranges",
