@@ -51,9 +51,11 @@ def line_rows(docs: DataFrame) -> DataFrame:
 
 def shared(suffixes: DataFrame) -> DataFrame:
     """The suffixes whose name others have too, with ``first``, the place of the name's first member."""
-    intervals = (
+    # written before it is joined, so that Spark can split a name that very many suffixes share
+    intervals = materialise(
         suffixes.groupBy("name").agg(F.min(place()).alias("first"), F.max(place()).alias("last"))
-        .where(~F.col("first").eqNullSafe(F.col("last"))).select("name", "first")
+        .where(~F.col("first").eqNullSafe(F.col("last"))).select("name", "first"),
+        "line-intervals",
     )
     return suffixes.join(intervals, "name")
 
