@@ -1,16 +1,14 @@
-"""Exact quantiles (linear interpolation between order statistics) by group.
+"""Exact quantiles (linear interpolation between order statistics) by group, by counting.
 
-Small inputs use the built-in ``percentile``. That aggregate keeps every distinct value of
-a group in one task, so beyond a checked input size a bracketed selection takes over:
+1. One map-side combined pass makes an approximate-quantile sketch per group, whose rank error is bounded, and from it an
+   interval around every wanted order statistic.
+2. A second pass counts rows outside the intervals (one row per gap) and value counts inside them, again combined before
+   the shuffle.
+3. Each interval is cut into BUCKETS equal parts. The ranks at which parts begin follow from a running sum over parts, of
+   which a group has a fixed number, and only the few parts that hold a wanted rank are put in order.
 
-1. one map-side combined pass makes an approximate-quantile sketch per group, whose rank
-   error is bounded, and from it an interval around every wanted order statistic;
-2. a second pass counts rows outside the intervals (one row per gap) and value counts
-   inside them, again combined before the shuffle; ranks follow from a running sum.
-
-The intervals reach the rows by broadcast while the groups are few (they are counted first),
-so the raw rows of a hot group are never shuffled; beyond that by a salted join, which
-spreads a hot group over several tasks. The result is exact either way.
+So no task sees a group's values, whatever the group's size: a part holds about 1 / BUCKETS of an interval's distinct values, and
+an interval a few times 1 / accuracy of the rows. The same steps run at every size and give the same digits.
 """
 
 from __future__ import annotations
@@ -22,13 +20,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hazeline.operators.joins import null_safe_join
-from hazeline.operators.sizes import MIB, estimated_bytes
-from hazeline.sources.stages import ensure_checkpoint_dir
+from hazeline.sources.stages import staged
 
-BUILTIN_LIMIT = 256 * MIB
 ACCURACY = 10_000
-BROADCAST_GROUPS = 200_000
-SALTS = 16
+BUCKETS = 1_000
 
 
 def exact_quantiles(
@@ -37,9 +32,8 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     names: Sequence[str],
-    builtin_limit: int = BUILTIN_LIMIT,
     accuracy: int = ACCURACY,
-    broadcast_groups: int = BROADCAST_GROUPS,
+    buckets: int = BUCKETS,
     extra: Sequence[Column] = (),
 ) -> DataFrame:
     """Columns: keys, n (present values), one column per probability, then ``extra``.
@@ -47,121 +41,103 @@ def exact_quantiles(
     ``extra`` holds aliased aggregates over the column ``v`` (the value as double).
     Groups without any present value are kept, with null quantiles.
     """
-    values = df.select(*keys, F.col(value).cast("double").alias("v"))
-    if estimated_bytes(values) <= builtin_limit:
-        return _builtin(values, keys, probs, names, extra)
-    return _bracketed(values, keys, probs, names, accuracy, broadcast_groups, extra)
-
-
-def _builtin(values, keys, probs, names, extra):
-    grouped = values.groupBy(*keys).agg(
-        F.count("v").alias("n"),
-        F.percentile("v", F.lit(list(map(float, probs)))).alias("q"),
-        *extra,
+    probs = list(map(float, probs))
+    keyed = df if keys else df.withColumn("__all", F.lit(0))
+    by = list(keys) or ["__all"]
+    values = keyed.select(*by, F.col(value).cast("double").alias("v"))
+    # Written out because every later step must see the very same intervals, also after a lost executor.
+    groups = staged(group_sketches(values, by, probs, accuracy, extra), "quantile-groups")
+    counted = staged(
+        interval_counts(values, by, interval_edges(groups, by, probs, accuracy), len(probs), buckets), "quantile-counts"
+    )
+    picked = picked_ranks(counted, by, probs)
+    position = [(F.col("n") - 1) * F.lit(p) for p in probs]
+    quantiles = picked.select(
+        *by,
+        *[
+            (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (position[i] - F.floor(position[i]))).alias(name)
+            for i, name in enumerate(names)
+        ],
     )
-    picks = [F.col("q")[i].alias(name) for i, name in enumerate(names)]
-    rest = [c for c in grouped.columns if c not in {*keys, "n", "q"}]
-    return grouped.select(*keys, "n", *picks, *rest)
+    kept = groups.drop("vmin", "vmax", "s")
+    rest = [c for c in kept.columns if c not in {*by, "n"}]
+    return null_safe_join(kept, quantiles, by, "left").select(*keys, "n", *names, *rest)
 
 
-def _bracketed(values, keys, probs, names, accuracy, broadcast_groups, extra):
-    ensure_checkpoint_dir(values.sparkSession)
+def bounds_of(probs: Sequence[float], accuracy: int) -> tuple[list[float], list[float]]:
+    """Probabilities a little below and above the wanted ones, beyond the sketch's rank error."""
     eps = 1.0 / accuracy
-    probs = list(map(float, probs))
-    lows = [max(p - 2 * eps, 0.0) for p in probs]
-    highs = [min(p + 2 * eps, 1.0) for p in probs]
-    # Groups this small keep all rows inside the first interval: the sketch's rank error
-    # is then below the slack of a few ranks that interpolation needs.
-    small = 5 * accuracy
-
-    # One row per group. Written out because both the gap counts and the interval contents
-    # below must see the very same intervals, also after a lost executor.
-    sketch = F.percentile_approx("v", F.lit(lows + highs), F.lit(accuracy))
-    groups = (
-        values.groupBy(*keys)
-        .agg(
-            F.count("v").alias("n"),
-            F.min("v").alias("vmin"),
-            F.max("v").alias("vmax"),
-            sketch.alias("s"),
-            *extra,
-        )
-        .checkpoint()
-    )
-    k = len(probs)
-    low_edge = [
-        F.when(F.col("n") <= small, F.col("vmin")).otherwise(
-            F.col("vmin") if lows[i] == 0.0 else F.col("s")[i]
-        )
-        for i in range(k)
-    ]
-    high_edge = [
-        F.when(F.col("n") <= small, F.col("vmax")).otherwise(
-            F.col("vmax") if highs[i] == 1.0 else F.col("s")[k + i]
-        )
-        for i in range(k)
-    ]
-    edges = groups.select(
-        *keys, "n",
-        *[e.alias(f"a{i}") for i, e in enumerate(low_edge)],
-        *[e.alias(f"b{i}") for i, e in enumerate(high_edge)],
+    return [max(p - 2 * eps, 0.0) for p in probs], [min(p + 2 * eps, 1.0) for p in probs]
+
+
+def group_sketches(values, by, probs, accuracy, extra):
+    lows, highs = bounds_of(probs, accuracy)
+    return values.groupBy(*by).agg(
+        F.count("v").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"),
+        F.percentile_approx("v", F.lit(lows + highs), F.lit(accuracy)).alias("s"), *extra,
     )
 
+
+def interval_edges(groups, by, probs, accuracy):
+    """keys, n and the ends a0.., b0.. of the interval of each probability.
+
+    Groups of few rows keep all of them inside: their sketch's rank error is below the slack of a few ranks that
+    interpolation needs.
+    """
+    lows, highs = bounds_of(probs, accuracy)
+    few = F.col("n") <= 5 * accuracy
+    ends = []
+    for i in range(len(probs)):
+        low = F.col("vmin") if lows[i] == 0.0 else F.when(few, F.col("vmin")).otherwise(F.col("s")[i])
+        high = F.col("vmax") if highs[i] == 1.0 else F.when(few, F.col("vmax")).otherwise(F.col("s")[len(probs) + i])
+        ends += [low.alias(f"a{i}"), high.alias(f"b{i}")]
+    return groups.select(*by, "n", *ends)
+
+
+def interval_counts(values, by, edges, k, buckets):
+    """keys, n, segment, bucket, x, c: value counts inside the intervals, and one row with neither bucket nor x for each gap.
+
+    Segment i begins with the i-th interval; its gap comes behind its values.
+    """
     v = F.col("v")
-    rows = values.where(v.isNotNull())
-    if keys and edges.limit(broadcast_groups + 1).count() <= broadcast_groups:
-        rows = null_safe_join(rows, F.broadcast(edges), keys, "inner")
-    elif keys:
-        # The salt also makes the grouping below need its own shuffle, which is what lets
-        # Spark split partitions of this join that are still too large.
-        # It comes from the task, not the value: many equal values must spread too, and a
-        # repeated task must give the same salts.
-        salt = F.spark_partition_id() % SALTS
-        spread = edges.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = null_safe_join(rows.withColumn("salt", salt), spread, [*keys, "salt"], "inner")
-    else:
-        bounds = edges.first()
-        rows = rows.select(v, *[F.lit(bounds[c]).alias(c) for c in edges.columns])
+    rows = null_safe_join(values.where(v.isNotNull()), edges, by, "inner")
     segment, inside = F.lit(0), F.lit(False)
+    low, high = F.lit(None).cast("double"), F.lit(None).cast("double")
     for i in range(k):
-        segment = segment + (v >= F.col(f"a{i}")).cast("int")
+        begun = v >= F.col(f"a{i}")
+        segment = segment + begun.cast("int")
         inside = inside | v.between(F.col(f"a{i}"), F.col(f"b{i}"))
-    # In a segment the interval contents come first, then the uncounted gap behind them.
-    counted = (
-        rows.groupBy(*keys, "n", segment.alias("segment"), F.when(inside, v).alias("x"))
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    order = W.partitionBy(*keys).orderBy("segment", F.col("x").asc_nulls_last())
-    ranked = counted.withColumn(
-        "last", F.sum("c").over(order.rowsBetween(W.unboundedPreceding, 0)) - 1
-    ).withColumn("first", F.col("last") - F.col("c") + 1)
-
-    picks = []
+        low, high = F.when(begun, F.col(f"a{i}")).otherwise(low), F.when(begun, F.col(f"b{i}")).otherwise(high)
+    # not a number where an end is infinite; then all of the interval is one part or the last one
+    part = F.nanvl((v - low) / F.when(high > low, high - low), F.lit(1.0))
+    bucket = F.coalesce(F.least(F.floor(part * buckets), F.lit(buckets - 1)), F.lit(0))
+    return rows.groupBy(
+        *by, "n", segment.alias("segment"), F.when(inside, bucket).alias("bucket"), F.when(inside, v).alias("x")
+    ).agg(F.count(F.lit(1)).alias("c"))
+
+
+def picked_ranks(counted, by, probs):
+    """keys, n and the values lo0, hi0.. at the ranks around each quantile's position."""
+    parts = counted.groupBy(*by, "n", "segment", "bucket").agg(F.sum("c").alias("c"))
+    order = W.partitionBy(*by).orderBy("segment", F.col("bucket").asc_nulls_last())
+    before = F.coalesce(F.sum("c").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    wanted = {}
     for i, p in enumerate(probs):
-        h = (F.col("n") - 1) * F.lit(p)
-        lo = F.floor(h)
-        hi = F.least(lo + 1, F.col("n") - 1)
-        picks.append(F.max(F.when(lo.between(F.col("first"), F.col("last")), F.col("x"))).alias(f"lo{i}"))
-        picks.append(F.max(F.when(hi.between(F.col("first"), F.col("last")), F.col("x"))).alias(f"hi{i}"))
-    picked = ranked.where(F.col("x").isNotNull()).groupBy(*keys, "n").agg(*picks)
-    quantiles = picked.select(
-        *keys,
-        *[
-            (
-                F.col(f"lo{i}")
-                + (F.col(f"hi{i}") - F.col(f"lo{i}"))
-                * ((F.col("n") - 1) * F.lit(p) - F.floor((F.col("n") - 1) * F.lit(p)))
-            ).alias(name)
-            for i, (p, name) in enumerate(zip(probs, names))
-        ],
+        lo = F.floor((F.col("n") - 1) * F.lit(p))
+        wanted |= {f"lo{i}": lo, f"hi{i}": F.least(lo + 1, F.col("n") - 1)}
+    holds = F.lit(False)
+    for rank in wanted.values():
+        holds = holds | rank.between(F.col("begin"), F.col("begin") + F.col("c") - 1)
+    few = (
+        parts.withColumn("begin", before).where(F.col("bucket").isNotNull() & holds)
+        .select(*by, "segment", "bucket", "begin")
     )
-    kept = groups.drop("vmin", "vmax", "s")
-    rest = [c for c in kept.columns if c not in {*keys, "n"}]
-    if keys:
-        joined = null_safe_join(kept, quantiles, keys, "left")
-    else:
-        row = kept.first()
-        joined = quantiles.select(
-            *[F.lit(row[c]).alias(c) for c in kept.columns], *names
-        )
-    return joined.select(*keys, "n", *names, *rest)
+    rows = null_safe_join(counted.where(F.col("x").isNotNull()), few, [*by, "segment", "bucket"], "inner")
+    inner = W.partitionBy(*by, "segment", "bucket").orderBy("x").rowsBetween(W.unboundedPreceding, 0)
+    ranked = rows.withColumn("last", F.col("begin") + F.sum("c").over(inner) - 1).withColumn(
+        "first", F.col("last") - F.col("c") + 1
+    )
+    picks = [
+        F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col("x"))).alias(name) for name, rank in wanted.items()
+    ]
+    return ranked.groupBy(*by, "n").agg(*picks)

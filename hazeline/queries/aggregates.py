@@ -216,7 +216,7 @@ def agg_box_outliers(spark, sf):
 def agg_hourly_to_daily(spark, sf):
     wide = hour_wide(table(spark, sf, "events"))
     return wide.select(
-        "pollutant", "napsid", "date",
+        "pollutant", "napsid", text_date("date").alias("date"),
         r(row_mean(*[F.col(h) for h in HOUR_COLUMNS])).alias("summary"),
     )
 
@@ -225,7 +225,7 @@ def hour_wide(events):
     """One row per pollutant, station and day with 24 hour columns."""
     return events.groupBy(
         F.col("event_type").alias("pollutant"), F.col("user_id").alias("napsid"),
-        text_date("ts").alias("date"),
+        F.to_date("ts").alias("date"),
     ).agg(
         *[
             F.avg(F.when(F.hour("ts") == i, F.col("value"))).alias(h)

@@ -29,12 +29,13 @@ def r(column: Column | str, digits: int = 6) -> Column:
     """Rounded half away from zero, never negative zero.
 
     In binary arithmetic, like the SQL side: ``round`` goes through decimals, which costs more
-    than most of the queries themselves and differs in the last digit on near ties.
+    than most of the queries themselves and differs in the last digit on near ties. A double of
+    2^52 and more after scaling has no fraction to round and stays as it is.
     """
     c = F.col(column) if isinstance(column, str) else column
     scaled = c.cast("double") * F.lit(10.0**digits)
     whole = F.when(scaled >= 0, F.floor(scaled + 0.5)).otherwise(F.ceil(scaled - 0.5))
-    return whole / F.lit(10.0**digits)
+    return F.when(F.abs(scaled) < F.lit(2.0**52), whole / F.lit(10.0**digits)).otherwise(c.cast("double"))
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:

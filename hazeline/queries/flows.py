@@ -9,7 +9,7 @@ from hazeline.plans import daily_stations, harmonise, sampler_timeline
 from hazeline.queries.aggregates import hour_wide
 from hazeline.queries.base import query, rounded, table, text_date
 
-POLLUTANTS = ("click", "error", "view")
+POLLUTANTS = ("click", "error", "purchase", "signup", "view")
 
 
 @query(
@@ -35,7 +35,7 @@ POLLUTANTS = ("click", "error", "view")
     """,
 )
 def pipe_daily_station_table(spark, sf):
-    hourly = hour_wide(table(spark, sf, "events")).withColumn("date", F.to_date("date"))
+    hourly = hour_wide(table(spark, sf, "events"))
     wide = daily_stations.spread_pollutants(daily_stations.daily_means(hourly), POLLUTANTS)
     mass = (
         table(spark, sf, "orders")

@@ -116,25 +116,29 @@ def join_union_observations(spark, sf):
     return J.union_observations(early, late)
 
 
+FOLDED = ("click", "error", "purchase", "signup", "view")
+
+
 @query(
     "join_fold_full_outer",
     """
     with d as (select user_id, cast(ts as date) as date, event_type, max(value) as v
-        from events group by all),
-    a as (select user_id, date, v as click from d where event_type = 'click'),
-    b as (select user_id, date, v as view from d where event_type = 'view'),
-    c as (select user_id, date, v as purchase from d where event_type = 'purchase')
-    select user_id, cast(date as varchar) as date, click, view, purchase
-    from a full join b using (user_id, date) full join c using (user_id, date)
-    """,
+        from events group by all)
+    select user_id, cast(date as varchar) as date, """
+    + ", ".join(FOLDED)
+    + " from "
+    + " full join ".join(
+        f"(select user_id, date, v as {k} from d where event_type = '{k}') t{i}"
+        + (" using (user_id, date)" if i else "")
+        for i, k in enumerate(FOLDED)
+    ),
 )
 def join_fold_full_outer(spark, sf):
-    kinds = ("click", "view", "purchase")
-    long = (
-        table(spark, sf, "events").where(F.col("event_type").isin(*kinds))
-        .select("user_id", text_date("ts").alias("date"), "event_type", "value")
+    long = table(spark, sf, "events").select(
+        "user_id", F.to_date("ts").alias("date"), "event_type", "value"
     )
-    return J.fold_full_outer(long, ["user_id", "date"], "event_type", "value", kinds)
+    folded = J.fold_full_outer(long, ["user_id", "date"], "event_type", "value", FOLDED)
+    return folded.withColumn("date", text_date("date"))
 
 
 @query(
@@ -157,7 +161,7 @@ def join_fold_full_outer(spark, sf):
 def merge_sources_first_value(spark, sf):
     """Three sources with different columns, the more trusted one first."""
     events = table(spark, sf, "events").select(
-        "user_id", text_date("ts").alias("date"), "event_id", "event_type",
+        "user_id", F.to_date("ts").alias("date"), "event_id", "event_type",
         F.expr("case when event_type <> 'view' then value end").alias("a"),
         F.expr("case when event_id % 4 = 0 then null else value end").alias("b"),
         F.col("value").alias("c"),
@@ -166,9 +170,10 @@ def merge_sources_first_value(spark, sf):
     first = events.where(kind == "purchase").drop("event_type", "c")
     second = events.where(kind == "click").drop("event_type", "c")
     third = events.where(~kind.isin("purchase", "click")).drop("event_type")
-    return J.merge_sources(
+    merged = J.merge_sources(
         [first, second, third], ["user_id", "date"], ["a", "b", "c"], ["event_id"]
     )
+    return merged.withColumn("date", text_date("date"))
 
 
 @query(

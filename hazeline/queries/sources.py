@@ -21,7 +21,7 @@ from hazeline.queries.base import query, r, table, text_date
     select o_orderkey, """
     + ", ".join(
         f"case when trim(replace(c[{i}], '\"', '')) in ('NA','','-','-999','-999.000') then null"
-        f" else trim(replace(c[{i}], '\"', '')) end as v{i}" for i in range(1, 6)
+        f" else trim(replace(c[{i}], '\"', '')) end as v{i}" for i in range(1, 8)
     )
     + " from t",
 )
@@ -32,8 +32,8 @@ def src_ragged_csv(spark, sf):
         "when 1 then concat(o_orderkey, ',', o_orderstatus, ', ', o_orderpriority, ' ,-,x') "
         "else concat(o_orderkey, ',\"', o_orderpriority, '\",NA,', o_custkey, ',y,extra,more') end"
     )
-    df = table(spark, sf, "orders").select("o_orderkey", ragged_cells(line, 5).alias("cells"))
-    return df.select("o_orderkey", *[F.get("cells", F.lit(i)).alias(f"v{i + 1}") for i in range(5)])
+    df = table(spark, sf, "orders").select("o_orderkey", ragged_cells(line, 7).alias("cells"))
+    return df.select("o_orderkey", *[F.get("cells", F.lit(i)).alias(f"v{i + 1}") for i in range(7)])
 
 
 def words(line):
@@ -55,20 +55,18 @@ LINES = """
     "src_raw_grid",
     LINES
     + """
-    select doc_id, row_no, string_split(line, ' ')[1] as first_cell,
-      len(string_split(line, ' ')) as n_cells from lines
+    select doc_id, row_no, unnest(range(1, len(string_split(line, ' ')) + 1)) as cell_no,
+      unnest(string_split(line, ' ')) as cell from lines
     """,
 )
 def src_raw_grid(spark, sf):
     return G.grid_rows(document_grids(spark, sf), words).select(
-        "doc_id", "row_no", F.get("cells", F.lit(0)).alias("first_cell"),
-        F.size("cells").alias("n_cells"),
-    )
+        "doc_id", "row_no", F.posexplode("cells").alias("cell_no", "cell")
+    ).withColumn("cell_no", F.col("cell_no") + 1)
 
 
 HEADER = "(?i)tion|ment"
 OPTIONAL = ("of", "the", "la", "que", "and")
-WIDTH = 31
 HEADER_SQL = (
     LINES
     + f"""
@@ -80,8 +78,8 @@ HEADER_SQL = (
     b as (select o.doc_id, row_no, opt, header, string_split(line, ' ') as c from o
         join lines using (doc_id) where row_no > header_row),
     s as (select doc_id, row_no,
-        case when opt then header[1:1] || header[3:{WIDTH + 1}] else header[1:{WIDTH}] end as hd,
-        case when opt then c[1:1] || c[3:{WIDTH + 1}] else c[1:{WIDTH}] end as cs from b)
+        case when opt then header[1:1] || header[3:] else header end as hd,
+        case when opt then c[1:1] || c[3:] else c end as cs from b)
 """
 )
 
@@ -90,14 +88,14 @@ HEADER_SQL = (
     "src_header_row",
     HEADER_SQL
     + """
-    , z as (select doc_id, row_no, unnest(range(1, least(len(hd), len(cs)) + 1)) as pos, hd, cs from s)
-    select doc_id, lower(hd[pos]) as col_name, count(*) as n_values, sum(length(cs[pos])) as n_chars
+    , z as (select doc_id, row_no, unnest(range(1, len(cs) + 1)) as pos, hd, cs from s)
+    select doc_id, lower(coalesce(hd[pos], '...' || pos)) as col_name, count(*) as n_values, sum(length(cs[pos])) as n_chars
     from z group by all
     """,
 )
 def src_header_row(spark, sf):
     flagged = headed(spark, sf).withColumn("optional", G.has_optional_column(F.col("header"), OPTIONAL))
-    long = G.promote_long(flagged, ["doc_id"], cells=words, optional="optional", width=WIDTH)
+    long = G.promote_long(flagged, ["doc_id"], cells=words, optional="optional")
     return long.groupBy("doc_id", F.lower("col_name").alias("col_name")).agg(
         F.count(F.lit(1)).alias("n_values"), F.sum(F.length("value")).alias("n_chars")
     )
@@ -140,7 +138,7 @@ def src_last_header(spark, sf):
     + """
     , n as (select *, lead(line) over (partition by doc_id order by row_no) as next from lines)
     select doc_id, row_no as marker_row, string_split(line, ' ')[1] as marker,
-      array_to_string(string_split(next, ' ')[1:3], ' ') as next_cells
+      array_to_string(string_split(next, ' '), ' ') as next_cells
     from n where contains(string_split(line, ' ')[1], 'tion')
     """,
 )
@@ -149,7 +147,7 @@ def win_next_row_after_marker(spark, sf):
     return found.withColumn(
         "next_cells",
         F.when(
-            F.col("next_cells").isNotNull(), F.concat_ws(" ", F.slice("next_cells", 1, 3))
+            F.col("next_cells").isNotNull(), F.concat_ws(" ", "next_cells")
         ),
     )
 

@@ -105,10 +105,18 @@ def has_optional_column(header: Column, spellings: Sequence[str]) -> Column:
     return F.coalesce(F.get(header, F.lit(1)).isin(*spellings), F.lit(False))
 
 
-def narrowed(cells: Column, optional: Column, width: int) -> Column:
-    """Cells without column 2 where it is the optional one, at most ``width``."""
-    dropped = F.concat(F.slice(cells, 1, 1), F.slice(cells, 3, width - 1))
-    return F.when(optional, dropped).otherwise(F.slice(cells, 1, width))
+def narrowed(cells: Column, optional: Column) -> Column:
+    """Cells without column 2 where it is the optional one."""
+    dropped = F.concat(F.slice(cells, 1, 1), F.slice(cells, F.lit(3), F.size(cells)))
+    return F.when(optional, dropped).otherwise(cells)
+
+
+def full_names(names: Column, cells: Column) -> Column:
+    """A name for each cell; those beyond the header are named by their place."""
+    places = F.filter(F.sequence(F.lit(1), F.size(cells) + 1), lambda i: i <= F.size(cells))
+    return F.transform(
+        places, lambda i: F.when(i > F.size(names), F.concat(F.lit("..."), i)).otherwise(F.get(names, i - 1))
+    )
 
 
 def with_header(
@@ -161,22 +169,19 @@ def explode_body(
 
 def promote_long(
     df: DataFrame, keep: Sequence[str], names: str = "header",
-    cells: CellCutter = comma_cells, optional: str | None = None, width: int | None = None,
+    cells: CellCutter = comma_cells, optional: str | None = None,
 ) -> DataFrame:
     """Header cells become column names: (keep..., row_no, col_name, value).
 
-    With ``optional`` (a flag column per file) and ``width``, names and cells are narrowed to
-    the fixed layout first.
+    With ``optional``, a flag column per file, the second column goes where it is set.
     """
     more = [optional] if optional else []
     body = explode_body(df, [*keep, names, *more], cells)
     if optional:
         flag = F.col(optional)
-        body = body.withColumns(
-            {names: narrowed(F.col(names), flag, width), "cells": narrowed(F.col("cells"), flag, width)}
-        )
+        body = body.withColumns({names: narrowed(F.col(names), flag), "cells": narrowed(F.col("cells"), flag)})
     zipped = F.zip_with(
-        F.col(names), F.col("cells"),
+        full_names(F.col(names), F.col("cells")), F.col("cells"),
         lambda n, c: F.struct(n.alias("col_name"), c.alias("value")),
     )
     return body.select(*keep, "row_no", F.inline(zipped)).where(

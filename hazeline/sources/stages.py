@@ -10,16 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as the session names it.
+    """The folder all executors see: ``spark.checkpoint.dir``, or the checkpoint folder set on the context.
 
-    Only a local session, as in tests, may fall back to a temporary folder.
+    Only a local session, as in tests, may fall back to a temporary folder, one for the session.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="hazeline-")
+    folder = tempfile.mkdtemp(prefix="hazeline-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -31,12 +33,20 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/stages/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read back: computed once, and kept if an executor is lost."""
+    path = stage_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return read_stage(df.sparkSession, path, df.schema)
+
+
 def write_stage(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
 ) -> None:
-    """Parquet by partition; rows sorted inside tasks so that row groups can be skipped."""
+    """Parquet by partition; ranges of rows to each task, sorted so that row groups can be skipped."""
     if cluster_by:
-        df = df.sortWithinPartitions(*partition_by, *cluster_by)
+        # ranges, so that a partition is written by few tasks and a hot one by several
+        df = df.repartitionByRange(*partition_by, *cluster_by).sortWithinPartitions(*partition_by, *cluster_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -32,9 +32,7 @@ def expected():
     return groups
 
 
-@pytest.mark.parametrize("options", [{}, {"builtin_limit": 0}, {"builtin_limit": 0, "accuracy": 100},
-    {"builtin_limit": 0, "accuracy": 100, "broadcast_groups": 3},
-])
+@pytest.mark.parametrize("options", [{}, {"accuracy": 100}, {"accuracy": 100, "buckets": 3}])
 def test_by_group(df, options):
     got = {r.k: r for r in exact_quantiles(df, ["k"], "v", PROBS, NAMES, **options).collect()}
     want = expected()
@@ -48,7 +46,7 @@ def test_by_group(df, options):
                 assert got[k][name] is None
 
 
-@pytest.mark.parametrize("options", [{}, {"builtin_limit": 0, "accuracy": 100}])
+@pytest.mark.parametrize("options", [{}, {"accuracy": 100}])
 def test_whole_table(df, options):
     row = exact_quantiles(df, [], "v", PROBS, NAMES, **options).first()
     values = [v for _, v in rows() if v is not None]
@@ -57,8 +55,8 @@ def test_whole_table(df, options):
         assert row[name] == pytest.approx(np.quantile(values, p), rel=1e-12)
 
 
-def test_bracketed_plan_takes_the_same_route_in_summaries(df):
-    hard = {"builtin_limit": 0, "accuracy": 100}
+def test_narrow_intervals_give_the_same_summaries(df):
+    hard = {"accuracy": 100}
     for fn in (
         lambda **o: box_stats(df, ["k"], "v", **o),
         lambda **o: median_iqr(df, ["k"], ["v"], **o),
