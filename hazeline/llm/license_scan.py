@@ -6,8 +6,8 @@ most SAMPLE_DOCS documents, those with the smallest hashes, whose lines speak of
 probability that a family must reach is set above all that held-out paragraphs without a licence reach. A prediction counts
 only if it also holds CONFIRM of the word pairs of one template of its family.
 
-Scoring is one expression over the lines of a document, without a shuffle: a line without any word that has a weight
-gets the intercepts alone, which are the unknown class, and is passed over.
+Scoring is one expression over the lines of a document, without a shuffle. Lines that no template could confirm are passed
+over at once: ``telling_words`` is a set of words such that each CONFIRM part of a template's pairs holds one of them.
 
 Nulls and odd rows: a null text has no paragraphs; blank lines are not counted; every input row gives one output row; an empty table
 gives an empty result. Other columns are not looked at, and ``scanned`` passes all of them on.
@@ -15,7 +15,8 @@ gives an empty result. Other columns are not looked at, and ``scanned`` passes a
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, replace
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, StringIndexer
@@ -152,15 +153,13 @@ def training_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of each gram for each family, the families in order, intercepts, and the probability to reach."""
+    """Weights of each gram for each family, the families in order, intercepts, the probability to reach, telling words."""
 
     families: list[str]
     weights: dict[str, list[float]]
     intercepts: list[float]
     threshold: float
-
-    def words(self) -> list[str]:
-        return sorted({w for gram in self.weights for w in gram.split(" ")})
+    telling: list[str]
 
     def scores(self, grams: Column) -> Column:
         weights = F.create_map(*(x for g, row in self.weights.items() for x in (F.lit(g), F.array(*map(F.lit, row)))))
@@ -179,6 +178,25 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def plain_words(text: str) -> list[str]:
+    return [w for w in re.split("[^a-z0-9]+", text.lower()) if w]
+
+
+def telling_words(ordinary: set[str]) -> list[str]:
+    """Words of templates, without ordinary ones wherever the rest is enough.
+
+    A line is confirmed by CONFIRM of a template's pairs. If fewer of its pairs are without telling words, such a line has one.
+    """
+    telling = {w for texts in TEMPLATES.values() for t in texts for w in plain_words(t)} - ordinary
+    for texts in TEMPLATES.values():
+        for t in texts:
+            words = plain_words(t)
+            pairs = set(zip(words, words[1:], strict=False))
+            if sum(not telling & set(p) for p in pairs) >= CONFIRM * len(pairs):
+                telling |= set(words)
+    return sorted(telling)
+
+
 def train(spark: SparkSession, docs: DataFrame) -> Model:
     rows = training_rows(spark, docs).withColumn("grams", grams_of(F.col("words"))).coalesce(2).cache()
     fitted = rows.where("NOT held_out")
@@ -188,21 +206,22 @@ def train(spark: SparkSession, docs: DataFrame) -> Model:
     fit = regression.fit(counter.transform(index.transform(fitted)))
     matrix = fit.coefficientMatrix.toArray().T
     weights = {g: [round(float(x), 6) for x in row] for g, row in zip(counter.vocabulary, matrix, strict=True) if row.any()}
-    model = Model(list(index.labels), weights, [round(float(x), 6) for x in fit.interceptVector.toArray()], LOWEST)
+    # the words of a bounded number of lines
+    common = rows.where(F.col("family") == UNKNOWN).select(F.explode("words").alias("w")).distinct().collect()
+    telling = telling_words({r.w for r in common})
+    model = Model(list(index.labels), weights, [round(float(x), 6) for x in fit.interceptVector.toArray()], LOWEST, telling)
     unknown = model.families.index(UNKNOWN)
-    if max(model.intercepts) > model.intercepts[unknown]:
-        raise ValueError("a line without features must be unknown")
     chance = 1 - let(model.scores(F.col("grams")), lambda x: model.probability(x, unknown))
     reached = rows.where("held_out").where(F.col("family") == UNKNOWN).agg(F.max(chance)).first()[0]
     rows.unpersist()
-    return Model(model.families, weights, model.intercepts, min(HIGHEST, max(LOWEST, reached or 0.0)))
+    return replace(model, threshold=min(HIGHEST, max(LOWEST, reached or 0.0)))
 
 
 def scanned(docs: DataFrame, model: Model) -> DataFrame:
     """docs with ``__paragraphs``, the number of its lines that are not blank, and ``__licences``, an array of (family, line) in order."""
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.length(F.trim(x)) > 0)
-    weighted = F.array(*map(F.lit, model.words()))
-    speaking = F.filter(lines, lambda x: F.arrays_overlap(F.split(F.lower(x), "[^a-z0-9]+"), weighted))
+    telling = F.array(*map(F.lit, model.telling))
+    speaking = F.filter(lines, lambda x: F.arrays_overlap(F.split(F.lower(x), "[^a-z0-9]+"), telling))
     families = F.array(*map(F.lit, model.families))
     templates = F.create_map(
         *(x for f, texts in TEMPLATES.items() for x in (F.lit(f), F.array(*(pairs_of(line_words(F.lit(t))) for t in texts))))

@@ -51,3 +51,13 @@ def test_query_odd_rows_and_empty(spark, odd_docs, as_table):
 def test_plan_is_native(make_docs, model):
     plan = ls.scanned(make_docs([(1, "a")]), model)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_no_confirmed_line_is_without_a_telling_word():
+    ordinary = {"the", "under", "of", "and", "this", "to", "in", "released", "license", "cc", "by", "4", "0", "mit"}
+    telling = set(ls.telling_words(ordinary))
+    for texts in ls.TEMPLATES.values():
+        for t in texts:
+            words = ls.plain_words(t)
+            pairs = set(zip(words, words[1:]))
+            assert sum(bool(telling & set(p)) for p in pairs) > (1 - ls.CONFIRM) * len(pairs)
