@@ -12,6 +12,7 @@ from hazeline.fixed_values import BOX_PROBS, NOTCH_FACTOR
 from hazeline.functions.stats import ci_half_width
 from hazeline.operators.joins import null_safe_join
 from hazeline.operators.quantiles import exact_quantiles
+from hazeline.sources.stages import staged
 
 
 def numeric_columns(df: DataFrame, but: Sequence[str] = ()) -> list[str]:
@@ -73,10 +74,12 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str, **options) -> Data
 
 def box_outliers(df: DataFrame, keys: Sequence[str], value: str, **options) -> DataFrame:
     """Rows outside the whiskers, one row per outlier (never a collected list)."""
-    bounds = exact_quantiles(
-        df.where(F.col(value).isNotNull()), keys, value, (BOX_PROBS[0], BOX_PROBS[-1]),
-        ("ymin", "ymax"), **options,
-    ).drop("n")
+    bounds = staged(
+        exact_quantiles(
+            df.where(F.col(value).isNotNull()), keys, value, (BOX_PROBS[0], BOX_PROBS[-1]), ("ymin", "ymax"), **options,
+        ).drop("n"),
+        "box-bounds",
+    )
     v = F.col(value)
     return null_safe_join(df, bounds, keys, "inner").where(
         (v < F.col("ymin")) | (v > F.col("ymax"))

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hazeline.operators.joins import null_safe_join
+from hazeline.sources.stages import staged
 
 
 def top_k(
@@ -36,12 +37,10 @@ def group_extreme(
 ) -> DataFrame:
     """Rows that attain the group's largest (or smallest) present value; ties kept.
 
-    The extreme is combined before the shuffle and joined back, so that many ties in one
-    group stay spread over tasks.
+    The extreme is combined before the shuffle, written, and joined back: Spark then knows its true size, and can split
+    a hot group where it does not broadcast.
     """
-    best = df.groupBy(*keys).agg(
-        (F.max if largest else F.min)(value).alias("extreme")
-    )
+    best = staged(df.groupBy(*keys).agg((F.max if largest else F.min)(value).alias("extreme")), "group-extremes")
     return null_safe_join(df, best, keys, "inner").where(
         F.col(value) == F.col("extreme")
     )
@@ -52,11 +51,14 @@ def sigma_outliers(
 ) -> DataFrame:
     """Label rows farther than some standard deviations from the group mean.
 
-    Aggregate and join back instead of a window: a hot group is never held by one task.
+    Aggregate, write and join back instead of a window: a hot group is never held by one task.
     """
-    stats = df.groupBy(*keys).agg(
-        F.avg(value).alias("group_mean"),
-        F.when(F.count(value) > 1, F.stddev_samp(value)).alias("group_sd"),
+    stats = staged(
+        df.groupBy(*keys).agg(
+            F.avg(value).alias("group_mean"),
+            F.when(F.count(value) > 1, F.stddev_samp(value)).alias("group_sd"),
+        ),
+        "group-stats",
     )
     distance = F.abs(F.col(value) - F.col("group_mean"))
     return (

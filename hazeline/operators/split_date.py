@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.fixed_values import SPLIT_FIRST, SPLIT_LAST, SPLIT_STEP_MONTHS
+from hazeline.sources.stages import staged
 
 
 def candidate_dates(
@@ -24,19 +25,15 @@ def candidate_dates(
     return result
 
 
-def split_scores(
-    df: DataFrame, city: str, date: str, candidates: Sequence[Date], missing_as_zero: bool = True
-) -> DataFrame:
-    """Mean share before and after each candidate over cities, and the distance from halves.
+def candidate_counts(df: DataFrame, city: str, date: str, candidates: Sequence[Date]) -> DataFrame:
+    """City, total, dated, min, max and split_date, before, after: a row for each city and candidate.
 
-    All candidates are counted in one map-side combined pass (one counter per candidate and
-    city); no row is repeated per candidate. With ``missing_as_zero`` false, a city without
-    rows on one side is left out of that side's mean.
+    All candidates are counted in one map-side combined pass (one counter per candidate and city); no row is repeated
+    per candidate.
     """
     d = F.to_date(F.col(date))
     counted = df.groupBy(city).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count(d).alias("dated"),
+        F.count(F.lit(1)).alias("total"), F.count(d).alias("dated"), F.min(d).alias("min"), F.max(d).alias("max"),
         *[F.count_if(d <= F.lit(c)).alias(f"b{i}") for i, c in enumerate(candidates)],
     )
     entries = F.array(
@@ -49,11 +46,24 @@ def split_scores(
             for i, c in enumerate(candidates)
         ]
     )
-    long = counted.select("total", F.inline(entries))
+    return counted.select(city, "total", "dated", "min", "max", F.inline(entries))
+
+
+def split_scores(
+    df: DataFrame, city: str, date: str, candidates: Sequence[Date], missing_as_zero: bool = True
+) -> DataFrame:
+    """Mean share before and after each candidate over cities, and the distance from halves.
+
+    With ``missing_as_zero`` false, a city without rows on one side is left out of that side's mean.
+    """
+    return scores_of_counts(candidate_counts(df, city, date, candidates), missing_as_zero)
+
+
+def scores_of_counts(counts: DataFrame, missing_as_zero: bool = True) -> DataFrame:
     share = {s: F.col(s) / F.col("total") for s in ("before", "after")}
     if not missing_as_zero:
         share = {s: F.when(F.col(s) > 0, v) for s, v in share.items()}
-    means = long.groupBy("split_date").agg(
+    means = counts.groupBy("split_date").agg(
         F.avg(share["before"]).alias("mean_before"), F.avg(share["after"]).alias("mean_after")
     )
     # Rounded so that equal scores compare equal whatever the order of summation.
@@ -68,6 +78,18 @@ def best_split(scores: DataFrame) -> DataFrame:
     return scores.orderBy("score", "split_date").limit(1)
 
 
+def searched_split_table(df: DataFrame, city: str, date: str, candidates: Sequence[Date]) -> DataFrame:
+    """``split_table`` at the best candidate, from the counters of the search itself: one pass over the rows."""
+    counts = staged(candidate_counts(df, city, date, candidates), "split-counts")
+    chosen = best_split(scores_of_counts(counts)).select("split_date")
+    return with_shares(
+        counts.join(chosen, "split_date").select(
+            city, F.col("before").alias("before_samp"), F.col("after").alias("after_samp"), "min", "max",
+            F.col("total").alias("total_samp"),
+        )
+    )
+
+
 def split_table(df: DataFrame, city: str, date: str, cutoff) -> DataFrame:
     """Counts and rounded shares before (<=) and after one date, and the span, by city.
 
@@ -81,6 +103,10 @@ def split_table(df: DataFrame, city: str, date: str, cutoff) -> DataFrame:
         F.max(d).alias("max"),
         F.count(F.lit(1)).alias("total_samp"),
     )
+    return with_shares(counts)
+
+
+def with_shares(counts: DataFrame) -> DataFrame:
     return counts.withColumns(
         {
             "perc_before": F.round(F.col("before_samp") / F.col("total_samp"), 2),

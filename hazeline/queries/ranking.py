@@ -149,6 +149,5 @@ def split_date_search(spark, sf):
 )
 def split_date_table(spark, sf):
     orders = table(spark, sf, "orders").withColumnRenamed("o_orderpriority", "city")
-    cutoff = S.best_split(scores(spark, sf)).select("split_date").scalar()
-    tbl = S.split_table(orders, "city", "o_orderdate", cutoff)
+    tbl = S.searched_split_table(orders, "city", "o_orderdate", S.candidate_dates(*STEPS))
     return tbl.withColumns({"min": text_date("min"), "max": text_date("max")})

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hazeline.sources import grid as G
-from hazeline.sources.hourly import ragged_cells
-from hazeline.sources.stages import read_stage, stage_path, write_stage
+from hazeline.fixed_values import HOUR_COLUMNS
+from hazeline.queries.aggregates import hour_wide
+from hazeline.sources.hourly import checked_hourly, ragged_cells, read_hourly
+from hazeline.sources.stages import read_stage, stage_path, write_stage, write_table_csv
 from hazeline.queries.base import query, r, table, text_date
 
 
@@ -170,3 +172,97 @@ def sink_roundtrip(spark, sf):
     return back.groupBy("event_type", "date").agg(
         F.count(F.lit(1)).alias("n"), r(F.sum("value"), 4).alias("total")
     )
+
+
+@query(
+    "sink_csv_roundtrip",
+    """
+    select event_type, cast(cast(ts as date) as varchar) as date, count(*) as n, sum(length(props)) as n_chars
+    from events group by all
+    """,
+)
+def sink_csv_roundtrip(spark, sf):
+    """The whole table through the CSV sink and back."""
+    events = table(spark, sf, "events").select("event_id", "event_type", text_date("ts").alias("date"), "props")
+    path = stage_path(spark, "events-csv")
+    write_table_csv(events, path)
+    back = spark.read.schema(events.schema).csv(path, header=True, escape="\\")
+    return back.groupBy("event_type", "date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("props")).alias("n_chars")
+    )
+
+
+KINDS = {"click": "O3", "error": "SO2", "purchase": "NO2", "signup": "CO", "view": "NO"}
+HOURLY_SQL = (
+    "with h as (select case event_type "
+    + " ".join(f"when '{k}' then '{v}'" for k, v in KINDS.items())
+    + """ end as pollutant, user_id + 1 as napsid, cast(ts as date) as date, hour(ts) as hr, round(avg(value), 6) as v
+        from events group by all)
+    """
+)
+
+
+def hourly_text(spark, sf) -> str:
+    """The events as hourly text files, four of a pollutant and year, with the optional column in those of O3; their paths."""
+    wide = hour_wide(table(spark, sf, "events"))
+    kind = F.expr("case pollutant " + " ".join(f"when '{k}' then '{v}'" for k, v in KINDS.items()) + " end")
+    hours = [F.coalesce(r(h).cast("string"), F.lit("-999")) for h in HOUR_COLUMNS]
+    rows = wide.withColumn("pollutant", kind).withColumn("napsid", F.col("napsid") + 1)
+    method = F.when(F.col("pollutant") == "O3", F.lit("1"))
+    line = F.concat_ws(
+        ",", "pollutant", method, F.concat(F.lit('"'), F.lpad(F.col("napsid").cast("string"), 7, "0"), F.lit('"')),
+        F.lit("Town,ON,45.5,-75.5"), F.date_format("date", "yyyyMMdd"), *hours,
+    )
+    data = rows.select(
+        F.concat_ws("_", "pollutant", (F.col("napsid") % 4).cast("string"), F.year("date").cast("string")).alias("file"), F.lit(1).alias("at"), line.alias("value")
+    )
+    title = F.when(F.col("file").startswith("O3"), F.lit("Method"))
+    head = data.select("file").distinct().select(
+        "file", F.lit(0).alias("at"),
+        F.concat_ws(",", F.lit("Pollutant"), title, F.lit("NAPS ID,City,P/T,Latitude,Longitude,Date"), *[F.lit(h) for h in HOUR_COLUMNS]).alias("value"),
+    )
+    path = stage_path(spark, "hourly-text")
+    data.union(head).repartition("file").sortWithinPartitions("file", "at").drop("at").write.partitionBy("file").text(path)
+    return f"{path}/*/*.txt"
+
+
+def with_folder_year(rows):
+    """The text writer names files by itself, so the declared year is that of the folder."""
+    return rows.withColumn("declared_year", F.regexp_extract("source", r"_(\d{4})/[^/]*$", 1).cast("int"))
+
+
+@query(
+    "src_hourly_files",
+    HOURLY_SQL
+    + """
+    select pollutant, cast(napsid as varchar) as napsid, cast(date as varchar) as date, year(date) as year,
+      count(v) as n_hours, round(sum(v), 4) as total from h group by all
+    """,
+)
+def src_hourly_files(spark, sf):
+    """Text files with quoted cells, an optional column and missing codes through the hourly reader."""
+    rows, _ = read_hourly(spark, hourly_text(spark, sf))
+    present = [F.col(h).isNotNull().cast("long") for h in HOUR_COLUMNS]
+    total = [F.coalesce(F.col(h), F.lit(0.0)) for h in HOUR_COLUMNS]
+    return rows.select(
+        "pollutant", "napsid", text_date("date").alias("date"), F.col("year").cast("long").alias("year"), sum(present[1:], present[0]).alias("n_hours"),
+        r(sum(total[1:], total[0]), 4).alias("total"),
+    )
+
+
+@query(
+    "dq_hourly_accepted",
+    HOURLY_SQL
+    + """
+    select pollutant, count(*) as n_rows, count(distinct napsid) as n_stations
+    from (select distinct pollutant, napsid, date from h) group by all
+    """,
+)
+def dq_hourly_accepted(spark, sf):
+    """The hourly reader and its file check: every station is known, so all rows are accepted."""
+    rows, _ = read_hourly(spark, hourly_text(spark, sf))
+    known = table(spark, sf, "events").select((F.col("user_id") + 1).cast("string").alias("napsid")).distinct()
+    accepted, _, _ = checked_hourly(with_folder_year(rows), known, allow_invalid_dates=True)
+    return accepted.groupBy("pollutant").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("napsid").alias("n_stations")
+    )

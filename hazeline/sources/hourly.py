@@ -19,8 +19,7 @@ from hazeline.functions.text import na_to_null, strip_leading_zeros, strip_quote
 from hazeline.operators.quality import accept_sources, source_report, split_invalid
 from hazeline.sources.grid import comma_cells
 from hazeline.sources.provenance import path_parts
-
-MAX_BROADCAST_FILES = 200_000
+from hazeline.sources.stages import staged
 
 
 def ragged_cells(line, width: int):
@@ -61,14 +60,19 @@ def header_rows(raw: DataFrame) -> DataFrame:
 
 
 def read_hourly(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(typed hourly rows, paths of files without a header)."""
+    """(typed hourly rows, paths of files without a header).
+
+    The one row per file with its header is written once, so that later steps do not read the files again for it.
+    Rejects come from Spark's own listing of files, so empty ones, which no task reads, are among them.
+    """
     raw = read_ragged_csv(spark, path)
-    headers = header_rows(raw)
-    # One row per file: broadcast only if the file listing says they are few.
-    few = len(raw.inputFiles()) <= MAX_BROADCAST_FILES
-    rejects = raw.select("path").distinct().join(headers, "path", "left_anti")
+    headers = staged(header_rows(raw), "hourly-headers")
+    listed = spark.createDataFrame([(f,) for f in raw.inputFiles()], "path string")
+    # local paths are written with one slash or with three
+    same = F.regexp_replace(listed["path"], "^file:/+", "/") == F.regexp_replace(headers["path"], "^file:/+", "/")
+    rejects = listed.join(headers, same, "left_anti")
     wanted = raw.where(F.col("c1").isin(*HOURLY_POLLUTANTS)).drop("place")
-    rows = wanted.join(F.broadcast(headers) if few else headers, "path").withColumn(
+    rows = wanted.join(headers, "path").withColumn(
         "shifted", F.coalesce(F.col("second").isin(*METHOD_HEADERS), F.lit(False))
     )
 

@@ -5,9 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from hazeline.operators import joins as J
 from hazeline.operators import ranking as R
+from hazeline.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 EAGER = {"sink_roundtrip", "model_glm_categorical", "proj_drop_null_columns"}
@@ -17,9 +17,9 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - EAGER))
 def test_no_pairwise_joins_and_no_python(spark, name):
-    text = plan(queries()[name](spark, SF))
+    text = plan(REGISTRY[name](spark, SF))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Arrow"):
         assert word not in text
     # All rows in one task only behind an aggregate that has combined them first.
@@ -30,7 +30,7 @@ def test_no_pairwise_joins_and_no_python(spark, name):
 
 
 def test_scans_read_only_what_is_used(spark):
-    text = plan(queries()["filter_allow_list"](spark, SF))
+    text = plan(REGISTRY["filter_allow_list"](spark, SF))
     assert "PushedFilters: [In(event_type" in text.replace("IsNotNull(event_type), ", "")
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string>" in text
 
@@ -54,3 +54,22 @@ def test_source_merge_is_one_hash_aggregate(spark):
 def test_null_safe_full_join_is_an_equi_join(spark):
     a, b = spark.range(5).selectExpr("id k", "id a"), spark.range(5).selectExpr("id k", "id b")
     assert "SortMergeJoin" in plan(J.null_safe_join(a, b, ["k"], "full"))
+
+
+def test_group_values_reach_rows_without_a_broadcast_by_guess(spark):
+    """With the broadcast threshold at 1 KB both sides of the join are plain exchanges, which Spark can split."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1024")
+    try:
+        df = spark.range(1000).selectExpr("id % 3 as g", "cast(id as double) as v")
+        for made in (R.sigma_outliers(df, ["g"], "v"), R.group_extreme(df, ["g"], "v")):
+            text = plan(made)
+            assert "Window" not in text and text.count("Aggregate") == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rounding_never_saturates(spark):
+    from hazeline.queries.base import r
+
+    row = spark.range(1).select(r(F.lit(1e17), 4).alias("a"), r(F.lit(5e13), 6).alias("b"), r(F.lit(-2.5), 0).alias("c")).first()
+    assert (row.a, row.b, row.c) == (1e17, 5e13, -3.0)
