@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -132,7 +133,10 @@ def cutoff(spec: DataFrame) -> Column:
 def study_tables(
     spec: DataFrame, observations: DataFrame, split: Column, **quantile_options
 ) -> dict[str, DataFrame]:
-    """All result tables of the study, each lazy, for one splitting date."""
+    """The result tables of the study for one splitting date.
+
+    Quantiles and statistics that are joined back to rows are computed and written as their table is made; the rest is lazy.
+    """
     dated = summaries.with_period(spec, split)
     full = enough_data(dated)
     labelled = dated.withColumn("month_text", month_label(F.col("date")))
@@ -155,6 +159,11 @@ def study_tables(
         "city", "date", "ocec_spec_oc_a", "ocec_spec_oc_b", "ocec_spec_oc_r_a",
         "ocec_spec_oc_r_b", "fb_ocec_spec_poc_b", "fb_ocec_spec_oc_r", "fb_ocec_spec_oc_b",
     )
+    sulphur = summaries.compare_medians(iqr["gases"].where("compound = 'myso2'"), ["city", "month_text"])
+    shares = summaries.season_shares(full)
+    ratio = A.ratio_quantiles(
+        labelled.where(F.col("period") == "after"), ["city", "month_text"], "OM", "EC", **quantile_options,
+    )
     early, late = oc.where(F.col("date") < split), oc.where(F.col("date") >= split)
     return {
         "split_table": S.split_table(enough_data(spec), "city", "date", split),
@@ -181,16 +190,26 @@ def study_tables(
         ),
         "water_regression": simple_regression(after, [], "PBW_molar", "PBW_h"),
         "season_means": summaries.season_means(full),
-        "season_shares": summaries.season_shares(full),
+        "season_shares": shares,
+        "share_ratios": summaries.share_ratios(
+            shares, [*[f"{c}_perc" for c in COMPONENTS], "aso4_pbw", "aso4_ano3"]
+        ),
+        "sulphur_change": sulphur,
+        "sulphur_city_change": summaries.mean_difference(sulphur, ["city"]),
         "top_days": summaries.top_days_composition(full, ["date", "station"]),
         **{f"median_{name}": t for name, t in iqr.items()},
         "nitrate_peaks": group_extreme(
             iqr["ammonium"].where("compound = 'ANO3'"), ["city", "period"], "median"
         ),
-        "om_ec_ratio": A.ratio_quantiles(
-            labelled.where(F.col("period") == "after"), ["city", "month_text"], "OM", "EC",
-            **quantile_options,
+        **{
+            f"{side}_{name}": group_extreme(t, ["city", "period", "compound"], "median", largest=side == "peaks")
+            for name, t in iqr.items() for side in ("peaks", "lows")
+        },
+        "period_medians": reduce(DataFrame.unionByName, iqr.values()).groupBy("period", "compound", "city").agg(
+            F.avg("median").alias("mean_median")
         ),
+        "om_ec_ratio": ratio,
+        "om_ec_ratio_range": summaries.range_over(ratio, ["city"], "ratio"),
         "with_weather": after.join(weather, ["city", "date"]),
         "soil_trend": polynomial_trend(
             after, ["city"], "SOIL", F.unix_date("date"), 14_610.0, 3_650.0

@@ -50,6 +50,45 @@ def mean_difference(compared: DataFrame, keys: Sequence[str]) -> DataFrame:
     return compared.groupBy(*keys).agg(F.avg("diff").alias("mean_diff"))
 
 
+def compare_medians(medians: DataFrame, keys: Sequence[str], value: str = "median") -> DataFrame:
+    """Medians before and after, difference and ratio, for keys that have both; ``medians`` has a row for each period."""
+    wide = medians.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("period") == p, F.col(value))).alias(p) for p in ("before", "after")]
+    )
+    return wide.where(F.col("before").isNotNull() & F.col("after").isNotNull()).select(
+        *keys, "before", "after", (F.col("before") - F.col("after")).alias("diff"),
+        F.try_divide(F.col("after"), F.col("before")).alias("ratio"),
+    )
+
+
+def share_ratios(shares: DataFrame, measures: Sequence[str], keys: Sequence[str] = ("city",)) -> DataFrame:
+    """Ratios of each share, long by measure: after to before in either half-year, and winter to summer in either period.
+
+    ``shares`` has a row for each of the keys, period and season. A ratio without both of its sides, or over zero, is null.
+    """
+    cells = {(p, h): f"{p}_{h}" for p in ("before", "after") for h in ("summer", "winter")}
+    entries = F.array(*[F.struct(F.lit(m).alias("type"), F.col(m).alias("share")) for m in measures])
+    long = shares.select(*keys, "period", "season", F.inline(entries))
+    wide = long.groupBy(*keys, "type").agg(
+        *[
+            F.max(F.when((F.col("period") == p) & (F.col("season") == h), F.col("share"))).alias(name)
+            for (p, h), name in cells.items()
+        ]
+    )
+    return wide.select(
+        *keys, "type",
+        F.try_divide("after_summer", "before_summer").alias("summer_change"),
+        F.try_divide("after_winter", "before_winter").alias("winter_change"),
+        F.try_divide("before_winter", "before_summer").alias("winter_to_summer_before"),
+        F.try_divide("after_winter", "after_summer").alias("winter_to_summer_after"),
+    )
+
+
+def range_over(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Smallest and largest value by key."""
+    return df.groupBy(*keys).agg(F.min(value).alias("lowest"), F.max(value).alias("highest"))
+
+
 def season_means(
     df: DataFrame, measures: Sequence[str] = COMPONENTS, city: str = "city", month: str = "month"
 ) -> DataFrame:

@@ -302,3 +302,57 @@ def cmp_before_after(spark, sf):
     months = compare_periods(df, ["city", "month_text"], "v", F.lit("1998-01-01").cast("date"))
     both = months.join(mean_difference(months, ["city"]), "city")
     return rounded(rounded(both, 4, "before", "after", "diff", "mean_diff"), 6, "ratio")
+
+
+PARTS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query(
+    "cmp_median_periods",
+    """
+    with t as (select l_returnflag as city, month(l_shipdate) as month,
+        case when l_shipdate < timestamp '1998-07-01' then 'before' else 'after' end as period, l_tax as v from lineitem),
+    q as (select city, month, period, quantile_cont(v, 0.5) as med from t group by all),
+    w as (select city, month, max(med) filter (period = 'before') as before,
+        max(med) filter (period = 'after') as after from q group by all)
+    select city, month, round(before, 8) as before, round(after, 8) as after, round(before - after, 8) as diff,
+      round(after / before, 8) as ratio from w where before is not null and after is not null
+    """,
+)
+def cmp_median_periods(spark, sf):
+    from hazeline.plans.summaries import compare_medians
+
+    df = table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("city"), F.month("l_shipdate").cast("long").alias("month"),
+        F.expr("case when l_shipdate < timestamp_ntz '1998-07-01' then 'before' else 'after' end").alias("period"), "l_tax",
+    )
+    medians = A.median_iqr(df, ["city", "month", "period"], ["l_tax"])
+    compared = compare_medians(medians, ["city", "month"])
+    return rounded(compared, 8, "before", "after", "diff", "ratio")
+
+
+@query(
+    "cmp_share_ratios",
+    """
+    with m as (select l_returnflag as city,
+        case when l_shipdate < timestamp '1998-07-01' then 'before' else 'after' end as p,
+        case when month(l_shipdate) between 4 and 9 then 'summer' else 'winter' end as h,
+        avg(l_quantity) as a, avg(l_extendedprice) as b, avg(l_discount) as c, avg(l_tax) as d from lineitem group by all),
+    s as (select city, p, h, unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) as type,
+        unnest([a / (a + b + c + d), b / (a + b + c + d), c / (a + b + c + d), d / (a + b + c + d)]) as v from m),
+    w as (select city, type, max(v) filter (p = 'before' and h = 'summer') as bs, max(v) filter (p = 'before' and h = 'winter') as bw,
+        max(v) filter (p = 'after' and h = 'summer') as afs, max(v) filter (p = 'after' and h = 'winter') as afw from s group by all)
+    select city, type || '_perc' as type, round(afs / bs, 8) as summer_change, round(afw / bw, 8) as winter_change,
+      round(bw / bs, 8) as winter_to_summer_before, round(afw / afs, 8) as winter_to_summer_after from w
+    """,
+)
+def cmp_share_ratios(spark, sf):
+    from hazeline.plans.summaries import share_ratios
+
+    df = table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("city"), half_year(F.month("l_shipdate")).alias("season"),
+        F.expr("case when l_shipdate < timestamp_ntz '1998-07-01' then 'before' else 'after' end").alias("period"), *PARTS,
+    )
+    shares = A.composition_share(df, ["city", "period", "season"], PARTS)
+    ratios = share_ratios(shares, [f"{c}_perc" for c in PARTS])
+    return rounded(ratios, 8, "summer_change", "winter_change", "winter_to_summer_before", "winter_to_summer_after")
