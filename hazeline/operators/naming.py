@@ -16,6 +16,7 @@ from hazeline.fixed_values import (
     LIMIT_RULES_FULL,
 )
 from hazeline.functions.text import replace_first
+from hazeline.sources.stages import staged
 
 
 def match_limits(
@@ -61,9 +62,10 @@ def limit_column(name: Column, limit_names: Sequence[str], rules=LIMIT_RULES_FUL
 def with_limit_names(
     df: DataFrame, name: str, limit_names: Sequence[str], out: str, rules=LIMIT_RULES_FULL
 ) -> DataFrame:
-    """Adds the limit name of each row's value name: worked out once per distinct name."""
-    names = df.select(name).distinct().withColumn(
-        out, limit_column(F.col(name), limit_names, rules)
+    """Adds the limit name of each row's value name: worked out once per distinct name, and written, so that
+    Spark knows how many they are and can split a hot name where it does not broadcast."""
+    names = staged(
+        df.select(name).distinct().withColumn(out, limit_column(F.col(name), limit_names, rules)), "limit-names"
     )
     return df.join(names, name, "left")
 
