@@ -6,6 +6,8 @@ import gc
 import tempfile
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,22 +28,41 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/corpus/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders of the tables that ``materialise`` makes inside ``scratch``.
+_made: list[list[str]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """Collects the folders of tables made inside, for ``drop_tables`` once nothing reads them."""
+    _made.append([])
+    try:
+        yield _made[-1]
+    finally:
+        _made.pop()
+
+
+def drop_tables(spark: SparkSession, folders: list[str]) -> None:
+    jvm = spark._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    while folders:
+        path = jvm.org.apache.hadoop.fs.Path(folders.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write as Parquet and read again: cuts the lineage, and a lost executor loses nothing of it."""
     path = new_path(df.sparkSession, name)
+    if _made:
+        _made[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:
     """Remove the files of a table made by ``materialise`` that nothing reads any more."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
     folders = {f.rpartition("/")[0] for f in df.inputFiles()}
-    for folder in folders:
-        if "/corpus/" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+    drop_tables(df.sparkSession, [f for f in folders if "/corpus/" in f])
 
 
 def release_shuffles(spark: SparkSession) -> None:
