@@ -198,7 +198,11 @@ def with_verdict(counts: DataFrame, thresholds: DataFrame) -> DataFrame:
         mine = F.col("measure") == m.name
         columns.append(F.max(F.when(mine, F.col("high"))).alias(f"__{m.name}_high"))
         columns.append(F.max(F.when(mine, F.col("low"))).alias(f"__{m.name}_low"))
-    wide = thresholds.groupBy(F.col("lang").alias("__lang"), F.col("source").alias("__source")).agg(*columns)
+    # written before it is joined: Spark then knows that it is small and need not shuffle the documents, or can split a hot group
+    wide = materialise(
+        thresholds.groupBy(F.col("lang").alias("__lang"), F.col("source").alias("__source")).agg(*columns),
+        "quality-thresholds",
+    )
     ok = F.lit(True)
     for m in MEASURES:
         value = measure_value(m)
