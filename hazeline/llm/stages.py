@@ -8,6 +8,7 @@ import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,18 +29,19 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/corpus/{name}-{uuid.uuid4().hex}"
 
 
-#: Folders of the tables that ``materialise`` makes inside ``scratch``.
-_made: list[list[str]] = []
+#: Folders of the tables that ``materialise`` makes inside ``scratch``; each thread of the driver has its own.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 @contextmanager
 def scratch() -> Iterator[list[str]]:
     """Collects the folders of tables made inside, for ``drop_tables`` once nothing reads them."""
-    _made.append([])
+    made: list[str] = []
+    token = _made.set(made)
     try:
-        yield _made[-1]
+        yield made
     finally:
-        _made.pop()
+        _made.reset(token)
 
 
 def drop_tables(spark: SparkSession, folders: list[str]) -> None:
@@ -53,8 +55,9 @@ def drop_tables(spark: SparkSession, folders: list[str]) -> None:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write as Parquet and read again: cuts the lineage, and a lost executor loses nothing of it."""
     path = new_path(df.sparkSession, name)
-    if _made:
-        _made[-1].append(path)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
