@@ -6,9 +6,11 @@ begins with one can be frequent. The next level extends only what is left, to tw
 its level and counted there, by source, with its occurrences. The refinement ends when no longer term is left under a surviving prefix, so the
 number of levels grows with the logarithm of the longest frequent prefix. Complete terms below the threshold go last.
 
-Texts are cut into terms once; a document's distinct terms with their counts are written and the levels read them. The prefixes that survive
-a level reach the tasks of the next one as a bitmap of a fixed size (BUCKETS * 4 KB) whatever their number; a false hit lets a prefix through
-and changes nothing, because complete terms are counted exactly. Tasks add up their counts before they send them, in memory of a bounded size.
+Inside a task prefixes are 64-bit hashes of language and bytes, found for all terms of a run of texts at once, and only hashes and numbers are
+sent. The prefixes that survive a level reach the tasks of the next one as a bitmap of a fixed size (BUCKETS * 4 KB) whatever their
+number, and so do the complete terms that do. A last pass counts the terms of this bitmap by source, now with their bytes, and the threshold is
+applied again to the exact counts: a hash that two prefixes share, in the bitmap or before it, lets something through and changes nothing.
+Tasks add up their counts before they send them, in memory of a bounded size.
 
 A group, that is a source inside a language, and the language itself give every kept term the smoothed share ``share_of``, in exact decimal
 arithmetic. Distances between sources are sums over all kept terms. A block of terms and a tile of sources is one small matrix inside a task,
@@ -22,7 +24,6 @@ empty table gives an empty result. Other columns are not looked at.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,8 +46,8 @@ FIRST_LEVEL = 4
 #: Bits of the bitmap of surviving prefixes: Spark's bitmap functions use buckets of 32768 bits.
 BUCKET_BITS = 32_768
 BUCKETS = 1024
-#: Distinct counters a task holds before it sends them.
-HELD = 200_000
+#: Counters a task holds before it adds them up and sends them.
+HELD = 500_000
 #: Terms in a block and sources in a tile of the distance matrices.
 BLOCK_TERMS = 2048
 TILE = 64
@@ -57,95 +58,153 @@ FOLD = bytes(
 )
 
 
-def text_terms(text: str | None) -> Counter[bytes]:
-    return Counter((text or "").encode().translate(FOLD).split())
+class Terms:
+    """The terms of a run of texts: where they begin in ``data``, their bytes and text numbers, and hashes of their prefixes."""
 
+    def __init__(self, texts: list[str | None], hasher: wd.Hasher):
+        folded = [(t or "").encode().translate(FOLD) for t in texts]
+        self.data = np.frombuffer(b" ".join(folded) + b" ", np.uint8)
+        inside = np.concatenate(([False], self.data != 32))
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
+        self.start = edge[::2] if len(edge) % 2 == 0 else edge[: len(edge) - 1 : 2]
+        self.size = edge[1::2] - self.start
+        begin = np.cumsum([0] + [len(f) + 1 for f in folded])
+        self.text = np.searchsorted(begin, self.start, side="right") - 1
+        up, self.down = hasher.powers.to(len(self.data) + 1)
+        self.total = np.zeros(len(self.data) + 1, np.uint64)
+        np.cumsum(hasher.table[self.data] * up[:-1], out=self.total[1:])
 
-def term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, texts in wd.text_chunks(batches, "text"):
-        found = [text_terms(t) for t in texts]
-        yield pa.RecordBatch.from_arrays(
-            [
-                rows.column(0), rows.column(1),
-                pa.array([b" ".join(c) for c in found], pa.binary()),
-                pa.array([list(c.values()) for c in found], pa.list_(pa.int64())),
-            ],
-            names=["lang", "source", "terms", "counts"],
-        )
+    def hashes(self, salt: np.ndarray, pick: np.ndarray, length: int | None = None) -> np.ndarray:
+        """Of the first bytes of the picked terms, or of all of them; the text's salt goes in."""
+        start, size = self.start[pick], self.size[pick]
+        size = size if length is None else np.minimum(size, length)
+        value = wd.mix((self.total[start + size] - self.total[start]) * self.down[start] + size.astype(np.uint64))
+        return wd.mix(value ^ salt[self.text[pick]])
 
+    def bytes_of(self, i: int) -> bytes:
+        return self.data[self.start[i] : self.start[i] + self.size[i]].tobytes()
 
-def document_terms(docs: DataFrame) -> DataFrame:
-    """(lang, source, terms, counts): a row for each document, its distinct terms joined by spaces; written once."""
-    given = docs.select(
-        F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "text"
-    )
-    return materialise(
-        given.mapInArrow(term_batches, "lang string, source string, terms binary, counts array<long>"), "divergence-terms"
-    )
+
+def salts(languages: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(lang.encode()) for lang in languages), np.uint64, len(languages))
 
 
-def bit_of(lang: str, prefix: bytes) -> int:
-    return xxhash.xxh64_intdigest(lang.encode() + b"\0" + prefix) % (BUCKET_BITS * BUCKETS)
+def bit_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes % np.uint64(BUCKET_BITS * BUCKETS)).astype(np.int64)
 
 
-class Alive:
-    """Whether the prefix of a term survived the level before; remembers a bounded number of answers."""
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = bit_of(hashes)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
-    def __init__(self, bits: np.ndarray | None, length: int):
-        self.bits, self.length, self.known = bits, length, {}
 
-    def keeps(self, lang: str, term: bytes) -> bool:
-        if self.bits is None:
-            return True
-        key = lang, term[: self.length]
-        if key not in self.known:
-            if len(self.known) > HELD:
-                self.known.clear()
-            bit = bit_of(*key)
-            self.known[key] = bool(self.bits[bit >> 3] >> (bit & 7) & 1)
-        return self.known[key]
+def distinct_texts(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each hash with its number of different texts."""
+    order = np.lexsort((text, hashes))
+    hashes, text = hashes[order], text[order]
+    fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1]))[: len(hashes)]
+    return np.unique(hashes[fresh], return_counts=True)
+
+
+def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of numbers by hash."""
+    hashes, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    found, at = np.unique(hashes, return_inverse=True)
+    return found, np.bincount(at, n, len(found)).astype(np.int64)
 
 
 def level_batches(before: int, length: int, bits: np.ndarray | None):
-    """Counts of one level: a prefix has no source, a complete term has one."""
+    """(hash, complete, docs) of one level: prefixes of longer terms, and terms that end on it."""
+
+    def sent(complete: bool, parts: list) -> pa.RecordBatch:
+        hashes, docs = added(parts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(hashes.view(np.int64)), pa.array(np.full(len(hashes), complete)), pa.array(docs)],
+            names=["hash", "complete", "docs"],
+        )
 
-    def sent(prefixes: Counter, docs: Counter, uses: Counter) -> pa.RecordBatch:
-        rows = [(lang, None, p, False, bit_of(lang, p), n, 0) for (lang, p), n in prefixes.items()]
-        rows += [(lang, s, t, True, None, n, uses[lang, s, t]) for (lang, s, t), n in docs.items()]
-        types = (pa.string(), pa.string(), pa.binary(), pa.bool_(), pa.int64(), pa.int64(), pa.int64())
-        columns = list(zip(*rows, strict=True)) if rows else [()] * len(types)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = wd.Hasher()
+        held: dict[bool, list] = {False: [], True: []}
+        size = 0
+        for rows, texts in wd.text_chunks(batches):
+            terms, salt = Terms(texts, hasher), salts(rows.column(0).to_pylist())
+            alive = np.flatnonzero(terms.size > before)
+            if bits is not None:
+                alive = alive[in_bitmap(bits, terms.hashes(salt, alive, before))]
+            for complete in held:
+                own = alive[(terms.size[alive] <= length) == complete]
+                held[complete].append(distinct_texts(terms.hashes(salt, own, length), terms.text[own]))
+                size += len(held[complete][-1][0])
+            if size > HELD:
+                for complete, parts in held.items():
+                    yield sent(complete, parts)
+                held, size = {False: [], True: []}, 0
+        for complete, parts in held.items():
+            if parts:
+                yield sent(complete, parts)
+
+    return run
+
+
+def use_batches(bits: np.ndarray):
+    """(lang, source, term, docs, uses) of the terms in the bitmap."""
+
+    def sent(groups: dict, names: dict, parts: list) -> pa.RecordBatch:
+        group, hashes, docs, uses = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((hashes, group))
+        group, hashes = group[order], hashes[order]
+        first = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (hashes[1:] != hashes[:-1]))[: len(group)])
+        listed = list(groups)
+        totals = [np.add.reduceat(x[order], first) if len(first) else x for x in (docs, uses)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-            names=["lang", "source", "term", "complete", "bit", "docs", "uses"],
+            [
+                pa.array([listed[g][0] for g in group[first].tolist()], pa.string()),
+                pa.array([listed[g][1] for g in group[first].tolist()], pa.string()),
+                pa.array([names[h] for h in hashes[first].tolist()], pa.binary()), *map(pa.array, totals),
+            ],
+            names=["lang", "source", "term", "docs", "uses"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        alive = Alive(bits, before)
-        prefixes, docs, uses = Counter(), Counter(), Counter()
-        for batch in batches:
-            for lang, source, terms, counts in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                longer = set()
-                for term, n in zip(terms.split(b" "), counts, strict=False):
-                    if len(term) > before and alive.keeps(lang, term):
-                        if len(term) > length:
-                            longer.add(term[:length])
-                        else:
-                            docs[lang, source, term] += 1
-                            uses[lang, source, term] += n
-                for p in longer:
-                    prefixes[lang, p] += 1
-                if len(prefixes) + len(docs) > HELD:
-                    yield sent(prefixes, docs, uses)
-                    prefixes, docs, uses = Counter(), Counter(), Counter()
-        yield sent(prefixes, docs, uses)
+        hasher = wd.Hasher()
+        groups, names, parts, size = {}, {}, [], 0
+        for rows, texts in wd.text_chunks(batches):
+            languages, sources = rows.column(0).to_pylist(), rows.column(1).to_pylist()
+            own = np.array([groups.setdefault(g, len(groups)) for g in zip(languages, sources, strict=True)])
+            terms, salt = Terms(texts, hasher), salts(languages)
+            pick = np.arange(len(terms.size))
+            hashes = terms.hashes(salt, pick)
+            kept = in_bitmap(bits, hashes)
+            pick, hashes = pick[kept], hashes[kept]
+            text = terms.text[pick]
+            group = own[text]
+            order = np.lexsort((text, hashes, group))
+            pick, hashes, text, group = pick[order], hashes[order], text[order], group[order]
+            fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (group[1:] != group[:-1]))[: len(pick)]
+            first = np.flatnonzero(fresh)
+            if len(first):
+                new_text = fresh | np.append(True, text[1:] != text[:-1])
+                docs = np.add.reduceat(new_text.astype(np.int64), first)
+                parts.append((group[first], hashes[first], docs, np.diff(np.append(first, len(pick)))))
+                for h, i in zip(hashes[first].tolist(), pick[first].tolist(), strict=True):
+                    if h not in names:
+                        names[h] = terms.bytes_of(i)
+                size += len(first)
+            if size > HELD:
+                yield sent(groups, names, parts)
+                groups, names, parts, size = {}, {}, [], 0
+        if parts:
+            yield sent(groups, names, parts)
 
     return run
 
 
-def bitmap_of(prefixes: DataFrame) -> np.ndarray | None:
-    """The surviving prefixes as bits, at most BUCKETS * 4 KB; None if there is none."""
+def bitmap_of(hashes: DataFrame) -> np.ndarray | None:
+    """The hashes as bits, at most BUCKETS * 4 KB; None if there is none."""
+    bit = F.pmod("hash", F.lit(BUCKET_BITS * BUCKETS))
     rows = (
-        prefixes.select(F.floor(F.col("bit") / BUCKET_BITS).alias("bucket"), F.pmod("bit", F.lit(BUCKET_BITS)).alias("bit"))
+        hashes.select(F.floor(bit / BUCKET_BITS).alias("bucket"), F.pmod(bit, F.lit(BUCKET_BITS)).alias("bit"))
         .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
     )
     bits = np.zeros((BUCKETS, BUCKET_BITS // 8), np.uint8)
@@ -154,32 +213,40 @@ def bitmap_of(prefixes: DataFrame) -> np.ndarray | None:
     return bits.reshape(-1) if rows else None
 
 
-def kept_counts(terms: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(lang, source, term, uses): occurrences, by source, of the terms that enough documents of the language hold.
+def named_groups(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "text")
+
 
-    terms: as of ``document_terms``.
-    """
-    complete, before, length, bits = None, 0, FIRST_LEVEL, None
-    schema = "lang string, source string, term binary, complete boolean, bit long, docs long, uses long"
+def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(lang, source, term, uses): occurrences, by source, of the terms that enough documents of the language hold."""
+    given = named_groups(docs)
+    kept, before, length, bits = None, 0, FIRST_LEVEL, None
     while True:
-        counted = terms.mapInArrow(level_batches(before, length, bits), schema)
+        counted = given.select("lang", "text").mapInArrow(
+            level_batches(before, length, bits), "hash long, complete boolean, docs long"
+        )
         level = materialise(
-            counted.groupBy("lang", "source", "term", "complete")
-            .agg(F.min("bit").alias("bit"), F.sum("docs").alias("docs"), F.sum("uses").alias("uses")),
+            counted.groupBy("hash", "complete").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs),
             "divergence-level",
         )
-        found = level.where("complete")
-        complete = found if complete is None else complete.union(found)
-        bits = bitmap_of(level.where(~F.col("complete") & (F.col("docs") >= min_docs)))
+        ended = bitmap_of(level.where("complete"))
+        if ended is not None:
+            kept = ended if kept is None else kept | ended
+        bits = bitmap_of(level.where("NOT complete"))
         if bits is None:
             break
         before, length = length, 2 * length
-    kept = materialise(
-        complete.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
-        .select("lang", "term"),
+    schema = "lang string, source string, term binary, docs long, uses long"
+    empty = np.zeros(BUCKETS * BUCKET_BITS // 8, np.uint8)
+    counted = given.mapInArrow(use_batches(empty if kept is None else kept), schema)
+    by_source = materialise(
+        counted.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("uses").alias("uses")), "divergence-uses"
+    )
+    enough = materialise(
+        by_source.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("lang", "term"),
         "divergence-kept",
     )
-    return complete.join(kept, ["lang", "term"]).select("lang", "source", F.decode("term", "UTF-8").alias("term"), "uses")
+    return by_source.join(enough, ["lang", "term"]).select("lang", "source", F.decode("term", "UTF-8").alias("term"), "uses")
 
 
 def share_of(uses: Column | str, total: Column | str, kept: Column | str) -> Column:
@@ -195,15 +262,14 @@ class Shares:
     """The written tables that both parts of the report read."""
 
     def __init__(self, docs: DataFrame, min_docs: int = MIN_DOCS):
-        terms = document_terms(docs)
-        self.counts = materialise(kept_counts(terms, min_docs), "divergence-counts")
+        self.counts = materialise(kept_counts(docs, min_docs), "divergence-counts")
         by_term = self.counts.groupBy("lang", "term").agg(F.sum("uses").alias("all_uses"))
         self.terms = materialise(by_term, "divergence-by-term")
         size = self.terms.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("all_uses").alias("lang_total"))
         total = self.counts.groupBy("lang", "source").agg(F.sum("uses").alias("total"))
         # a source is numbered inside its language; there are as many rows as groups
         groups = (
-            terms.select("lang", "source").distinct()
+            named_groups(docs).select("lang", "source").distinct()
             .join(total, ["lang", "source"], "left").join(size, "lang", "left")
             .select(
                 "lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("kept", F.lit(0)).alias("kept"),
