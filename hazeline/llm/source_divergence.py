@@ -42,12 +42,12 @@ TOP_TERMS = 50
 SCALE = 1_000_000_000
 SMOOTH = 5
 #: Bytes of the prefixes of the first level; each further level has twice as many.
-FIRST_LEVEL = 4
+FIRST_LEVEL = 6
 #: Bits of the bitmap of surviving prefixes: Spark's bitmap functions use buckets of 32768 bits.
 BUCKET_BITS = 32_768
 BUCKETS = 1024
 #: Counters a task holds before it adds them up and sends them.
-HELD = 500_000
+HELD = 1_000_000
 #: Terms in a block and sources in a tile of the distance matrices.
 BLOCK_TERMS = 2048
 TILE = 64
@@ -98,12 +98,20 @@ def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def distinct_texts(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each hash with its number of different texts."""
-    order = np.lexsort((text, hashes))
+def by_hash(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by hash and text number, and where in it a new pair of them begins; terms come in the order of texts."""
+    order = np.argsort(hashes, kind="stable")
     hashes, text = hashes[order], text[order]
     fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1]))[: len(hashes)]
-    return np.unique(hashes[fresh], return_counts=True)
+    return order, np.flatnonzero(fresh)
+
+
+def distinct_texts(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each hash with its number of different texts."""
+    order, first = by_hash(hashes, text)
+    once = hashes[order[first]]
+    change = np.flatnonzero(np.append(True, once[1:] != once[:-1])[: len(once)])
+    return once[change], np.diff(np.append(change, len(once)))
 
 
 def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -177,16 +185,17 @@ def use_batches(bits: np.ndarray):
             hashes = terms.hashes(salt, pick)
             kept = in_bitmap(bits, hashes)
             pick, hashes = pick[kept], hashes[kept]
-            text = terms.text[pick]
-            group = own[text]
-            order = np.lexsort((text, hashes, group))
-            pick, hashes, text, group = pick[order], hashes[order], text[order], group[order]
-            fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (group[1:] != group[:-1]))[: len(pick)]
-            first = np.flatnonzero(fresh)
+            order, first = by_hash(hashes, terms.text[pick])
+            uses = np.diff(np.append(first, len(pick)))
+            pick, hashes = pick[order[first]], hashes[order[first]]
+            group = own[terms.text[pick]]
+            # one row for each term and group of the run
+            order = np.lexsort((group, hashes))
+            pick, hashes, group, uses = pick[order], hashes[order], group[order], uses[order]
+            first = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1]) | (group[1:] != group[:-1]))[: len(pick)])
             if len(first):
-                new_text = fresh | np.append(True, text[1:] != text[:-1])
-                docs = np.add.reduceat(new_text.astype(np.int64), first)
-                parts.append((group[first], hashes[first], docs, np.diff(np.append(first, len(pick)))))
+                docs = np.diff(np.append(first, len(pick)))
+                parts.append((group[first], hashes[first], docs, np.add.reduceat(uses, first)))
                 for h, i in zip(hashes[first].tolist(), pick[first].tolist(), strict=True):
                     if h not in names:
                         names[h] = terms.bytes_of(i)
@@ -250,12 +259,17 @@ def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 
 def share_of(uses: Column | str, total: Column | str, kept: Column | str) -> Column:
-    """``1 + floor(SCALE * (uses + SMOOTH) / (total + SMOOTH * kept))`` without rounding, for counts of up to 20 digits."""
-    whole = [F.col(x) if isinstance(x, str) else x for x in (uses, total, kept)]
-    u, n, v = (x.cast("decimal(20,0)") for x in whole)
-    return F.lit(1).cast("long") + F.call_function(
-        "div", (u + SMOOTH) * F.lit(SCALE).cast("decimal(10,0)"), n + v * F.lit(SMOOTH).cast("decimal(1,0)")
+    """``1 + floor(SCALE * (uses + SMOOTH) / (total + SMOOTH * kept))`` without rounding, for counts of up to 18 digits.
+
+    In whole numbers of 64 bits where the product fits, in decimals beyond.
+    """
+    u, n, v = (F.col(x) if isinstance(x, str) else x for x in (uses, total, kept))
+    below = n + v * SMOOTH
+    plain = F.call_function("div", (u + SMOOTH).cast("long") * F.lit(SCALE), below)
+    exact = F.call_function(
+        "div", (u + SMOOTH).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)"), below.cast("decimal(20,0)")
     )
+    return F.lit(1).cast("long") + F.when(u < (2**63 - 1) // SCALE - SMOOTH, plain).otherwise(exact)
 
 
 class Shares:
