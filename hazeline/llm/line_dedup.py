@@ -1,17 +1,23 @@
-"""Removal of repeated runs of lines, by prefix doubling over sequences of line ids.
+"""Removal of repeated runs of lines, by suffixes of line-id sequences named in prefix doubling.
 
 A document is the sequence of its lines that hold a word. Every line begins a suffix of such a sequence. The first round names suffixes by
-their first line; each further round names them by twice as many lines, from the two names that make them up. Suffixes under one name
-share that many lines: they are an interval of the suffix array with at least this longest common prefix. Suffixes
-whose name nobody shares drop out at once, so rounds after the first work on repeated lines only. At MIN_LINES lines,
-all but the first member of an interval begin a later copy. Copies that overlap or touch make up the maximal runs, and their lines are
-deleted.
+their first line; each further round names them by twice as many lines, from the two names that make them up, until no name is shared. Names
+that nobody shares drop out at once, so rounds after the first work on repeated lines only. Suffixes under one name share that many lines: they
+are an interval of the suffix array with at least this longest common prefix.
+
+The exact length that a suffix shares with an earlier one then comes from the names, longest first. All suffixes begin in one interval, of common
+length 0. A round of 2^k lines parts each interval by the name of the next 2^k lines: members that an earlier one follows in this move
+on to the longer interval; the first member of a part stays, because shorter extensions may still meet an earlier suffix of another part, and is also put in
+the longer interval, to be met there. So one member of each part stays, and the intervals together hold little more than one row for a suffix.
+
+A run of lines that also starts earlier is a later copy. Maximal later copies of at least MIN_WORDS words are deleted, whether they are one line
+or many. The deleted lines of a document follow from a running maximum of the ends of such runs, so a long run costs a row for each line.
 
 Names are pairs of 64-bit hashes of the content, the same on every executor. A name that many suffixes share is counted
 with a partial aggregate before it is shuffled, and the join that hands the counts back can be split by Spark.
 
-The first copy is that of the smallest doc_id, null last, then of the smaller text hash, then the first in the text. Runs are judged on
-the input, not on what is left. Nulls and odd rows: a null text has no lines; blank lines are in no run and always stay;
+The first copy is that of the smallest doc_id, null last, then of the smaller text hash, then the first in the text; a copy may overlap its
+original. Runs are judged on the input, not on what is left. Nulls and odd rows: a null text has no lines; blank lines are in no run and always stay;
 rows of equal doc_id and text are one document and keep the same lines; every input row gives one output row; an empty table gives an
 empty result. Other columns are not looked at, and ``deduplicated`` passes all of them on.
 """
@@ -20,11 +26,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from hazeline.llm.registry import query, table
-from hazeline.llm.stages import materialise
+from hazeline.llm.stages import discard, materialise
 
-MIN_LINES = 2
+#: Words of a later copy from which it is deleted.
+MIN_WORDS = 10
+SUFFIX = ["doc_id", "tie", "no"]
 BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -38,59 +47,114 @@ def name_of(*parts: Column | str) -> Column:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, tie, no, at, name): a row for each line with a word; no counts these, at counts all lines."""
+    """(doc_id, tie, no, at, words, name): a row for each line with a word; no counts these, at counts all lines."""
     lines = F.filter(
         F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("at"), line.alias("line"))),
         lambda x: F.length(F.trim(x["line"], F.lit(BLANK))) > 0,
     )
+    trimmed = F.trim(F.col("x.line"), F.lit(BLANK))
     return (
         docs.select("doc_id", F.xxhash64("text").alias("tie"), F.posexplode(lines).alias("no", "x"))
-        .select("doc_id", "tie", "no", F.col("x.at").alias("at"), name_of("x.line").alias("name"))
+        .select(
+            *SUFFIX, F.col("x.at").alias("at"), F.size(F.split(trimmed, "[ \\t\\n\\x0B\\f\\r]+")).cast("long").alias("words"),
+            name_of("x.line").alias("name"),
+        )
     )
 
 
+def at_place(df: DataFrame, other: DataFrame, no: Column, how: str = "inner") -> DataFrame:
+    """df joined with the suffix of ``other`` that begins at line ``no`` of the same document; its other columns come along."""
+    there = other.withColumnsRenamed({"doc_id": "__d", "tie": "__t", "no": "__n"})
+    same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("tie") == F.col("__t")) & (no == F.col("__n"))
+    return df.join(there, same, how).drop("__d", "__t", "__n")
+
+
 def shared(suffixes: DataFrame) -> DataFrame:
-    """The suffixes whose name others have too, with ``first``, the place of the name's first member."""
+    """The suffixes whose name others have too."""
     # written before it is joined, so that Spark can split a name that very many suffixes share
     intervals = materialise(
-        suffixes.groupBy("name").agg(F.min(place()).alias("first"), F.max(place()).alias("last"))
-        .where(~F.col("first").eqNullSafe(F.col("last"))).select("name", "first"),
-        "line-intervals",
+        suffixes.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name"), "line-intervals"
     )
-    return suffixes.join(intervals, "name")
+    return suffixes.join(intervals, "name").select(*SUFFIX, "name")
 
 
 def doubled(suffixes: DataFrame, by: int) -> DataFrame:
     """Suffixes named by their own name and that of the suffix ``by`` lines on."""
-    ahead = suffixes.select(
-        F.col("doc_id").alias("d"), F.col("tie").alias("t"), (F.col("no") - by).alias("m"), F.col("name").alias("next")
-    ).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t")) & (F.col("no") == F.col("m"))
-    return suffixes.join(ahead, same).select(
-        "doc_id", "tie", "no", "at", name_of("name.a", "name.b", "next.a", "next.b").alias("name")
+    ahead = suffixes.withColumnRenamed("name", "next")
+    return at_place(suffixes, ahead, F.col("no") + by).select(*SUFFIX, name_of("name.a", "name.b", "next.a", "next.b").alias("name"))
+
+
+def levels(lines: DataFrame) -> list[DataFrame]:
+    """Shared names of 1, 2, 4, ... lines, as far as there are any."""
+    # rows of equal doc_id and text are one document
+    found = [materialise(shared(lines.select(*SUFFIX, "name").distinct()), "line-suffixes")]
+    while found[-1].limit(1).count():
+        found.append(materialise(shared(doubled(found[-1], 1 << (len(found) - 1))), "line-suffixes"))
+    return found[:-1]
+
+
+def parted(state: DataFrame, names: DataFrame, step: int) -> DataFrame:
+    """One round: intervals are parted by the next ``step`` lines.
+
+    state: (doc_id, tie, no, length, node, own): the suffix is in the interval ``node`` of common ``length``; own marks the row that stands for
+    what is known of the suffix itself, others are there to be met.
+    """
+    met = at_place(state, names.withColumnRenamed("name", "next"), F.col("no") + F.col("length"), "left")
+    part = name_of("node.a", "node.b", "next.a", "next.b", F.lit(step))
+    known = F.col("next").isNotNull()
+    met = materialise(met.withColumn("part", F.when(known, part)).drop("next"), "line-met")
+    # a part without a second member moves nothing
+    firsts = materialise(
+        met.where("part IS NOT NULL").groupBy("part").agg(F.min(place()).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        .select(F.col("part").alias("of"), "first"),
+        "line-firsts",
     )
-
-
-def later_copies(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """(doc_id, tie, at): the lines, by their number in the text, that runs of later copies cover."""
-    lines = materialise(line_rows(docs), "line-names")
-    suffixes, length = materialise(shared(lines), "line-suffixes"), 1
-    while length < min_lines:
-        step = min(length, min_lines - length)
-        suffixes = materialise(shared(doubled(suffixes.drop("first"), step)), "line-suffixes")
-        length += step
-    begins = suffixes.where(~place().eqNullSafe(F.col("first"))).select("doc_id", "tie", "no").distinct()
-    covered = begins.withColumn("no", F.explode(F.sequence("no", F.col("no") + (min_lines - 1)))).distinct()
-    return lines.join(
-        covered.select(F.col("doc_id").alias("d"), F.col("tie").alias("t"), F.col("no").alias("m")),
-        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t")) & (F.col("no") == F.col("m")),
-        "left_semi",
-    ).select("doc_id", "tie", "at").distinct()
-
-
-def with_removed(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+    joined = met.join(firsts, F.col("part") == F.col("of"), "left").drop("of")
+    here = F.struct("length", "node", "own")
+    longer = F.struct((F.col("length") + step).cast("long").alias("length"), F.col("part").alias("node"), F.col("own"))
+    served = F.struct((F.col("length") + step).cast("long").alias("length"), F.col("part").alias("node"), F.lit(False).alias("own"))
+    moves = (
+        F.when(F.col("first").isNull(), F.array(here))
+        .when(place().eqNullSafe(F.col("first")), F.array(here, served)).otherwise(F.array(longer))
+    )
+    after = materialise(joined.select(*SUFFIX, F.inline(moves)), "line-state")
+    for done in (met, firsts):
+        discard(done)
+    return after
+
+
+def earlier_lengths(lines: DataFrame) -> DataFrame:
+    """(doc_id, tie, no, length): for each suffix the most lines that also start earlier, where there are any."""
+    names = levels(lines)
+    if not names:
+        return lines.select(*SUFFIX, F.lit(0).cast("long").alias("length")).where("false")
+    state = names[0].select(
+        *SUFFIX, F.lit(0).cast("long").alias("length"), name_of(F.lit("root")).alias("node"), F.lit(True).alias("own")
+    )
+    for k in reversed(range(len(names))):
+        after = parted(state, names[k], 1 << k)
+        for used in [names[k]] * (k > 0) + [state] * (k < len(names) - 1):
+            discard(used)
+        state = after
+    return state.where("own AND length > 0").select(*SUFFIX, "length")
+
+
+def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, tie, at): the lines, by their number in the text, that later copies of enough words cover."""
+    lines = materialise(line_rows(docs).distinct(), "line-names")
+    in_text = W.partitionBy("doc_id", "tie").orderBy("no")
+    upto = lines.select(*SUFFIX, "at", F.sum("words").over(in_text).alias("upto"), "words")
+    runs = materialise(earlier_lengths(lines), "line-runs")
+    begun = at_place(runs, upto.select(*SUFFIX, (F.col("upto") - F.col("words")).alias("before")), F.col("no"))
+    ended = at_place(begun, upto.select(*SUFFIX, "upto"), F.col("no") + F.col("length") - 1)
+    long_enough = ended.where(F.col("upto") - F.col("before") >= min_words).select(*SUFFIX, (F.col("no") + F.col("length")).alias("end"))
+    ends = at_place(lines.select(*SUFFIX, "at"), long_enough, F.col("no"), "left")
+    return ends.withColumn("reach", F.max("end").over(in_text)).where("reach > no").select("doc_id", "tie", "at")
+
+
+def with_removed(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs and ``__removed``, the numbers of its lines that are deleted; null if none is."""
-    removed = later_copies(docs.select("doc_id", "text"), min_lines).groupBy(
+    removed = later_copies(docs.select("doc_id", "text"), min_words).groupBy(
         F.col("doc_id").alias("__d"), F.col("tie").alias("__t")
     ).agg(F.collect_set("at").alias("__removed"))
     same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t"))
@@ -104,24 +168,29 @@ def kept_text() -> Column:
     return F.when(F.col("__removed").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
 
 
-def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with later copies of line runs cut out of ``text``."""
-    rows = with_removed(docs, min_lines).withColumn("__kept", kept_text())
+    rows = with_removed(docs, min_words).withColumn("__kept", kept_text())
     return rows.select(*(F.col("__kept").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns))
 
 
+# Every line of a later copy of ten words and more lies in a window of such words as short as can be from its first line on, or from its last line back.
 SQL = r"""
 WITH l AS (
   SELECT doc_id, t[p] AS line, p AS pl
   FROM (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS p FROM (SELECT doc_id, string_split(text, chr(10)) AS t FROM documents))
 ), s AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pl) AS no FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pl) AS no, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+  FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), d AS (SELECT doc_id, list(line ORDER BY no) AS ls, list(pl ORDER BY no) AS pls, list(words ORDER BY no) AS ws FROM s GROUP BY doc_id
+), e AS (SELECT doc_id, no, len(ws) AS n, ls, pls, ws FROM s JOIN d USING (doc_id)
 ), w AS (
-  SELECT x.doc_id, x.pl AS pl1, y.pl AS pl2,
-         row_number() OVER (PARTITION BY x.line, y.line ORDER BY x.doc_id, x.no) AS copy
-  FROM s x JOIN s y ON x.doc_id = y.doc_id AND y.no = x.no + 1
-), gone AS (
-  SELECT DISTINCT doc_id, unnest([pl1, pl2]) AS pl FROM w WHERE copy > 1
+  SELECT doc_id, no AS a, (SELECT min(x) FROM (SELECT unnest(range(no, least(n, no + 9) + 1)) AS x) WHERE list_sum(ws[no:x]) >= 10) AS b, ls, pls FROM e
+  UNION
+  SELECT doc_id, (SELECT max(x) FROM (SELECT unnest(range(greatest(1, no - 9), no + 1)) AS x) WHERE list_sum(ws[x:no]) >= 10), no, ls, pls FROM e
+), c AS (
+  SELECT doc_id, pls[a:b] AS covered, row_number() OVER (PARTITION BY ls[a:b] ORDER BY doc_id, a) AS copy FROM w WHERE a IS NOT NULL AND b IS NOT NULL
+), gone AS (SELECT DISTINCT doc_id, unnest(covered) AS pl FROM c WHERE copy > 1
 ), r AS (
   SELECT l.doc_id, count(*) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]')) AS n_lines, count(gone.pl) AS n_removed,
          string_agg(line, chr(10) ORDER BY l.pl) FILTER (gone.pl IS NULL) AS kept
