@@ -178,17 +178,8 @@ LIMIT_RENAMES = {
     "EDXRF_s_mdl": "EDXRF_sulphur_s_mdl",
     "EDXRF_spec_s_mdl": "EDXRF_spec_sulphur_s_mdl",
     "EDXRF_spec_ni_mdl": "EDXRF_spec_nickel_ni_mdl",
+    # stays as it is, whatever value names it is found for
     "Acidic_IC_spec_sulphur_dioxide_mdl": "Acidic_IC_spec_sulphur_dioxide_mdl",
 }
 # Canonical names set by hand after the rules.
 CANONICAL_OVERRIDES = {"dich_pm2_5_mdl": "dich.pm2_5_mdl"}
-
-# Order in which name fragments are tried when a limit column is looked for. Each entry
-# lists positions (from 1) of the "_"-separated parts of the value name that are joined
-# again by "_"; a trailing/leading "_" is added where the flag says so.
-LIMIT_RULES_FULL = (
-    ((1, 2, 4), False), ((2, 3), False), ((1, 3), False), ((1, 2, 3, 5), False),
-    ((3, 4, 5), False), ((3, 4), False), ((5, 6), False), ((5,), False),
-    ((6,), True), ((1, 2, 3, 4, 6), False),
-)
-LIMIT_RULES_SHORT = (((1, 2, 4), False), ((2, 3), False))

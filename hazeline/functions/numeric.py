@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,11 +36,10 @@ def null_count(*columns: Column) -> Column:
     return total
 
 
-def haversine_km(lat: Column, lon: Column, centre_lat: float, centre_lon: float) -> Column:
-    """Great-circle distance to a fixed centre."""
-    dphi = F.radians(lat - F.lit(centre_lat)) / 2
-    dlam = F.radians(lon - F.lit(centre_lon)) / 2
-    a = F.pow(F.sin(dphi), 2) + F.lit(math.cos(math.radians(centre_lat))) * F.cos(
-        F.radians(lat)
-    ) * F.pow(F.sin(dlam), 2)
+def haversine_km(lat: Column, lon: Column, centre_lat: float | Column, centre_lon: float | Column) -> Column:
+    """Great-circle distance to a centre."""
+    centre = [c if isinstance(c, Column) else F.lit(c) for c in (centre_lat, centre_lon)]
+    dphi = F.radians(lat - centre[0]) / 2
+    dlam = F.radians(lon - centre[1]) / 2
+    a = F.pow(F.sin(dphi), 2) + F.cos(F.radians(centre[0])) * F.cos(F.radians(lat)) * F.pow(F.sin(dlam), 2)
     return F.lit(2 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(a), F.sqrt(1 - a))

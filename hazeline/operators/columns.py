@@ -90,18 +90,18 @@ def value_limit_pairs(
     return df.select(*keys, F.inline(F.array(*entries)))
 
 
-def route_pairs(long: DataFrame, scheme: DataFrame, sampler: str) -> DataFrame:
+def route_pairs(long: DataFrame, scheme: DataFrame, sampler: str, keys: Sequence[str] = ()) -> DataFrame:
     """Target names and table of each species; unmapped species go to "No file".
 
-    ``scheme`` has one row per species: (old_name, new_name, mdl_name, file_type).
+    ``scheme`` has one row per species: (keys..., old_name, new_name, mdl_name, file_type).
     """
     s = broadcast_if_small(
         scheme.where(F.col("new_name").isNotNull()).select(
-            F.col("old_name").alias("species"), "new_name", "mdl_name", "file_type"
+            *keys, F.col("old_name").alias("species"), "new_name", "mdl_name", "file_type"
         )
     )
-    return long.join(s, "species", "left").select(
-        *[c for c in long.columns if c not in ("species", "value", "mdl")],
+    return long.join(s, [*keys, "species"], "left").select(
+        *[c for c in long.columns if c not in ("value", "mdl")],
         F.concat(F.lit(f"{sampler}_"), F.coalesce("new_name", "species")).alias("value_name"),
         F.concat(
             F.lit(f"{sampler}_"),

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hazeline.fixed_values import EARTH_RADIUS_KM
 from hazeline.functions.numeric import haversine_km
 from hazeline.operators.sizes import broadcast_if_small
 
@@ -41,14 +44,64 @@ def union_observations(*frames: DataFrame) -> DataFrame:
     ).distinct()
 
 
+#: Bits of the numbers behind an order column: enough for every value and one more for null.
+_BITS = {
+    T.BooleanType: 2, T.ByteType: 9, T.ShortType: 17, T.IntegerType: 33, T.LongType: 65, T.DateType: 33, T.TimestampType: 59,
+    T.TimestampNTZType: 59,
+}
+#: What a decimal of 38 digits holds.
+_PACKED_BITS = 126
+
+
+def _whole(number: int) -> Column:
+    return F.lit(Decimal(number)).cast("decimal(38,0)")
+
+
+def _side_by_side(parts: Sequence[tuple[Column, int]]) -> Column:
+    """Whole numbers from 0, each below 2 to its bits, as one number that sorts like them, in order."""
+    below = sum(width for _, width in parts)
+    if below > _PACKED_BITS:
+        raise ValueError(f"more than {_PACKED_BITS} bits")
+    result = _whole(0)
+    for number, width in parts:
+        below -= width
+        result = result + number.cast("decimal(38,0)") * _whole(2**below)
+    return result.cast("decimal(38,0)")
+
+
+def packed_order(bits: Mapping[str, int]) -> Column:
+    """One number for columns of whole numbers from 0 that need no more than the given bits."""
+    return _side_by_side([(F.col(name), width) for name, width in bits.items()])
+
+
+def _from_zero(name: str, data_type: T.DataType) -> Column:
+    """The values of an order column as whole numbers from 0, null last."""
+    c = F.col(name)
+    if isinstance(data_type, T.DateType):
+        c = F.unix_date(c)
+    elif isinstance(data_type, T.TimestampNTZType):  # without a detour over the session's time zone
+        seconds = F.unix_date(F.to_date(c)).cast("long") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+        c = seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    elif isinstance(data_type, T.TimestampType):
+        c = F.unix_micros(c)
+    width = _BITS[type(data_type)]
+    least = 2**58 if width == 59 else 2 ** (width - 2)
+    return F.coalesce((c.cast("decimal(20,0)") + _whole(least)).cast("decimal(38,0)"), _whole(2**width - 1))
+
+
 def _rank(df: DataFrame, order: Sequence[str]) -> Column:
     """Never-null sort key of the order columns, missing ones last.
 
-    A single whole number stays a number, which keeps aggregates over it hash-based; anything
-    else becomes a struct.
+    One whole number where the columns are whole numbers, dates or times that fit into one, which keeps aggregates
+    over it hash-based; anything else becomes a struct.
     """
-    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, (T.IntegerType, T.LongType)):
+    types = [df.schema[c].dataType for c in order]
+    if len(order) == 1 and isinstance(types[0], (T.IntegerType, T.LongType)):
         return F.coalesce(F.col(order[0]).cast("long"), F.lit(2**63 - 1))
+    if len(order) == 1 and isinstance(types[0], T.DecimalType) and types[0].scale == 0:
+        return F.coalesce(F.col(order[0]).cast("decimal(38,0)"), _whole(10**38 - 1))
+    if all(type(t) in _BITS for t in types) and sum(_BITS[type(t)] for t in types) <= _PACKED_BITS:
+        return _side_by_side([(_from_zero(c, t), _BITS[type(t)]) for c, t in zip(order, types, strict=True)])
     return F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))])
 
 
@@ -108,30 +161,39 @@ def merge_sources(
 def fold_full_outer(
     df: DataFrame, keys: Sequence[str], name: str, value: str, columns: Sequence[str]
 ) -> DataFrame:
-    """N tables side by side on common keys, from the long layout: one shuffle, no join chain."""
-    return df.groupBy(*keys).agg(
-        *[F.max(F.when(F.col(name) == c, F.col(value))).alias(c) for c in columns]
+    """N tables side by side on common keys, from the long layout, without a join chain.
+
+    A pivot over declared columns: the largest value of each cell, then one array per key, filled by place. The work of a row does not
+    grow with the number of columns.
+    """
+    return df.groupBy(*keys).pivot(name, list(columns)).agg(F.max(value)).select(
+        *keys, *[F.col(f"`{c}`") for c in columns]
     )
 
 
 def anti_ranges(
     df: DataFrame, ranges: DataFrame, key: str, date: str = "date"
 ) -> DataFrame:
-    """Drop rows whose key and date fall into an exclusion range ``(key, from_date, to_date)``.
+    """Drop rows whose key and date fall into an exclusion range ``(key, from_date, to_date)``, for any number of ranges.
 
     An open end is null. A row of an excluded key without a date is dropped too, because
-    the condition on it cannot be decided.
+    the condition on it cannot be decided. Ranges with an open end come down to one row for each key; the others are cut into years,
+    so that rows meet only the ranges of their own key and year.
     """
-    r = ranges.select(F.col(key).alias("__key"), "from_date", "to_date")
+    first, last = F.to_date("from_date"), F.to_date("to_date")
+    open_ends = ranges.groupBy(F.col(key).alias("__key")).agg(
+        F.max(F.when(first.isNull(), last)).alias("__until"), F.min(F.when(last.isNull(), first)).alias("__since"),
+        F.max(first.isNull() & last.isNull()).alias("__always"),
+    )
     d = F.to_date(F.col(date))
-    hit = (F.col(key) == F.col("__key")) & (
-        d.isNull()
-        | (
-            (F.col("from_date").isNull() | (d >= F.col("from_date")))
-            & (F.col("to_date").isNull() | (d <= F.col("to_date")))
-        )
+    gone = F.col("__always") | d.isNull() | F.coalesce(d <= F.col("__until"), F.lit(False)) | F.coalesce(d >= F.col("__since"), F.lit(False))
+    open_kept = df.join(open_ends, F.col(key) == F.col("__key"), "left").where(F.col("__key").isNull() | ~gone).select(df.columns)
+    years = ranges.where(first.isNotNull() & last.isNotNull() & (first <= last)).select(
+        F.col(key).alias("__key"), first.alias("__from"), last.alias("__to"),
+        F.explode(F.sequence(F.year(first), F.year(last))).alias("__year"),
     )
-    return df.join(r, hit, "left_anti")
+    hit = (F.col(key) == F.col("__key")) & (F.year(d) == F.col("__year")) & d.between(F.col("__from"), F.col("__to"))
+    return open_kept.join(years, hit, "left_anti")
 
 
 def within_radius(
@@ -150,6 +212,47 @@ def within_radius(
     ).where(F.col(out) < km)
 
 
+def near_centres(
+    points: DataFrame, centres: DataFrame, km: float, lat: str = "latitude", lon: str = "longitude", out: str = "distance_km",
+) -> DataFrame:
+    """Every pair of a point and a centre nearer than ``km``, with the distance; both tables may be of any size.
+
+    The globe is cut into rows of latitude as high as the radius, and each row into cells as wide as the radius reaches there. A point
+    lies in one cell, a centre looks into its own and the neighbouring ones, and the two meet by an equality join.
+    Centres' coordinates are named ``centre_latitude`` and ``centre_longitude``.
+    """
+    step = km / (math.pi * EARTH_RADIUS_KM / 180) * 1.0001
+
+    def row_of(latitude: Column) -> Column:
+        return F.floor(latitude / step).cast("long")
+
+    def cells_in(row: Column) -> Column:
+        """Number of cells of a row: the widest difference of longitude within the radius of any of its points fits into one."""
+        edge = F.least(F.greatest(F.abs((row - 1) * step), F.abs((row + 2) * step)), F.lit(90.0))
+        reach = F.lit(math.sin(min(km / (2 * EARTH_RADIUS_KM), math.pi / 2))) / F.cos(F.radians(edge))
+        width = F.when(reach < 1, F.degrees(F.asin(reach)) * 2.0002).otherwise(F.lit(360.0))
+        return F.greatest(F.floor(F.lit(360.0) / width), F.lit(1)).cast("long")
+
+    def cell_of(longitude: Column, count: Column) -> Column:
+        turned = F.pmod(longitude + 180, F.lit(360.0))
+        return F.least(F.floor(turned / 360 * count).cast("long"), count - 1)
+
+    placed = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumn("__row", row_of(F.col(lat)))
+    placed = placed.withColumn("__cell", cell_of(F.col(lon), cells_in(F.col("__row"))))
+    mine = row_of(F.col("centre_latitude"))
+    looking = (
+        centres.where("centre_latitude IS NOT NULL AND centre_longitude IS NOT NULL")
+        .withColumn("__row", F.explode(F.array(mine - 1, mine, mine + 1))).withColumn("__count", cells_in(F.col("__row")))
+        .withColumn("__at", cell_of(F.col("centre_longitude"), F.col("__count")))
+    )
+    around = F.array_distinct(F.transform(F.array(*[F.col("__at") + i for i in (-1, 0, 1)]), lambda c: F.pmod(c, F.col("__count"))))
+    looking = looking.withColumn("__cell", F.explode(around)).drop("__count", "__at")
+    met = placed.join(looking, ["__row", "__cell"]).withColumn(
+        out, haversine_km(F.col(lat), F.col(lon), F.col("centre_latitude"), F.col("centre_longitude"))
+    )
+    return met.where(F.col(out) < km).drop("__row", "__cell")
+
+
 def compare_with_reference(
     counts: DataFrame, published: DataFrame, key: str, n: str, n_published: str
 ) -> DataFrame:

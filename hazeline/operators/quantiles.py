@@ -1,19 +1,16 @@
-"""Exact quantiles (linear interpolation between order statistics) by group, by counting.
+"""Exact quantiles (linear interpolation between order statistics) by group, by radix selection.
 
-1. One map-side combined pass makes an approximate-quantile sketch per group, whose rank error is bounded, and from it an
-   interval around every wanted order statistic.
-2. A second pass counts rows outside the intervals (one row per gap) and value counts inside them, again combined before
-   the shuffle.
-3. Each interval is cut into BUCKETS equal parts. The ranks at which parts begin follow from a running sum over parts, of
-   which a group has a fixed number, and only the few parts that hold a wanted rank are put in order.
-
-So no task sees a group's values, whatever the group's size: a part holds about 1 / BUCKETS of an interval's distinct values, and
-an interval a few times 1 / accuracy of the rows. The same steps run at every size and give the same digits.
+Every value has an image: a whole number of 64 bits that sorts like it. A pass counts values by group and the leading bits of their images,
+combined before the shuffle; a running sum over these counts tells which few of them hold a wanted rank. The next pass looks only at values with
+such leading bits and counts them by more bits; after the last pass all bits are known. The number of passes is fixed, a count of one pass
+and group has at most two to the bits of the pass as many rows for each wanted rank, and clustered values cost nothing more: they share leading
+bits and part in a later pass. So no task sees a group's values, whatever the group's size, and the same steps run at every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -22,122 +19,112 @@ from pyspark.sql import functions as F
 from hazeline.operators.joins import null_safe_join
 from hazeline.sources.stages import staged
 
-ACCURACY = 10_000
-BUCKETS = 1_000
+#: Bits of the image that each pass adds.
+PASSES = (24, 20, 20)
+#: Exponents of normal doubles, and every 32nd power of two from 2^-1024 on.
+LEAST, MOST = -1022, 1023
+COARSE_POWERS = tuple(2.0**e for e in range(-1024, MOST + 1, 32))
+
+
+def double_image(value: Column) -> Column:
+    """A whole number that sorts like the double, with one for each; both zeros are 0, and what is not a number comes last.
+
+    Exponent and fraction side by side. Scaling by a power of two is exact, so the fraction is, and the exponent is mended where
+    the logarithm rounds to the neighbour.
+    """
+    size = F.abs(value)
+    coarse = F.lit(list(COARSE_POWERS))
+
+    def power(e: Column) -> Column:
+        place = (e + 1024).cast("int")
+        fine = F.call_function("shiftleft", F.lit(1).cast("long"), place % 32).cast("double")
+        return F.get(coarse, F.shiftright(place, 5)) * fine
+
+    near = F.least(F.greatest(F.floor(F.log2(size)), F.lit(LEAST)), F.lit(MOST))
+    up = ((size / 2) >= power(near)).cast("long")
+    down = ((size < power(near)) & (near > LEAST)).cast("long")
+    exponent = F.least(near + up - down, F.lit(MOST))
+    fraction = (size / power(exponent) * F.lit(2.0**52)).cast("long")
+    finite = (exponent - LEAST) * F.lit(2**52) + fraction
+    whole = F.when(size == F.lit(float("inf")), F.lit(2**63 - 2)).otherwise(finite)
+    return F.when(F.isnan(value), F.lit(2**63 - 1)).when(value < 0, -whole).otherwise(whole)
 
 
 def exact_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probs: Sequence[float],
-    names: Sequence[str],
-    accuracy: int = ACCURACY,
-    buckets: int = BUCKETS,
-    extra: Sequence[Column] = (),
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],
+    passes: Sequence[int] = PASSES,
 ) -> DataFrame:
-    """Columns: keys, n (present values), one column per probability, then ``extra``.
+    """Columns: keys, n (present values) and one column per probability.
 
-    ``extra`` holds aliased aggregates over the column ``v`` (the value as double).
-    Groups without any present value are kept, with null quantiles.
+    Groups without any present value are kept, with null quantiles. passes: bits added by each pass, 64 in all.
     """
-    probs = list(map(float, probs))
+    if sum(passes) != 64:
+        raise ValueError("the passes must add up to 64 bits")
+    ranks = wanted_ranks(probs)
     keyed = df if keys else df.withColumn("__all", F.lit(0))
     by = list(keys) or ["__all"]
-    values = keyed.select(*by, F.col(value).cast("double").alias("v"))
-    # Written out because every later step must see the very same intervals, also after a lost executor.
-    groups = staged(group_sketches(values, by, probs, accuracy, extra), "quantile-groups")
-    counted = staged(
-        interval_counts(values, by, interval_edges(groups, by, probs, accuracy), len(probs), buckets), "quantile-counts"
-    )
-    picked = picked_ranks(counted, by, probs)
-    position = [(F.col("n") - 1) * F.lit(p) for p in probs]
-    quantiles = picked.select(
-        *by,
-        *[
-            (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (position[i] - F.floor(position[i]))).alias(name)
-            for i, name in enumerate(names)
-        ],
-    )
-    kept = groups.drop("vmin", "vmax", "s")
-    rest = [c for c in kept.columns if c not in {*by, "n"}]
-    return null_safe_join(kept, quantiles, by, "left").select(*keys, "n", *names, *rest)
+    v = F.col("v")
+    images = keyed.select(*by, F.col(value).cast("double").alias("v")).withColumn("image", F.when(v.isNotNull(), double_image(v)))
+    known = passes[0]
+    counts = first_counts(images, by, known)
+    # Written, so that every later step sees the same few rows and Spark knows how few they are.
+    held = staged(holding(counts, ranks), "quantile-bits")
+    groups = held.select(*by, "n").distinct()
+    for bits in passes[1:-1]:
+        counts = next_counts(images, by, held, known, known + bits)
+        held, known = staged(holding(counts, ranks), "quantile-bits"), known + bits
+    last = next_counts(images, by, held, known, 64)
+    picked = last.groupBy(*by).agg(*[F.max(F.when(inside(rank), F.col("v"))).alias(name) for name, rank in ranks.items()])
+    position = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+    return null_safe_join(groups, picked, by, "left").select(*keys, "n", *[
+        (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (position[i] - F.floor(position[i]))).alias(name)
+        for i, name in enumerate(names)
+    ])
+
+
+def wanted_ranks(probs: Sequence[float]) -> dict[str, Column]:
+    """The ranks, from 0, on both sides of each quantile's position among n values."""
+    ranks = {}
+    for i, p in enumerate(probs):
+        low = F.floor((F.col("n") - 1) * F.lit(float(p)))
+        ranks |= {f"lo{i}": low, f"hi{i}": F.least(low + 1, F.col("n") - 1)}
+    return ranks
 
 
-def bounds_of(probs: Sequence[float], accuracy: int) -> tuple[list[float], list[float]]:
-    """Probabilities a little below and above the wanted ones, beyond the sketch's rank error."""
-    eps = 1.0 / accuracy
-    return [max(p - 2 * eps, 0.0) for p in probs], [min(p + 2 * eps, 1.0) for p in probs]
+def inside(rank: Column) -> Column:
+    return rank.between(F.col("begin"), F.col("begin") + F.col("c") - 1)
 
 
-def group_sketches(values, by, probs, accuracy, extra):
-    lows, highs = bounds_of(probs, accuracy)
-    return values.groupBy(*by).agg(
-        F.count("v").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"),
-        F.percentile_approx("v", F.lit(lows + highs), F.lit(accuracy)).alias("s"), *extra,
-    )
+def holding(counts: DataFrame, ranks: dict[str, Column]) -> DataFrame:
+    """The rows that hold a wanted rank, and one row of each group without values."""
+    return counts.where(reduce(lambda a, b: a | b, map(inside, ranks.values())) | (F.col("n") == 0)).drop("c", "v")
 
 
-def interval_edges(groups, by, probs, accuracy):
-    """keys, n and the ends a0.., b0.. of the interval of each probability.
+def _before(order) -> Column:
+    return F.coalesce(F.sum("c").over(order.orderBy("bits").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
 
-    Groups of few rows keep all of them inside: their sketch's rank error is below the slack of a few ranks that
-    interpolation needs.
-    """
-    lows, highs = bounds_of(probs, accuracy)
-    few = F.col("n") <= 5 * accuracy
-    ends = []
-    for i in range(len(probs)):
-        low = F.col("vmin") if lows[i] == 0.0 else F.when(few, F.col("vmin")).otherwise(F.col("s")[i])
-        high = F.col("vmax") if highs[i] == 1.0 else F.when(few, F.col("vmax")).otherwise(F.col("s")[len(probs) + i])
-        ends += [low.alias(f"a{i}"), high.alias(f"b{i}")]
-    return groups.select(*by, "n", *ends)
 
+def _counted(rows: DataFrame, keys: Sequence[str], known: int) -> DataFrame:
+    """Values by group and known leading bits; v is one of them, after the last pass the only one."""
+    return rows.groupBy(*keys, F.expr(f"shiftright(image, {64 - known})").alias("bits")).agg(
+        F.count("v").alias("c"), F.min("v").alias("v")
+    )
 
-def interval_counts(values, by, edges, k, buckets):
-    """keys, n, segment, bucket, x, c: value counts inside the intervals, and one row with neither bucket nor x for each gap.
 
-    Segment i begins with the i-th interval; its gap comes behind its values.
-    """
-    v = F.col("v")
-    rows = null_safe_join(values.where(v.isNotNull()), edges, by, "inner")
-    segment, inside = F.lit(0), F.lit(False)
-    low, high = F.lit(None).cast("double"), F.lit(None).cast("double")
-    for i in range(k):
-        begun = v >= F.col(f"a{i}")
-        segment = segment + begun.cast("int")
-        inside = inside | v.between(F.col(f"a{i}"), F.col(f"b{i}"))
-        low, high = F.when(begun, F.col(f"a{i}")).otherwise(low), F.when(begun, F.col(f"b{i}")).otherwise(high)
-    # not a number where an end is infinite; then all of the interval is one part or the last one
-    part = F.nanvl((v - low) / F.when(high > low, high - low), F.lit(1.0))
-    bucket = F.coalesce(F.least(F.floor(part * buckets), F.lit(buckets - 1)), F.lit(0))
-    return rows.groupBy(
-        *by, "n", segment.alias("segment"), F.when(inside, bucket).alias("bucket"), F.when(inside, v).alias("x")
-    ).agg(F.count(F.lit(1)).alias("c"))
-
-
-def picked_ranks(counted, by, probs):
-    """keys, n and the values lo0, hi0.. at the ranks around each quantile's position."""
-    parts = counted.groupBy(*by, "n", "segment", "bucket").agg(F.sum("c").alias("c"))
-    order = W.partitionBy(*by).orderBy("segment", F.col("bucket").asc_nulls_last())
-    before = F.coalesce(F.sum("c").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    wanted = {}
-    for i, p in enumerate(probs):
-        lo = F.floor((F.col("n") - 1) * F.lit(p))
-        wanted |= {f"lo{i}": lo, f"hi{i}": F.least(lo + 1, F.col("n") - 1)}
-    holds = F.lit(False)
-    for rank in wanted.values():
-        holds = holds | rank.between(F.col("begin"), F.col("begin") + F.col("c") - 1)
-    few = (
-        parts.withColumn("begin", before).where(F.col("bucket").isNotNull() & holds)
-        .select(*by, "segment", "bucket", "begin")
+def first_counts(images: DataFrame, by: Sequence[str], known: int) -> DataFrame:
+    """(by, n, bits, c, begin, v): begin is the rank of the first value with these bits."""
+    group = W.partitionBy(*by)
+    return _counted(images, by, known).select(
+        *by, F.sum("c").over(group).alias("n"), "bits", "c", _before(group).alias("begin"), "v"
     )
-    rows = null_safe_join(counted.where(F.col("x").isNotNull()), few, [*by, "segment", "bucket"], "inner")
-    inner = W.partitionBy(*by, "segment", "bucket").orderBy("x").rowsBetween(W.unboundedPreceding, 0)
-    ranked = rows.withColumn("last", F.col("begin") + F.sum("c").over(inner) - 1).withColumn(
-        "first", F.col("last") - F.col("c") + 1
+
+
+def next_counts(images: DataFrame, by: Sequence[str], held: DataFrame, earlier: int, known: int) -> DataFrame:
+    """The same for values whose first ``earlier`` bits were picked by the pass before."""
+    present = images.where("image IS NOT NULL").withColumn("held", F.expr(f"shiftright(image, {64 - earlier})"))
+    picked = held.where("bits IS NOT NULL").select(*by, "n", F.col("bits").alias("held"), F.col("begin").alias("from"))
+    met = null_safe_join(present, picked, [*by, "held"], "inner")
+    counts = _counted(met, [*by, "n", "held", "from"], known)
+    return counts.select(
+        *by, "n", "bits", "c", (F.col("from") + _before(W.partitionBy(*by, "held"))).alias("begin"), "v"
     )
-    picks = [
-        F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col("x"))).alias(name) for name, rank in wanted.items()
-    ]
-    return ranked.groupBy(*by, "n").agg(*picks)

@@ -16,11 +16,3 @@ def estimated_bytes(df: DataFrame) -> int:
 def broadcast_if_small(df: DataFrame, limit: int = 64 * MIB) -> DataFrame:
     """Broadcast hint only behind a size check; beyond it the join shuffles as usual."""
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
-
-
-def bounded_values(df: DataFrame, column: str, limit: int = 10_000) -> list:
-    """Distinct values of a name-like column as a driver list; refuses to grow past limit."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().take(limit + 1)
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct values in {column}")
-    return sorted(r[0] for r in rows)

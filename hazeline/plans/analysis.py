@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.fixed_values import (
-    ANALYSIS_COLUMNS, BAD_OBSERVATIONS, CITY_ORDER, COMPONENTS, LIMIT_RULES_SHORT,
+    ANALYSIS_COLUMNS, BAD_OBSERVATIONS, CITY_ORDER, COMPONENTS,
     PUBLISHED_COUNTS, STATION_EXCLUSIONS, STUDY_STATIONS, WEATHER_COLUMNS,
 )
 from hazeline.functions.dates import fill_date_parts, month_label
@@ -18,7 +18,7 @@ from hazeline.operators import split_date as S
 from hazeline.operators.columns import add_missing, with_prefix
 from hazeline.operators.joins import anti_ranges, compare_with_reference, literal_table
 from hazeline.operators.models import polynomial_trend, simple_regression
-from hazeline.operators.naming import match_limits
+from hazeline.operators.naming import LIMIT_RULES_SHORT, match_limits
 from hazeline.operators.quality import drop_null_rows, with_null_count
 from hazeline.operators.ranking import group_extreme, sigma_outliers
 from hazeline.operators.sets import add_relabelled_copy, relabel_branch
@@ -84,7 +84,7 @@ def prepare(
     ranges = literal_table(
         fine.sparkSession, "station string, from_date date, to_date date", exclusions
     )
-    kept = anti_ranges(joined.where(F.col("city").isin(*cities)), F.broadcast(ranges), "station")
+    kept = anti_ranges(joined.where(F.col("city").isin(*cities)), ranges, "station")
     return fill_date_parts(kept)
 
 

@@ -1,21 +1,21 @@
 """The batch run: folders of raw files to the merged, persisted tables.
 
-Every table is one lazy graph; the only jobs are the writes at the end.
+Every file is read once, into lines, and parsed once, into tagged long rows; both are written to the shared folder. The tables are
+lazy graphs over these stages.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.operators.joins import literal_table
 from hazeline.operators.naming import canonical_names
-from hazeline.operators.sizes import bounded_values
 from hazeline.plans import harmonise as Z
 from hazeline.sources import hourly, lookups
-from hazeline.sources.grid import read_grids, sampler_info, split_by_header, with_grid_header
+from hazeline.sources.grid import Grids, read_grids, rejected, sampler_info
 from hazeline.sources.provenance import wanted_files, wanted_sheets
 from hazeline.sources.stages import write_stage, write_table_csv
 
@@ -38,39 +38,34 @@ class Folders:
     hourly: str | None = None
 
 
+def integrated(grids: Grids, fraction: str) -> DataFrame:
+    """Long rows of a folder of 2010+ sheets, with the samplers of its station-info sheets."""
+    info = sampler_info(grids.where(F.col("sheet") == INFO_SHEET)).where("description = 'Description' AND type <> 'pm'")
+    return Z.integrated_long(grids.pick(wanted_sheets), info, fraction)
+
+
 def build_tables(spark: SparkSession, folders: Folders) -> dict[str, DataFrame]:
     """merged (long), quarantine (rows without station or date) and rejects (files without header)."""
     grids = {
-        name: wanted_files(read_grids(spark, getattr(folders, name)))
+        name: read_grids(spark, getattr(folders, name)).pick(wanted_files)
         for name in ("integrated_fine", "integrated_coarse", "speciation", "mass", "dichotomous")
     }
     header_dict = lookups.read_lookup(spark, "header_dict", folders.header_dict)
     scheme = lookups.read_lookup(spark, "part_scheme", folders.part_scheme)
     short = lookups.read_lookup(spark, "file_type_short", folders.file_type_short)
 
-    def integrated(name: str, fraction: str) -> DataFrame:
-        g = grids[name]
-        info = sampler_info(g.where(F.col("sheet") == INFO_SHEET)).where(
-            F.col("description") == "Description"
-        ).where(F.col("type") != "pm")
-        return Z.integrated_long(wanted_sheets(g), info, fraction)
-
     # In order of trust; the same value from a later source is not used.
-    sources = [
-        Z.mass_file_long(grids["dichotomous"], scheme, "dich", "F"),
-        Z.mass_file_long(grids["dichotomous"], scheme, "dich", "C"),
-        Z.mass_file_long(grids["mass"], scheme, "spec", "F"),
-        integrated("integrated_fine", "F"),
-        integrated("integrated_coarse", "C"),
+    parsed = Z.parsed_rows([
+        Z.mass_file_long(grids["dichotomous"], scheme, "dich", ("F", "C")),
+        Z.mass_file_long(grids["mass"], scheme, "spec", ("F",)),
+        integrated(grids["integrated_fine"], "F"),
+        integrated(grids["integrated_coarse"], "C"),
         Z.speciation_long(grids["speciation"], header_dict),
-    ]
-    merged, aside = Z.merge_long(sources, short)
-    data = [wanted_sheets(grids[n]) for n in ("integrated_fine", "integrated_coarse")]
+    ])
+    merged, aside = Z.merge_long(parsed, short)
+    data = [grids[n].pick(wanted_sheets) for n in ("integrated_fine", "integrated_coarse")]
     headed = [*data, *[grids[n] for n in ("speciation", "mass", "dichotomous")]]
-    rejects = None
-    for g in headed:
-        found = split_by_header(with_grid_header(g))[1].select("path")
-        rejects = found if rejects is None else rejects.unionByName(found)
+    rejects = reduce(DataFrame.unionByName, map(rejected, headed))
     tables = {"merged": merged, "quarantine": aside, "rejects": rejects}
     if folders.hourly and folders.stations:
         rows, no_header = hourly.read_hourly(spark, folders.hourly)
@@ -95,12 +90,8 @@ def write_tables(tables: dict[str, DataFrame], target: str) -> None:
 
 
 def write_canonical_names(spark: SparkSession, merged: DataFrame, target: str) -> DataFrame:
-    """Canonical-name table of the fine samples' columns, written as CSV and returned.
-
-    Column names are metadata: a bounded list, checked when it is read.
-    """
+    """Canonical-name table of the fine samples' columns, written as CSV and returned."""
     fine = merged.where((F.col("fraction") == "F") & ~F.col("is_blank"))
-    names = canonical_names(bounded_values(fine, "col_name"))
-    table = literal_table(spark, "old_name string, new_name string", list(names.items()))
+    table = canonical_names(fine.select(F.col("col_name").alias("old_name")).distinct())
     write_table_csv(table, target)
-    return table
+    return spark.read.schema(table.schema).csv(target, header=True)

@@ -1,7 +1,8 @@
 """From sheet grids to one row per station and date, over the long layout.
 
-Long rows: (station, date, fraction, is_blank, file_type, col_name, value). Every step up to
-the merge is narrow; the merge itself is one combined aggregate.
+Long rows: (station, date, fraction, is_blank, file_type, col_name, value). Every step up to the parsed rows joins lines with what
+holds for their file and nothing else. Parsed rows of all sources are written once, tagged with their source; the merged table, the
+rows set aside and every report read them there. The merge is one combined aggregate over numbers.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ from hazeline.fixed_values import (
 from hazeline.functions.dates import fill_date_parts
 from hazeline.functions.text import any_of
 from hazeline.operators.columns import rename_long, route_pairs, substitute_in_scheme
-from hazeline.operators.joins import first_non_null
+from hazeline.operators.joins import first_non_null, fold_full_outer, packed_order
 from hazeline.operators.quality import complete_keys
 from hazeline.operators.ranking import keep_first
 from hazeline.operators.sizes import broadcast_if_small
 from hazeline.sources import grid as G
+from hazeline.sources.stages import staged
 
 LONG = ["station", "date", "fraction", "is_blank", "file_type", "col_name", "value"]
 SKIP = (
@@ -30,13 +32,15 @@ SKIP = (
     "|^sample_type$|^sampling_type$|^c_f$|^f_c$|^fraction$|(^|_)id(_|$)|^x0$"
 )
 # Row order inside a file must never decide which value wins.
-ORDER = ["path", "row_no"]
+ORDER = ["file_no", "row_no"]
+#: Bits that source, file and row number may take in one number that orders rows.
+ORDER_BITS = {"source_priority": 8, "file_no": 63, "row_no": 55}
 
 
-def integrated_long(grids: DataFrame, samplers: DataFrame | None, fraction: str) -> DataFrame:
+def integrated_long(grids: G.Grids, samplers: DataFrame | None, fraction: str) -> DataFrame:
     """2010+ sheets: sampler and medium in the names, blanks by sample type."""
-    named = G.sheet_names(G.with_grid_header(grids), samplers)
-    rows = G.observations(named, "sampling_date", True, ["path", "station", "sheet"])
+    named = G.with_sheet_names(grids, samplers)
+    rows = G.observations(named, "sampling_date", True, ["file_no", "station", "sheet"])
     return G.measures_long(
         rows.select(
             *ORDER, "station", "date", F.lit(fraction).alias("fraction"),
@@ -69,13 +73,12 @@ def _fixed_columns(long: DataFrame) -> DataFrame:
     return kept.withColumn("col_name", meant)
 
 
-def speciation_long(grids: DataFrame, header_dict: DataFrame) -> DataFrame:
+def speciation_long(grids: G.Grids, header_dict: DataFrame) -> DataFrame:
     """Pre-2010 speciation files: cartridges and media into the names, then the dictionary.
 
     ``header_dict``: (file_type, old_name, new_name, new_file_type).
     """
-    named = G.sheet_names(G.with_grid_header(grids))
-    rows = G.observations(named, "date", False, ["path", "station", "file_type"])
+    rows = G.observations(G.with_sheet_names(grids), "date", False, ["file_no", "station", "file_type"])
     media = F.when((F.col("file_type") == "NA") & (F.col("media") == "y"), "C").otherwise(F.col("media"))
     # ICPMS rows need a fraction; WICPMS only where the file has one; others are fine.
     fraction = (
@@ -127,6 +130,7 @@ def speciation_long(grids: DataFrame, header_dict: DataFrame) -> DataFrame:
     )
 
 
+MASS_TYPES = {"F": "PM2.5", "C": "PM2.5-10"}
 MASS_NAMES = {
     ("spec", "F"): "spec_pm2_5", ("dich", "F"): "dich_pm2_5", ("dich", "C"): "dich_pm2_5_10",
 }
@@ -137,49 +141,72 @@ SCHEME_CHANGES = {
 }
 
 
-def mass_file_long(
-    grids: DataFrame, scheme: DataFrame, sampler: str, fraction: str
-) -> DataFrame:
-    """Pre-2010 mass files: value and limit columns in pairs behind the mass.
+def mass_file_long(grids: G.Grids, scheme: DataFrame, sampler: str, fractions: Sequence[str]) -> DataFrame:
+    """Pre-2010 mass files: value and limit columns in pairs behind the mass, all fractions in one pass.
 
-    Dichotomous files keep the first row of a station and date.
+    Dichotomous files keep the first row of a station, date and fraction.
     """
-    named = G.sheet_names(G.with_grid_header(grids))
-    rows = G.observations(named, "date", False, ["path", "station"]).where(
-        F.col("c_f") == fraction
+    rows = G.observations(G.with_sheet_names(grids), "date", False, ["file_no", "station"]).where(
+        F.col("c_f").isin(*fractions)
     )
     if sampler == "dich":
-        rows = keep_first(rows, ["station", "date"], ORDER)
+        rows = keep_first(rows, ["station", "date", "c_f"], ORDER)
+    keep = [*ORDER, "station", "date", "fraction", "is_blank"]
     keyed = rows.select(
-        *ORDER, "station", "date", F.lit(fraction).alias("fraction"),
-        F.lit(False).alias("is_blank"), "names", "cells",
+        *ORDER, "station", "date", F.col("c_f").alias("fraction"), F.lit(False).alias("is_blank"), "names", "cells",
     )
-    keep = [*ORDER, "station", "date", "fraction", "is_blank"]
-    derived = substitute_in_scheme(scheme, SCHEME_CHANGES[sampler, fraction])
-    routed = route_pairs(G.pairs_long(keyed, keep), derived, sampler)
-    mass_type = "PM2.5" if fraction == "F" else "PM2.5-10"
-    mass = G.measures_long(keyed, keep, "^(?!mass$)").select(
-        *keep, F.lit(mass_type).alias("file_type"),
-        F.lit(MASS_NAMES[sampler, fraction]).alias("col_name"), "value",
+    mass = {f: F.col("fraction") == f for f in fractions}
+
+    def by_fraction(values: dict[str, str]):
+        result = F
+        for f, hit in mass.items():
+            result = result.when(hit, values[f])
+        return result
+
+    # the mass goes along with the pairs, under its own table and name
+    entries = F.concat(
+        F.array(F.struct(
+            F.lit(None).cast("string").alias("species"), G.to_double(G.cell_named("mass")).alias("value"),
+            F.lit(None).cast("double").alias("mdl"),
+        )),
+        F.coalesce(G.pair_entries(), F.array()),
+    )
+    long = keyed.select(*keep, F.inline(entries))
+    derived = reduce(
+        lambda a, b: a.unionByName(b),
+        [substitute_in_scheme(scheme, SCHEME_CHANGES[sampler, f]).withColumn("fraction", F.lit(f)) for f in fractions],
     )
+    routed = route_pairs(long, derived, sampler, ["fraction"])
+    is_mass = F.col("species").isNull()
     both = F.array(
-        F.struct(F.col("value_name").alias("col_name"), F.col("value").alias("value")),
+        F.struct(
+            F.when(is_mass, by_fraction({f: MASS_NAMES[sampler, f] for f in fractions})).otherwise(F.col("value_name")).alias("col_name"),
+            F.col("value").alias("value"),
+        ),
         F.struct(F.col("limit_name").alias("col_name"), F.col("mdl").alias("value")),
     )
-    pairs = routed.select(*keep, "file_type", F.inline(both)).where(F.col("value").isNotNull())
-    return mass.unionByName(pairs).select(*ORDER, *LONG)
+    tables = F.when(is_mass, by_fraction(MASS_TYPES)).otherwise(F.col("file_type"))
+    return (
+        routed.select(*keep, tables.alias("file_type"), F.inline(both)).where(F.col("value").isNotNull())
+        .select(*ORDER, *LONG)
+    )
+
+
+def parsed_rows(sources: Sequence[DataFrame]) -> DataFrame:
+    """The long rows of all sources, tagged with their place in the order of trust; written, so that files are parsed once."""
+    tagged = [s.withColumn("source_priority", F.lit(i)) for i, s in enumerate(sources)]
+    return staged(reduce(lambda a, b: a.unionByName(b), tagged), "parsed-rows")
 
 
-def merge_long(sources: Sequence[DataFrame], file_type_short: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(merged long rows, quarantined rows with a missing key).
+def merge_long(parsed: DataFrame, file_type_short: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(merged long rows, quarantined rows with a missing key) of the parsed rows.
 
-    One value per station, date, fraction, blank flag, file type and column: the first source
-    in the given order that has one. Names then get the file type's short name in front.
+    One value per station, date, fraction, blank flag, file type and column: the first source in the order of trust that has one,
+    inside it the first file and row. Names then get the file type's short name in front.
     """
-    tagged = [s.withColumn("source_priority", F.lit(i)) for i, s in enumerate(sources)]
-    union = reduce(lambda a, b: a.unionByName(b), tagged)
-    kept, aside = complete_keys(union, ["station", "date"])
-    merged = first_non_null(kept, LONG[:-1], ["value"], ["source_priority", *ORDER])
+    kept, aside = complete_keys(parsed, ["station", "date"])
+    ordered = kept.withColumn("order_key", packed_order(ORDER_BITS))
+    merged = first_non_null(ordered, LONG[:-1], ["value"], ["order_key"])
     short = broadcast_if_small(file_type_short.select("file_type", "short_name"))
     named = merged.join(short, "file_type", "left").withColumn(
         "col_name",
@@ -193,11 +220,9 @@ def merge_long(sources: Sequence[DataFrame], file_type_short: DataFrame) -> tupl
 def widen(
     long: DataFrame, columns: Sequence[str], more_keys: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per station and date with the declared columns: one shuffle, no join chain."""
-    wide = long.where(F.col("col_name").isin(*columns)).groupBy("station", "date", *more_keys).agg(
-        *[F.max(F.when(F.col("col_name") == c, F.col("value"))).alias(c) for c in columns]
-    )
-    return fill_date_parts(wide)
+    """One row per station and date with the declared columns, whatever their number."""
+    declared = long.where(F.col("col_name").isin(*columns))
+    return fill_date_parts(fold_full_outer(declared, ["station", "date", *more_keys], "col_name", "value", columns))
 
 
 def select_canonical(long: DataFrame, names: DataFrame) -> DataFrame:

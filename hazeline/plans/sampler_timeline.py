@@ -11,7 +11,7 @@ from hazeline.functions.dates import year_end, year_start
 from hazeline.operators.aggregates import coverage_span
 from hazeline.operators.joins import anti_ranges
 from hazeline.operators.sets import relabel_branch
-from hazeline.sources.grid import comma_cells, sampler_info
+from hazeline.sources.grid import Grids, sampler_info
 
 COLOURS = {"Spec": "#F8766D", "Dichot": "#B79F00"}
 OTHER_COLOUR = "#00BA38"
@@ -20,7 +20,7 @@ OTHER_COLOUR = "#00BA38"
 KIND_NAMES = {"spec": "Spec", "dich": "Dichot", "pm": "PM"}
 
 
-def sheet_samplers(info_grids: DataFrame, folder: str) -> DataFrame:
+def sheet_samplers(info_grids: Grids, folder: str) -> DataFrame:
     """Samplers of the 2010+ station-info sheets, with the type names of the dictionary."""
     kind = F
     for code, name in KIND_NAMES.items():
@@ -30,11 +30,10 @@ def sheet_samplers(info_grids: DataFrame, folder: str) -> DataFrame:
     )
 
 
-def file_samplers(grids: DataFrame, folder: str, kind: str, text: str | None = None) -> DataFrame:
+def file_samplers(grids: Grids, folder: str, kind: str, text: str | None = None) -> DataFrame:
     """Samplers of the older files: the first cell up to " at ", or a fixed text."""
-    first = F.get(comma_cells(F.get("lines", F.lit(0))), F.lit(0))
-    sampler = F.lit(text) if text is not None else F.regexp_replace(first, " at .*", "")
-    return grids.select(
+    sampler = F.lit(text) if text is not None else F.regexp_replace(F.get("top", F.lit(0)), " at .*", "")
+    return grids.files.select(
         sampler.alias("sampler"), "station", "year", F.lit(folder).alias("dir"),
         F.lit(kind).alias("type"), F.lit(None).cast("string").alias("sampler_num"),
     )

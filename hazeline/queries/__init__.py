@@ -2,6 +2,6 @@
 
 from hazeline.queries import (  # noqa: F401
     aggregates, columns, composition, filters, flows, joins, models, quality, ranking,
-    reshape, scalars, sets, sources,
+    reshape, scalars, sets, sheets, sources,
 )
 from hazeline.queries.base import ORACLE, REGISTRY  # noqa: F401

@@ -304,7 +304,8 @@ def lookup_rule_cascade(spark, sf):
         F.replace(F.col("p_name"), F.lit(" "), F.lit("_")), F.lit("_"), F.lower("p_type"),
     )
     parts = table(spark, sf, "part").select("p_partkey", name.alias("value_name"))
-    return N.with_limit_names(parts, "value_name", LIMITS, "mdl")
+    limits = literal_table(spark, "limit string", [(m,) for m in LIMITS])
+    return N.with_limit_names(parts, "value_name", limits, "mdl")
 
 
 @query(

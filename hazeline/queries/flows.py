@@ -82,7 +82,7 @@ def pipe_sampler_timeline(spark, sf):
         [(7, "1998-01-01", "1998-12-31"), (11, None, "1998-12-31")],
     )
     result = sampler_timeline.sampler_timeline(
-        samplers, stations, F.broadcast(exclusions), "MACHINERY", "PM", "Manual sampler"
+        samplers, stations, exclusions, "MACHINERY", "PM", "Manual sampler"
     )
     return result.withColumns({"start": text_date("start"), "end": text_date("end")})
 
@@ -113,8 +113,8 @@ def pipe_sampler_timeline(spark, sf):
 def pipe_harmonise(spark, sf):
     """Three sources of different trust, merged to one value per cell, then wide."""
     orders = table(spark, sf, "orders").select(
-        F.concat(F.lit("f"), F.col("o_orderstatus")).alias("path"),
-        F.col("o_orderkey").alias("row_no"), "o_orderstatus",
+        F.lit(0).alias("file_no"), F.col("o_orderkey").alias("row_no"),
+        F.expr("case o_orderstatus when 'F' then 0 when 'O' then 1 else 2 end").alias("source_priority"),
         F.expr("case when o_orderkey % 31 = 0 then null else o_custkey end").alias("station"),
         F.to_date("o_orderdate").alias("date"),
         F.expr("case o_orderpriority when '1-URGENT' then 'C' else 'F' end").alias("fraction"),
@@ -123,13 +123,12 @@ def pipe_harmonise(spark, sf):
         F.col("o_totalprice").alias("spec_mass"),
         F.expr("case when o_orderkey % 3 = 0 then null else o_totalprice / 7 end").alias("spec_ion"),
     )
-    ids = [*harmonise.ORDER, "o_orderstatus", *harmonise.LONG[:5]]
+    ids = ["source_priority", *harmonise.ORDER, *harmonise.LONG[:5]]
     long = orders.unpivot(ids, ["spec_mass", "spec_ion"], "col_name", "value").where(
         F.col("value").isNotNull()
     )
-    sources = [long.where(F.col("o_orderstatus") == s).drop("o_orderstatus") for s in ("F", "O", "P")]
     short = literal_table(spark, "file_type string, short_name string", [("PM2.5", "PM")])
-    merged, _ = harmonise.merge_long(sources, short)
+    merged, _ = harmonise.merge_long(long, short)
     keyed = ["fraction", "is_blank"]
     wide = harmonise.widen(merged, ["PM_spec_mass", "PM_spec_ion"], keyed)
     return rounded(wide.withColumn("date", text_date("date")), 4, "PM_spec_ion")

@@ -250,7 +250,28 @@ def join_range_anti(spark, sf):
         F.expr("case when o_orderkey % 17 = 0 then null else to_date(o_orderdate) end").alias("date"),
     )
     ranges = J.literal_table(spark, "station string, from_date date, to_date date", EXCLUDED)
-    return J.anti_ranges(rows, F.broadcast(ranges), "station").withColumn("date", text_date("date"))
+    return J.anti_ranges(rows, ranges, "station").withColumn("date", text_date("date"))
+
+
+@query(
+    "join_range_anti_many",
+    """
+    with t as (select event_id, user_id, cast(ts as date) as date from events),
+    x as (select o_custkey as user_id, case when o_orderkey % 50 = 0 then null else cast(o_orderdate as date) + 9861 end as f,
+        case when o_orderkey % 70 = 1 then null else cast(o_orderdate as date) + (9861 + o_orderkey % 40)::int end as l from orders)
+    select event_id, user_id, cast(date as varchar) as date from t where not exists (select 1 from x
+      where x.user_id = t.user_id and (f is null or date >= f) and (l is null or date <= l))
+    """,
+)
+def join_range_anti_many(spark, sf):
+    """Every order excludes some days of its customer: as many ranges as orders."""
+    rows = table(spark, sf, "events").select("event_id", "user_id", F.to_date("ts").alias("date"))
+    day = F.date_add("o_orderdate", 9861)
+    ranges = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("user_id"), F.when(F.col("o_orderkey") % 50 != 0, day).alias("from_date"),
+        F.when(F.col("o_orderkey") % 70 != 1, F.date_add(day, (F.col("o_orderkey") % 40).cast("int"))).alias("to_date"),
+    )
+    return J.anti_ranges(rows, ranges, "user_id").withColumn("date", text_date("date"))
 
 
 LAT = f"({STUDY_CENTRE[0]} + (c_custkey * 37 % 400 - 200) / 100.0)"
@@ -279,6 +300,32 @@ def join_radius(spark, sf):
     )
 
 
+CENTRE_KM = 40.0
+CENTRE_LAT = f"({STUDY_CENTRE[0]} + (s_suppkey * 41 % 500 - 250) / 100.0)"
+CENTRE_LON = f"({STUDY_CENTRE[1]} + (s_suppkey * 59 % 700 - 350) / 100.0)"
+
+
+@query(
+    "join_radius_many",
+    f"""
+    with t as (select c_custkey, cast({LAT} as double) as lat, cast({LON} as double) as lon from customer),
+    c as (select s_suppkey, cast({CENTRE_LAT} as double) as lat0, cast({CENTRE_LON} as double) as lon0 from supplier),
+    d as (select s_suppkey, c_custkey, {2 * EARTH_RADIUS_KM} * asin(sqrt(pow(sin(radians(lat - lat0) / 2), 2)
+        + cos(radians(lat0)) * cos(radians(lat)) * pow(sin(radians(lon - lon0) / 2), 2))) as km from t, c)
+    select s_suppkey, c_custkey, round(km, 5) as distance_km from d where km < {CENTRE_KM}
+    """,
+)
+def join_radius_many(spark, sf):
+    """Every supplier as a centre."""
+    points = table(spark, sf, "customer").select(
+        "c_custkey", F.expr(LAT).cast("double").alias("latitude"), F.expr(LON).cast("double").alias("longitude"),
+    )
+    centres = table(spark, sf, "supplier").select(
+        "s_suppkey", F.expr(CENTRE_LAT).cast("double").alias("centre_latitude"), F.expr(CENTRE_LON).cast("double").alias("centre_longitude"),
+    )
+    return J.near_centres(points, centres, CENTRE_KM).select("s_suppkey", "c_custkey", r("distance_km", 5).alias("distance_km"))
+
+
 PUBLISHED = (("1-URGENT", 3000), ("2-HIGH", 2900), ("5-LOW", 3100), ("9-OTHER", 10))
 
 

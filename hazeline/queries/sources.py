@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hazeline.sources import grid as G
+from hazeline.sources import lines as L
 from hazeline.fixed_values import HOUR_COLUMNS
 from hazeline.queries.aggregates import hour_wide
 from hazeline.sources.hourly import checked_hourly, ragged_cells, read_hourly
@@ -42,9 +43,14 @@ def words(line):
     return F.split(line, " ")
 
 
+def document_lines(spark, sf):
+    """Every document as a file of lines."""
+    return L.table_lines(table(spark, sf, "documents"), "doc_id", "text")
+
+
 def document_grids(spark, sf):
-    """Every document as a sheet: words as cells."""
-    return table(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("lines"))
+    """Every document as a sheet with words as cells."""
+    return G.grids_of(document_lines(spark, sf), {"header": G.has_cell(HEADER, words)}, cells=words)
 
 
 LINES = """
@@ -62,8 +68,9 @@ LINES = """
     """,
 )
 def src_raw_grid(spark, sf):
-    return G.grid_rows(document_grids(spark, sf), words).select(
-        "doc_id", "row_no", F.posexplode("cells").alias("cell_no", "cell")
+    lines = document_lines(spark, sf)
+    return L.numbered(lines, L.splits(lines)).select(
+        F.col("path").alias("doc_id"), "row_no", F.posexplode(words(F.col("line"))).alias("cell_no", "cell")
     ).withColumn("cell_no", F.col("cell_no") + 1)
 
 
@@ -96,16 +103,16 @@ HEADER_SQL = (
     """,
 )
 def src_header_row(spark, sf):
-    flagged = headed(spark, sf).withColumn("optional", G.has_optional_column(F.col("header"), OPTIONAL))
-    long = G.promote_long(flagged, ["doc_id"], cells=words, optional="optional")
-    return long.groupBy("doc_id", F.lower("col_name").alias("col_name")).agg(
-        F.count(F.lit(1)).alias("n_values"), F.sum(F.length("value")).alias("n_chars")
+    """Cells are counted by place first; names meet the counts."""
+    grids = document_grids(spark, sf)
+    optional = G.has_optional_column(F.col("header"), OPTIONAL)
+    counts = G.cells_long(grids, words, optional).groupBy("path", "place").agg(
+        F.count("value").alias("n"), F.sum(F.length("value")).alias("chars")
+    )
+    named = G.with_place_names(counts, G.header_places(grids, optional))
+    return named.groupBy(F.col("path").alias("doc_id"), F.lower("col_name").alias("col_name")).agg(
+        F.sum("n").alias("n_values"), F.sum("chars").alias("n_chars")
     )
-
-
-def headed(spark, sf):
-    header = G.first_row_with(F.col("lines"), HEADER, words)
-    return G.with_header(document_grids(spark, sf), header, words)
 
 
 @query(
@@ -117,7 +124,7 @@ def headed(spark, sf):
     """,
 )
 def src_header_rejects(spark, sf):
-    return G.split_by_header(headed(spark, sf))[1].select("doc_id")
+    return G.rejected(document_grids(spark, sf)).select(F.col("path").alias("doc_id"))
 
 
 @query(
@@ -129,8 +136,10 @@ def src_header_rejects(spark, sf):
     """,
 )
 def src_last_header(spark, sf):
-    return document_grids(spark, sf).select(
-        "doc_id", G.last_row_starting(F.col("lines"), "tion", words).alias("header_row")
+    of = L.splits(document_lines(spark, sf), {"mark": G.starts_with("tion", cells=words)})
+    last = L.marked(of, "mark", last=True)
+    return of.select("path").distinct().join(last, "path", "left").select(
+        F.col("path").alias("doc_id"), F.coalesce("row_no", F.lit(0).cast("long")).alias("header_row")
     )
 
 
@@ -145,7 +154,7 @@ def src_last_header(spark, sf):
     """,
 )
 def win_next_row_after_marker(spark, sf):
-    found = G.next_rows(document_grids(spark, sf), "tion", ["doc_id"], words)
+    found = G.next_rows(document_grids(spark, sf), "tion", ["path"], words).withColumnRenamed("path", "doc_id")
     return found.withColumn(
         "next_cells",
         F.when(
@@ -202,8 +211,11 @@ HOURLY_SQL = (
 )
 
 
-def hourly_text(spark, sf) -> str:
-    """The events as hourly text files, four of a pollutant and year, with the optional column in those of O3; their paths."""
+def hourly_text(spark, sf, broken=None) -> str:
+    """The events as hourly text files, four of a pollutant and year, with the optional column in those of O3; their paths.
+
+    broken: a condition under which the date of a row is no date.
+    """
     wide = hour_wide(table(spark, sf, "events"))
     kind = F.expr("case pollutant " + " ".join(f"when '{k}' then '{v}'" for k, v in KINDS.items()) + " end")
     hours = [F.coalesce(r(h).cast("string"), F.lit("-999")) for h in HOUR_COLUMNS]
@@ -211,7 +223,7 @@ def hourly_text(spark, sf) -> str:
     method = F.when(F.col("pollutant") == "O3", F.lit("1"))
     line = F.concat_ws(
         ",", "pollutant", method, F.concat(F.lit('"'), F.lpad(F.col("napsid").cast("string"), 7, "0"), F.lit('"')),
-        F.lit("Town,ON,45.5,-75.5"), F.date_format("date", "yyyyMMdd"), *hours,
+        F.lit("Town,ON,45.5,-75.5"), F.when(F.lit(False) if broken is None else broken, "20240230").otherwise(F.date_format("date", "yyyyMMdd")), *hours,
     )
     data = rows.select(
         F.concat_ws("_", "pollutant", (F.col("napsid") % 4).cast("string"), F.year("date").cast("string")).alias("file"), F.lit(1).alias("at"), line.alias("value")
@@ -254,15 +266,31 @@ def src_hourly_files(spark, sf):
     "dq_hourly_accepted",
     HOURLY_SQL
     + """
-    select pollutant, count(*) as n_rows, count(distinct napsid) as n_stations
-    from (select distinct pollutant, napsid, date from h) group by all
+    , d as (select distinct pollutant, napsid, date, napsid % 20 = 8 as unknown, napsid % 20 = 5 and day(date) = 13 as broken from h),
+    f as (select pollutant, napsid % 4 as grp, year(date) as year, count(*) as n_rows, count(*) filter (broken) as n_bad,
+        count(*) filter (unknown) as n_unknown from d group by all)
+    select 'file' as part, pollutant, grp, year, n_rows, n_bad as n_invalid_dates, n_unknown as n_unknown_stations,
+      n_bad = 0 and n_unknown = 0 as accepted from f
+    union all
+    select 'accepted', d.pollutant, null, null, count(*), null, null, null from d join f on d.pollutant = f.pollutant
+      and napsid % 4 = grp and year(date) = f.year where n_bad = 0 and n_unknown = 0 group by d.pollutant
+    union all
+    select 'invalid', pollutant, null, null, count(*), null, null, null from d where broken group by pollutant
     """,
 )
 def dq_hourly_accepted(spark, sf):
-    """The hourly reader and its file check: every station is known, so all rows are accepted."""
-    rows, _ = read_hourly(spark, hourly_text(spark, sf))
-    known = table(spark, sf, "events").select((F.col("user_id") + 1).cast("string").alias("napsid")).distinct()
-    accepted, _, _ = checked_hourly(with_folder_year(rows), known, allow_invalid_dates=True)
-    return accepted.groupBy("pollutant").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("napsid").alias("n_stations")
+    """The file check with unknown stations and broken dates: the report of each file, the rows of accepted files, the rows set aside."""
+    rows, _ = read_hourly(spark, hourly_text(spark, sf, (F.col("napsid") % 20 == 5) & (F.dayofmonth("date") == 13)))
+    station = F.col("user_id") + 1
+    known = table(spark, sf, "events").where(station % 20 != 8).select(station.cast("string").alias("napsid")).distinct()
+    accepted, invalid, report = checked_hourly(with_folder_year(rows), known)
+    name = F.split(F.regexp_extract("source", r"file=([^/]+)/", 1), "_")
+    files = report.select(
+        F.lit("file").alias("part"), name[0].alias("pollutant"), name[1].cast("long").alias("grp"), name[2].cast("long").alias("year"),
+        "n_rows", "n_invalid_dates", "n_unknown_stations", "accepted",
     )
+    counts = [
+        df.groupBy("pollutant").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("part", F.lit(part))
+        for part, df in (("accepted", accepted), ("invalid", invalid))
+    ]
+    return files.unionByName(counts[0], allowMissingColumns=True).unionByName(counts[1], allowMissingColumns=True)

@@ -1,15 +1,15 @@
 """Raw sheet grids: untyped cells, the header somewhere below a few odd rows.
 
-A grid is one row of ``(path, lines array<string>)``: one sheet of one station and year, a
-few thousand cells at most. Header search, the marker rows and the look at the next row all
-happen inside that row, so reading any number of sheets needs no shuffle; lines are cut into
-cells only where cells are needed. Files without such a bound (hourly data) are read by
-``sources.hourly`` instead, which splits files.
+Sheets are read line by line (``sources.lines``), so a file may be of any length. What holds for a whole file (its header row, the
+marker rows above it, its provenance) is one row of a file table, found with one combined pass over the lines; data rows
+get it through a join by split, which spreads a long file over many keys. Lines are cut into cells only where cells are needed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,9 @@ from hazeline.functions.numeric import to_double
 from hazeline.functions.text import (
     clean_name_column, na_to_null, parenthesised, sampler_kind, strip_quotes,
 )
-from hazeline.sources.provenance import with_path_parts
+from hazeline.sources import lines as L
+from hazeline.sources.provenance import file_name, with_path_parts
+from hazeline.sources.stages import staged
 
 DISCRIMINATORS = (
     "cart", "cartridge", "media", "sample_type", "sampling_type", "c_f", "f_c", "fraction",
@@ -35,69 +37,94 @@ def comma_cells(line: Column) -> Column:
     return F.transform(F.split(strip_quotes(line), ","), lambda cell: na_to_null(cell))
 
 
-def read_grids(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """One row per file: path, year, station, file type, sheet and lines.
+def _first_cell(line: Column, cells: CellCutter) -> Column:
+    return F.get(cells(line), F.lit(0))
 
-    The sheet is the part of the file name between the last ``__`` and the extension.
-    """
-    files = spark.read.format("binaryFile").load(path)
-    text = F.decode("content", encoding)
-    grids = files.select("path", F.split(text, "\r?\n").alias("lines"))
-    return with_path_parts(grids).withColumn(
-        "sheet", F.nullif(F.regexp_extract("path", r"__([^/]+)\.[^.]+$", 1), F.lit(""))
-    )
 
+def has_cell(pattern: str, cells: CellCutter = comma_cells) -> Column:
+    """The line has a matching cell. ``pattern`` must match inside a cell; lines without any match are not cut up."""
+    line = F.col("line")
+    return F.when(
+        line.rlike(pattern), F.exists(cells(line), lambda c: F.coalesce(c.rlike(pattern), F.lit(False)))
+    ).otherwise(F.lit(False))
 
-def grid_rows(df: DataFrame, cells: CellCutter = comma_cells) -> DataFrame:
-    """(other columns, row_no from 1, cells)."""
-    rest = [c for c in df.columns if c != "lines"]
-    return df.select(*rest, F.posexplode("lines").alias("row_no", "line")).select(
-        *rest, (F.col("row_no") + 1).alias("row_no"), cells(F.col("line")).alias("cells")
-    )
 
+def starts_with(mark: str, whole: bool = False, cells: CellCutter = comma_cells) -> Column:
+    """The line's first cell contains the mark, or is it; decided on the plain line where that rules it out."""
+    line = F.col("line")
+    cell = _first_cell(line, cells)
+    hit = cell == mark if whole else F.contains(cell, F.lit(mark))
+    return F.when(F.contains(line, F.lit(mark)), F.coalesce(hit, F.lit(False))).otherwise(F.lit(False))
 
-def _first_cell(line: Column, cells: CellCutter) -> Column:
-    return F.get(cells(line), F.lit(0))
 
+@dataclass(frozen=True)
+class Grids:
+    """lines: (path, block, at, line); splits: as of ``lines.splits``; files: one row for each file.
 
-def _starts_with_mark(line: Column, mark: str, cells: CellCutter) -> Column:
-    """The first cell contains the mark; decided on the plain line where that rules it out."""
-    return F.when(
-        F.contains(line, F.lit(mark)), F.contains(_first_cell(line, cells), F.lit(mark))
-    ).otherwise(F.lit(False))
+    For each mark the file table has ``<mark>_row``, 0 where the file has no such row, and ``<mark>``, its cells. Choosing files
+    chooses their lines: every step joins lines with the file table.
+    """
+
+    lines: DataFrame
+    splits: DataFrame
+    files: DataFrame
+
+    def where(self, condition: Column | str) -> Grids:
+        return replace(self, files=self.files.where(condition))
 
+    def pick(self, files: Callable[[DataFrame], DataFrame]) -> Grids:
+        return replace(self, files=files(self.files))
 
-def first_row_with(lines: Column, pattern: str, cells: CellCutter = comma_cells) -> Column:
-    """Number (from 1) of the first row with a matching cell; 0 if there is none.
+    def rows(self, *keep: str) -> DataFrame:
+        """Every line of the chosen files: path, block, at, line, row_no and columns of the file table."""
+        spread = self.splits.select(*L.SPLIT, "shift").join(self.files.select("path", *keep), "path")
+        return self.lines.join(spread, L.SPLIT).withColumn("row_no", F.col("at") + F.col("shift")).drop("shift")
 
-    ``pattern`` must match inside a single cell; lines without any match are not cut up.
+
+def grids_of(
+    lines: DataFrame, marks: Mapping[str, Column], files: DataFrame | None = None, cells: CellCutter = comma_cells
+) -> Grids:
+    """The first row of each mark in every file; marks are conditions on ``line`` and ``block``.
+
+    files: all files, with a column path; by default those that have lines.
     """
-    hit = F.transform(
-        lines,
-        lambda line: F.when(
-            line.rlike(pattern),
-            F.exists(cells(line), lambda c: F.coalesce(c.rlike(pattern), F.lit(False))),
-        ).otherwise(F.lit(False)),
+    of = L.splits(lines, marks)
+    places = staged(
+        reduce(DataFrame.unionByName, [L.marked(of, name).withColumn("mark", F.lit(name)) for name in marks]), "marked-rows"
     )
-    return F.array_position(hit, True)
-
+    candidates = lines.where(reduce(lambda a, b: a | b, marks.values()))
+    found = candidates.join(places, [*L.SPLIT, "at"]).select("path", "mark", "row_no", cells(F.col("line")).alias("cells"))
+    # one row for each mark of a file
+    wide = found.groupBy("path").agg(
+        *[F.max(F.when(F.col("mark") == m, F.col("row_no"))).alias(f"{m}_row") for m in marks],
+        *[F.max(F.when(F.col("mark") == m, F.col("cells"))).alias(m) for m in marks],
+    )
+    files = of.select("path").distinct() if files is None else files
+    full = files.join(wide, "path", "left").withColumns(
+        {f"{m}_row": F.coalesce(f"{m}_row", F.lit(0).cast("long")) for m in marks}
+    )
+    return Grids(lines, of, staged(full, "grid-files"))
 
-def last_row_starting(lines: Column, mark: str, cells: CellCutter = comma_cells) -> Column:
-    """Number of the last row whose first cell contains the mark; 0 if there is none."""
-    hit = F.transform(F.reverse(lines), lambda line: _starts_with_mark(line, mark, cells))
-    place = F.array_position(hit, True)
-    return F.when(place > 0, F.size(lines) - place + 1).otherwise(F.lit(0).cast("bigint"))
 
+def read_grids(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> Grids:
+    """Sheets with header and marker rows; files: path, file_no (in the order of paths), year, station, file_type and sheet.
 
-def row_named(lines: Column, mark: str, cells: CellCutter = comma_cells) -> Column:
-    """Cells of the first row whose first cell equals the mark; null if there is none."""
-    hits = F.filter(
-        lines,
-        lambda line: F.when(
-            F.contains(line, F.lit(mark)), _first_cell(line, cells) == mark
-        ).otherwise(F.lit(False)),
+    The sheet is the part of the file name between the last ``__`` and the extension. Every file is read once.
+    """
+    files = L.listed_files(spark, path).repartitionByRange("path").sortWithinPartitions("path")
+    files = with_path_parts(files.withColumn("file_no", F.monotonically_increasing_id())).withColumn(
+        "sheet", F.nullif(F.regexp_extract(file_name(F.col("path")), r"__([^/]+)\.[^.]+$", 1), F.lit(""))
     )
-    return cells(F.get(hits, F.lit(0)))
+    marks = {
+        "header": has_cell(GRID_HEADER_PATTERN), "medium": starts_with(MEDIUM_MARK, whole=True),
+        "sampler": starts_with(SAMPLER_MARK, whole=True), "top": F.col("block") == 0,
+    }
+    return grids_of(L.read_lines(spark, path, encoding), marks, files)
+
+
+def rejected(grids: Grids) -> DataFrame:
+    """(path): files without a header, empty ones among them."""
+    return grids.files.where(F.col("header_row") == 0).select("path")
 
 
 def has_optional_column(header: Column, spellings: Sequence[str]) -> Column:
@@ -111,35 +138,6 @@ def narrowed(cells: Column, optional: Column) -> Column:
     return F.when(optional, dropped).otherwise(cells)
 
 
-def full_names(names: Column, cells: Column) -> Column:
-    """A name for each cell; those beyond the header are named by their place."""
-    places = F.filter(F.sequence(F.lit(1), F.size(cells) + 1), lambda i: i <= F.size(cells))
-    return F.transform(
-        places, lambda i: F.when(i > F.size(names), F.concat(F.lit("..."), i)).otherwise(F.get(names, i - 1))
-    )
-
-
-def with_header(
-    df: DataFrame, header_row: Column, cells: CellCutter = comma_cells
-) -> DataFrame:
-    """Adds header_row, header (cells) and body (lines below it)."""
-    h = F.col("header_row")
-    return df.withColumn("header_row", header_row.cast("int")).withColumns(
-        {
-            "header": F.when(h > 0, cells(F.get("lines", h - 1))),
-            "body": F.when(h > 0, F.slice("lines", h + 1, F.size("lines"))),
-        }
-    )
-
-
-def split_by_header(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(files with a header, reject table of the others)."""
-    return (
-        df.where(F.col("header_row") > 0),
-        df.where(F.col("header_row") == 0).drop("lines", "header", "body"),
-    )
-
-
 def unique_names(names: Column) -> Column:
     """Repeated names get _2, _3, ... in order of appearance."""
 
@@ -150,43 +148,46 @@ def unique_names(names: Column) -> Column:
     return F.transform(names, numbered)
 
 
-def explode_body(
-    df: DataFrame, keep: Sequence[str], cells: CellCutter = comma_cells
-) -> DataFrame:
-    """One row per data row of each grid that is not empty: kept columns, row_no, cells.
+def body_rows(grids: Grids, keep: Sequence[str], cells: CellCutter = comma_cells) -> DataFrame:
+    """Kept columns, row_no and cells of each row below the header that is not empty."""
+    headed = grids.where(F.col("header_row") > 0)
+    below = headed.rows("header_row", *[c for c in keep if c != "path"]).where(F.col("row_no") > F.col("header_row"))
+    return below.select(*keep, "row_no", cells(F.col("line")).alias("cells")).where(F.exists("cells", lambda c: c.isNotNull()))
+
 
-    Grids without a header have no body and give no rows. The outer explode keeps Catalyst
-    from repeating the header search in a filter below the scan.
+def cells_long(grids: Grids, cells: CellCutter = comma_cells, optional: Column | None = None) -> DataFrame:
+    """(path, row_no, place, value): the cells below the header, places from 1.
+
+    With ``optional``, a condition on the header, the second column goes where it holds.
     """
-    lines = df.select(
-        *keep, "header_row", F.posexplode_outer("body").alias("__i", "__line")
-    ).where(F.col("__line").isNotNull())
-    return lines.select(
-        *keep, (F.col("header_row") + F.col("__i") + 1).alias("row_no"),
-        cells(F.col("__line")).alias("cells"),
-    ).where(F.exists("cells", lambda c: c.isNotNull()))
-
-
-def promote_long(
-    df: DataFrame, keep: Sequence[str], names: str = "header",
-    cells: CellCutter = comma_cells, optional: str | None = None,
-) -> DataFrame:
-    """Header cells become column names: (keep..., row_no, col_name, value).
-
-    With ``optional``, a flag column per file, the second column goes where it is set.
+    if optional is not None:
+        grids = replace(grids, files=grids.files.withColumn("optional", optional))
+    rows = body_rows(grids, ["path", *(["optional"] if optional is not None else [])], cells)
+    row = narrowed(F.col("cells"), F.col("optional")) if optional is not None else F.col("cells")
+    return rows.select("path", "row_no", F.posexplode(row).alias("place", "value")).withColumn("place", F.col("place") + 1)
+
+
+def header_places(grids: Grids, optional: Column | None = None) -> DataFrame:
+    """(path, place, col_name) of the header cells, places from 1."""
+    names = F.col("header") if optional is None else narrowed(F.col("header"), optional)
+    named = grids.files.where(F.col("header_row") > 0).select("path", F.posexplode(names).alias("place", "col_name"))
+    return named.withColumn("place", F.col("place") + 1)
+
+
+def with_place_names(df: DataFrame, places: DataFrame) -> DataFrame:
+    """Adds col_name to rows with path and place; places beyond the header are named by their number.
+
+    Rows may be cells or what was counted of them by place: names then meet far fewer rows.
     """
-    more = [optional] if optional else []
-    body = explode_body(df, [*keep, names, *more], cells)
-    if optional:
-        flag = F.col(optional)
-        body = body.withColumns({names: narrowed(F.col(names), flag), "cells": narrowed(F.col("cells"), flag)})
-    zipped = F.zip_with(
-        full_names(F.col(names), F.col("cells")), F.col("cells"),
-        lambda n, c: F.struct(n.alias("col_name"), c.alias("value")),
-    )
-    return body.select(*keep, "row_no", F.inline(zipped)).where(
-        F.col("col_name").isNotNull() & F.col("value").isNotNull()
-    )
+    known = places.withColumn("named", F.lit(True))
+    beyond = F.when(F.col("named").isNull(), F.concat(F.lit("..."), "place"))
+    return df.join(known, ["path", "place"], "left").withColumn("col_name", F.coalesce("col_name", beyond)).drop("named")
+
+
+def promote_long(grids: Grids, cells: CellCutter = comma_cells, optional: Column | None = None) -> DataFrame:
+    """Header cells become column names: (path, row_no, col_name, value), without cells that lack either."""
+    named = with_place_names(cells_long(grids, cells, optional), header_places(grids, optional))
+    return named.select("path", "row_no", "col_name", "value").where(F.col("col_name").isNotNull() & F.col("value").isNotNull())
 
 
 def _prefixed(names: Column, prefix: Column) -> Column:
@@ -197,24 +198,20 @@ def _prefixed(names: Column, prefix: Column) -> Column:
     )
 
 
-def _marker_cells(lines: Column, mark: str) -> Column:
+def _marker_cells(row: str, mark: str) -> Column:
     """Cells of a marker row; the mark itself and N/A are no values."""
-    return F.transform(
-        row_named(lines, mark),
-        lambda c: F.when(~c.rlike(f"(?i)N/A|{mark}"), c),
-    )
+    return F.transform(row, lambda c: F.when(~c.rlike(f"(?i)N/A|{mark}"), c))
 
 
-def sheet_names(df: DataFrame, samplers: DataFrame | None = None) -> DataFrame:
-    """Adds ``names``: cleaned header cells with filter medium and sampler type in front.
+def with_sheet_names(grids: Grids, samplers: DataFrame | None = None) -> Grids:
+    """Adds ``names`` to the files: cleaned header cells with filter medium and sampler type in front.
 
     ``samplers`` is the output of :func:`sampler_info`; its S-1 and S-2 types replace the
     codes of the Sampler row. Without an entry for station and year no sampler is prefixed.
     Missing marker rows are listed in ``warnings``.
     """
-    lines = F.col("lines")
-    medium = F.when(F.col("sheet") == MEDIUM_SHEET, _marker_cells(lines, MEDIUM_MARK))
-    df = df.withColumns({"__medium": medium, "__sampler": _marker_cells(lines, SAMPLER_MARK)})
+    medium = F.when(F.col("sheet") == MEDIUM_SHEET, _marker_cells("medium", MEDIUM_MARK))
+    df = grids.files.withColumns({"__medium": medium, "__sampler": _marker_cells("sampler", SAMPLER_MARK)})
     if samplers is None:
         df = df.withColumns({"s1": F.lit(None).cast("string"), "s2": F.lit(None).cast("string"),
                              "has_info": F.lit(False)})
@@ -244,9 +241,9 @@ def sheet_names(df: DataFrame, samplers: DataFrame | None = None) -> DataFrame:
             F.when(F.col("__sampler").isNull(), "no sampler row"),
         )
     )
-    return df.withColumns({"names": cleaned, "warnings": warnings}).drop(
-        "__medium", "__sampler", "s1", "s2", "has_info"
-    )
+    named = df.withColumns({"names": cleaned, "warnings": warnings}).drop("__medium", "__sampler", "s1", "s2", "has_info")
+    # names are worked out once for each file, not where they meet its rows
+    return replace(grids, files=staged(named, "sheet-names"))
 
 
 def cell_named(name: str, names: str = "names", cells: str = "cells") -> Column:
@@ -255,14 +252,12 @@ def cell_named(name: str, names: str = "names", cells: str = "cells") -> Column:
     return F.when(at > 0, F.get(F.col(cells), at - 1))
 
 
-def observations(
-    df: DataFrame, date_column: str, serial: bool, keep: Sequence[str],
-) -> DataFrame:
+def observations(grids: Grids, date_column: str, serial: bool, keep: Sequence[str]) -> DataFrame:
     """Data rows with date and discriminators as columns, and the cells still together.
 
     Adds ``blank_code``: the cell of the first discriminator column that the sheet has.
     """
-    body = explode_body(df, [*keep, "names"])
+    body = body_rows(grids, [*keep, "names"])
     cell = cell_named(date_column)
     date = serial_date(cell) if serial else parse_date(cell, ("yyyy-MM-dd", "yyyyMMdd"))
     code = F
@@ -289,14 +284,14 @@ def measures_long(df: DataFrame, keep: Sequence[str], skip: str) -> DataFrame:
     return df.select(*keep, F.inline(wanted))
 
 
-def pairs_long(df: DataFrame, keep: Sequence[str], mass: str = "mass") -> DataFrame:
-    """(keep..., species, value, mdl) from neighbouring columns behind the mass column."""
+def pair_entries(mass: str = "mass") -> Column:
+    """(species, value, mdl) entries of a data row, from neighbouring columns behind the mass column; null without any."""
     names, cells = F.col("names"), F.col("cells")
     start = F.array_position(names, mass).cast("int")
     # Integer division keeps the sequence empty-safe when no pair follows.
     pairs = F.floor((F.size(names) - start) / 2).cast("int")
     steps = F.when(pairs > 0, F.sequence(F.lit(0), pairs - 1))
-    entries = F.transform(
+    return F.transform(
         steps,
         lambda i: F.struct(
             F.get(names, start + 2 * i).alias("species"),
@@ -304,32 +299,21 @@ def pairs_long(df: DataFrame, keep: Sequence[str], mass: str = "mass") -> DataFr
             to_double(F.get(cells, start + 2 * i + 1)).alias("mdl"),
         ),
     )
-    return df.select(*keep, F.inline(entries))
-
 
-def next_rows(
-    df: DataFrame, mark: str, keep: Sequence[str], cells: CellCutter = comma_cells
-) -> DataFrame:
-    """For every row whose first cell contains the mark: that cell and the row after it.
 
-    Lines are paired with their successors inside the file's row, so no window is needed.
-    """
-    lines = F.col("lines")
-    pairs = F.zip_with(
-        F.transform(lines, lambda line, i: F.struct(line.alias("line"), (i + 1).alias("no"))),
-        F.slice(lines, F.lit(2), F.size(lines)),
-        lambda here, after: F.struct(
-            here["no"].alias("marker_row"), here["line"].alias("line"), after.alias("after")
-        ),
+def next_rows(grids: Grids, mark: str, keep: Sequence[str], cells: CellCutter = comma_cells) -> DataFrame:
+    """For every row whose first cell contains the mark: that cell and the row after it, also across the border of splits."""
+    found = grids.lines.where(starts_with(mark, cells=cells)).join(
+        grids.files.select("path", *[c for c in keep if c != "path"]), "path"
     )
-    found = F.filter(pairs, lambda p: _starts_with_mark(p["line"], mark, cells))
-    return df.select(*keep, F.inline(found)).select(
-        *keep, "marker_row", _first_cell(F.col("line"), cells).alias("marker"),
+    pairs = L.successors(found, grids.lines, grids.splits)
+    return pairs.select(
+        *keep, F.col("row_no").alias("marker_row"), _first_cell(F.col("line"), cells).alias("marker"),
         cells(F.col("after")).alias("next_cells"),
     )
 
 
-def sampler_info(grids: DataFrame) -> DataFrame:
+def sampler_info(grids: Grids) -> DataFrame:
     """Sampler dictionary from station-info sheets.
 
     (description, sampler, sampler_num, station, year, type) with type spec, dich or pm.
@@ -342,8 +326,3 @@ def sampler_info(grids: DataFrame) -> DataFrame:
         "station",
         "year",
     ).withColumn("type", sampler_kind(F.col("sampler"))).distinct()
-
-
-def with_grid_header(grids: DataFrame) -> DataFrame:
-    """Header search with the usual pattern. ``split_by_header`` lists the rejects."""
-    return with_header(grids, first_row_with(F.col("lines"), GRID_HEADER_PATTERN))

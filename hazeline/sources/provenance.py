@@ -9,7 +9,9 @@ from hazeline.fixed_values import FILE_REJECT_PATTERN, SHEET_REJECT_PATTERN
 
 
 def file_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]+)$", 1)
+    """The file's own name; for a part of a folder that Spark wrote as ``column=name``, that name."""
+    folder = F.regexp_extract(path, r"=([^/]+)/part-[^/]*$", 1)
+    return F.coalesce(F.nullif(folder, F.lit("")), F.regexp_extract(path, r"([^/]+)$", 1))
 
 
 def path_parts(path: Column) -> dict[str, Column]:

@@ -55,12 +55,11 @@ def sources(spark, tmp_path_factory):
     )
     grids = G.read_grids(spark, str(new))
     info = G.sampler_info(grids.where("sheet = 'Station Info'"))
-    old_grids, mass_grids = G.read_grids(spark, str(old)), G.read_grids(spark, str(mass))
+    both = Z.mass_file_long(G.read_grids(spark, str(mass)), scheme, "dich", ("F", "C"))
     return {
-        "dich_fine": Z.mass_file_long(mass_grids, scheme, "dich", "F"),
-        "dich_coarse": Z.mass_file_long(mass_grids, scheme, "dich", "C"),
-        "integrated": Z.integrated_long(wanted_sheets(grids), info, "F"),
-        "spec": Z.speciation_long(old_grids, header_dict),
+        "dich": both, "dich_fine": both.where("fraction = 'F'"), "dich_coarse": both.where("fraction = 'C'"),
+        "integrated": Z.integrated_long(grids.pick(wanted_sheets), info, "F"),
+        "spec": Z.speciation_long(G.read_grids(spark, str(old)), header_dict),
     }
 
 
@@ -122,9 +121,7 @@ def test_merge_and_widen(spark, sources):
         spark, "file_type string, short_name string",
         [("Ions-Spec_IC", "Ions_IC"), ("Elements", "EDXRF")],
     )
-    merged, aside = Z.merge_long(
-        [sources["dich_fine"], sources["integrated"], sources["spec"]], short
-    )
+    merged, aside = Z.merge_long(Z.parsed_rows([sources["dich"], sources["integrated"], sources["spec"]]), short)
     assert aside.select("col_name").distinct().count() == 3  # the row without a date
     fine = merged.where("fraction = 'F' and not is_blank")
     got = cells(fine, station="S60211")
@@ -137,15 +134,14 @@ def test_merge_and_widen(spark, sources):
     assert (row.year, row.dich_pm2_5, row.Ions_IC_spec_tf_nitrate, row.EDXRF_dich_iron_fe) == (
         2012, 7.0, 1.5, 1.0
     )
-    names = canonical_names([r.col_name for r in fine.select("col_name").distinct().collect()])
-    table = literal_table(spark, "old_name string, new_name string", list(names.items()))
+    table = canonical_names(fine.select(F.col("col_name").alias("old_name")).distinct())
     canon = {r.col_name for r in Z.select_canonical(fine, table).collect()}
     assert {"spec.IC.TF.nitrate", "spec.IC.NF.nitrate", "dich.EDXRF.TF.iron_fe"} <= canon
 
 
 def test_blanks_keep_their_own_rows(spark, sources):
     merged, _ = Z.merge_long(
-        [sources["spec"], sources["integrated"]],
+        Z.parsed_rows([sources["spec"], sources["integrated"]]),
         literal_table(spark, "file_type string, short_name string", [("x", "y")]),
     )
     blanks = merged.where("is_blank")

@@ -1,6 +1,8 @@
 """Null semantics and rules that the big tables cannot show."""
 
-from datetime import date
+import math
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from hazeline.operators import quality as Q
 from hazeline.operators import ranking as R
 from hazeline.operators import reshape as S
 from hazeline.operators import split_date as D
-from hazeline.operators.sizes import bounded_values, estimated_bytes
+from hazeline.operators.sizes import estimated_bytes
 from hazeline.plans import compose
 
 
@@ -154,34 +156,51 @@ def test_name_rules_agree_between_lists_and_columns(spark):
     limits = ["a_b_c_d_mdl", "x_spec_nitrate_mdl", "y_spec_nitrate_mdl", "m_n_zz_mdl"]
     names = ["a_b_c_d", "q_spec_nitrate", "a_b_x_c", "r_s_t_u_zz", "one", "a_b"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
-    got = {r.n: r.m for r in N.with_limit_names(df, "n", limits, "m").collect()}
+    table = spark.createDataFrame([(m,) for m in limits], "limit string")
+    got = {r.n: r.m for r in N.with_limit_names(df, "n", table, "m").collect()}
     assert got == N.match_limits(names, limits, overrides={})
     old = ["Ions_IC_spec_tf_nitrate", "EDXRF_iron", "EDXRF_dich_iron", "spec_pm2_5", "a b dich_x"]
     df = spark.createDataFrame([(n,) for n in old], "n string")
     got = {r.n: r.m for r in df.select("n", N.rewrite_by_prefix(F.col("n")).alias("m")).collect()}
-    assert got == {n: N.canonical_name(n) for n in old}
-    assert got["Ions_IC_spec_tf_nitrate"] == "spec.IC.TF.nitrate"
+    assert got == {
+        "Ions_IC_spec_tf_nitrate": "spec.IC.TF.nitrate", "EDXRF_iron": "na.EDXRF.TF.iron", "EDXRF_dich_iron": "dich.EDXRF.TF.iron",
+        "spec_pm2_5": "spec.pm2_5", "a b dich_x": "abdich.x",
+    }
 
 
-def test_canonical_names():
-    got = N.canonical_names(
-        ["date", "EDXRF_s_mdl", "EDXRF_sulphur_s", "x_flag", "y_2", "dich_pm2_5_mdl", "pm2_5"]
-    )
+def canonical(spark, names):
+    df = spark.createDataFrame([(n,) for n in names], "old_name string")
+    return {r.old_name: r.new_name for r in N.canonical_names(df).collect()}
+
+
+def test_canonical_names(spark):
+    got = canonical(spark, ["date", "EDXRF_s_mdl", "EDXRF_sulphur_s", "x_flag", "y_2", "dich_pm2_5_mdl", "pm2_5"])
     assert got == {
         "date": "date", "EDXRF_s_mdl": "na.EDXRF.TF.sulphur_s_mdl",
         "EDXRF_sulphur_s": "na.EDXRF.TF.sulphur_s", "dich_pm2_5_mdl": "dich.pm2_5_mdl", "pm2_5": "pm2_5",
     }
+    assert canonical(spark, []) == {}
+
 
+def test_random_names_against_the_list_rules(spark):
+    rng = random.Random(11)
+    part = lambda: "".join(rng.choices("abn", k=rng.randint(1, 2)))
+    names = sorted({"_".join(part() for _ in range(rng.randint(1, 6))) for _ in range(150)})
+    limits = sorted({"_".join(part() for _ in range(rng.randint(1, 6))) + "_mdl" for _ in range(60)} | {f"{names[3]}_mdl"})
+    tables = [spark.createDataFrame([(n,) for n in x], f"{c} string") for x, c in ((names, "name"), (limits, "limit"))]
+    got = {r["name"]: r["limit"] for r in N.limit_matches(*tables).collect()}
+    want = N.match_limits(names, limits, overrides={})
+    assert got == {n: m for n, m in want.items() if m} and len(got) > 20
 
-@pytest.mark.parametrize("v,m,null,keep", [
-    (1.0, 2.0, 1.0, 1.0), (2.0, 2.0, 2.0, 2.0), (3.0, 2.0, 3.0, 3.0), (None, 2.0, None, None),
-    (1.0, None, None, 1.0), (None, None, None, None),
-])
-def test_limit_substitution(spark, v, m, null, keep):
-    df = spark.createDataFrame([(v, m)], "v double, m double")
-    a, b = F.col("v"), F.col("m")
-    row = df.select(compose.substitute_limit(a, b).alias("x"), compose.substitute_limit(a, b, "keep").alias("y")).first()
-    assert (row.x, row.y) == (null, keep)
+
+def test_a_hundred_thousand_names(spark):
+    df = spark.range(100_000).select(
+        F.concat(F.lit("Ions_IC_spec_tf_c"), F.col("id"), F.when(F.col("id") % 2 == 1, "_mdl").otherwise("")).alias("old_name")
+    )
+    got = N.canonical_names(df)
+    assert got.count() == 100_000
+    # values and limits have different numbers here, so no limit belongs to a value
+    assert got.where("new_name <> concat('spec.IC.TF.c', substr(old_name, 18))").count() == 0
 
 
 def test_candidates():
@@ -248,7 +267,70 @@ def test_linear_model_with_two_categories(spark):
 
 def test_sizes(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",)], "k string")
-    assert bounded_values(df, "k") == ["a", "b"]
-    with pytest.raises(ValueError):
-        bounded_values(df, "k", limit=1)
     assert estimated_bytes(df) > 0
+
+
+def test_packed_order_sorts_like_its_columns(spark):
+    rng = random.Random(2)
+    start = datetime(2020, 10, 25)
+    times = [start + timedelta(microseconds=rng.randrange(10**11)) for _ in range(30)] + [datetime(1, 1, 1), datetime(9999, 12, 31, 23, 59, 59, 999_999), None]
+    ids = [rng.randrange(-(2**63), 2**63) for _ in range(6)] + [2**63 - 1, -(2**63), 0, None]
+    rows = [(rng.choice(times), rng.choice(ids), float(i), 1) for i in range(300)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, i long, v double, k int")
+
+    def key(r):
+        return (r[0] is None, r[0] or start, r[1] is None, r[1] or 0)
+
+    best = min(rows, key=key)
+    got = J.first_non_null(df, ["k"], ["v"], ["t", "i"])
+    assert got.first().v in {r[2] for r in rows if key(r) == key(best)}
+    ordered = df.withColumn("rank", J._rank(df, ["t", "i"])).orderBy("rank").collect()
+    assert [key(r) for r in ordered] == sorted(map(key, rows))
+    assert str(ordered[0]["rank"].__class__.__name__) == "Decimal"
+
+
+def test_packed_order_refuses_what_does_not_fit():
+    with pytest.raises(ValueError):
+        J.packed_order({"a": 64, "b": 63})
+
+
+def test_wide_table_of_many_columns(spark):
+    names = [f"c{i}" for i in range(500)]
+    long = spark.range(20_000).selectExpr("id % 7 as k", "concat('c', id % 503) as n", "cast(id as double) as v")
+    wide = J.fold_full_outer(long, ["k"], "n", "v", names)
+    assert wide.columns == ["k", *names] and wide.count() == 7
+    row = wide.where("k = 3").first()
+    want = {f"c{i % 503}": float(i) for i in range(20_000) if i % 7 == 3}
+    assert {n: row[n] for n in names if row[n] is not None} == {n: v for n, v in want.items() if n in names}
+
+
+def test_many_centres_near_poles_and_the_date_line(spark):
+    rng = random.Random(6)
+    places = [(float(rng.choice([-89.9, -60, 0, 45, 89.95]) + rng.uniform(-2, 2)), rng.uniform(-180, 180)) for _ in range(150)]
+    places += [(rng.uniform(-1, 1), rng.choice([-1, 1]) * rng.uniform(178, 180)) for _ in range(60)] + [(90.0, 0.0), (-90.0, 7.0), (0.0, 180.0), (0.0, -180.0)]
+    places = [(max(-90.0, min(90.0, a)), b) for a, b in places]
+    points = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(places)] + [(999, None, 1.0)], "p int, latitude double, longitude double")
+    centres = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(places[::3])], "c int, centre_latitude double, centre_longitude double")
+
+    def km(a, b):
+        (p, x), (q, y) = ((math.radians(v) for v in s) for s in (a, b))
+        return 2 * 6371.0 * math.asin(min(1.0, math.sqrt(math.sin((p - q) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin((x - y) / 2) ** 2)))
+
+    for radius in (30.0, 400.0, 9000.0):
+        got = sorted((r.p, r.c) for r in J.near_centres(points, centres, radius).collect())
+        assert got == [(i, j) for i, a in enumerate(places) for j, b in enumerate(places[::3]) if km(a, b) < radius]
+
+
+def test_exclusion_ranges_of_all_kinds(spark):
+    rng = random.Random(9)
+    day = lambda: rng.choice([None, date(2010, 1, 1) + timedelta(days=rng.randrange(2000))])
+    rows = [(i, rng.choice("abcdef"), day()) for i in range(400)]
+    ranges = [(rng.choice("abc"), day(), day()) for _ in range(25)] + [("d", None, date(2010, 6, 1)), ("e", date(2014, 1, 1), None)]
+    ranges = [r for r in ranges if r[1:] != (None, None) or r[0] != "b"]
+    hit = lambda d, f, t: d is None or ((f is None or d >= f) and (t is None or d <= t))
+    # a closed range that ends before it begins excludes nothing but rows without a date
+    want = {i for i, k, d in rows if not any(k == key and hit(d, f, t) for key, f, t in ranges)}
+    df = spark.createDataFrame(rows, "i int, k string, date date")
+    table = spark.createDataFrame(ranges, "k string, from_date date, to_date date")
+    got = J.anti_ranges(df, table, "k")
+    assert got.columns == df.columns and {r.i for r in got.collect()} == want

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hazeline.operators import joins as J
 from hazeline.operators import ranking as R
+from hazeline.operators.quantiles import exact_quantiles
 from hazeline.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
@@ -68,6 +69,37 @@ def test_group_values_reach_rows_without_a_broadcast_by_guess(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_ranges_and_centres_of_any_number_meet_by_key(spark):
+    """Without broadcasts there are equality joins only, on the key and year or on the cell."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, key in (("join_range_anti_many", "year"), ("join_radius_many", "__cell"), ("join_range_anti", "year")):
+            text = plan(REGISTRY[name](spark, SF))
+            assert "NestedLoop" not in text and "Cartesian" not in text and "SortMergeJoin" in text and key in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_merge_of_long_rows_is_a_hash_aggregate(spark):
+    text = plan(REGISTRY["pipe_harmonise"](spark, SF))
+    assert "SortAggregate" not in text and text.count("Scan parquet") == 1
+
+
+def test_wide_tables_have_no_branch_per_column(spark):
+    names = [f"c{i}" for i in range(500)]
+    long = spark.range(10).selectExpr("id as k", "concat('c', id) as n", "id * 1.0D as v")
+    text = plan(J.fold_full_outer(long, ["k"], "n", "v", names))
+    assert "CASE WHEN" not in text and "pivotfirst" in text.lower() and "SortAggregate" not in text
+
+
+def test_quantiles_never_sort_a_groups_values(spark):
+    """Each pass joins rows with the few picked leading bits and counts by the next ones; windows are over counts."""
+    df = spark.range(5000).selectExpr("id % 3 as k", "cast(id as double) as v")
+    text = plan(exact_quantiles(df, ["k"], "v", (0.5,), ("m",)))
+    assert "percentile" not in text and text.count("Range (0, 5000") == 1
+    assert re.search(r"Window.*HashAggregate.*HashAggregate.*Join", text, re.S)
+
+
 def test_rounding_never_saturates(spark):
     from hazeline.queries.base import r
 

@@ -1,10 +1,12 @@
 import random
+import struct
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hazeline.operators.aggregates import box_stats, global_bounds, median_iqr
-from hazeline.operators.quantiles import exact_quantiles
+from hazeline.operators.quantiles import PASSES, double_image, exact_quantiles, first_counts, holding, next_counts, wanted_ranks
 
 PROBS = (0.02, 0.25, 0.5, 0.75, 0.98)
 NAMES = ("a", "b", "c", "d", "e")
@@ -32,7 +34,7 @@ def expected():
     return groups
 
 
-@pytest.mark.parametrize("options", [{}, {"accuracy": 100}, {"accuracy": 100, "buckets": 3}])
+@pytest.mark.parametrize("options", [{}, {"passes": (3, 61)}, {"passes": (1, 15, 16, 16, 16)}])
 def test_by_group(df, options):
     got = {r.k: r for r in exact_quantiles(df, ["k"], "v", PROBS, NAMES, **options).collect()}
     want = expected()
@@ -46,7 +48,7 @@ def test_by_group(df, options):
                 assert got[k][name] is None
 
 
-@pytest.mark.parametrize("options", [{}, {"accuracy": 100}])
+@pytest.mark.parametrize("options", [{}, {"passes": (40, 24)}])
 def test_whole_table(df, options):
     row = exact_quantiles(df, [], "v", PROBS, NAMES, **options).first()
     values = [v for _, v in rows() if v is not None]
@@ -55,8 +57,8 @@ def test_whole_table(df, options):
         assert row[name] == pytest.approx(np.quantile(values, p), rel=1e-12)
 
 
-def test_narrow_intervals_give_the_same_summaries(df):
-    hard = {"accuracy": 100}
+def test_other_passes_give_the_same_summaries(df):
+    hard = {"passes": (12, 40, 12)}
     for fn in (
         lambda **o: box_stats(df, ["k"], "v", **o),
         lambda **o: median_iqr(df, ["k"], ["v"], **o),
@@ -64,3 +66,36 @@ def test_narrow_intervals_give_the_same_summaries(df):
     ):
         plain = sorted(map(repr, fn().collect()))
         assert sorted(map(repr, fn(**hard).collect())) == plain
+
+
+def test_images_sort_like_doubles(spark):
+    rng = random.Random(3)
+    tiny, huge = 5e-324, 1.7976931348623157e308
+    values = [0.0, -0.0, tiny, -tiny, 2.2250738585072014e-308, 2.225073858507201e-308, huge, -huge, float("inf"), float("-inf"), float("nan")]
+    for e in range(-1074, 1024):  # powers of two and their neighbours
+        p = 2.0**e
+        values += [p, -p, float(np.nextafter(p, 0)), float(np.nextafter(p, np.inf))]
+    values += [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(4000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {}
+    for r in df.select("v", double_image(F.col("v")).alias("i")).collect():
+        got.setdefault("nan" if r.v != r.v else r.v + 0.0, set()).add(r.i)
+    assert all(len(i) == 1 for i in got.values())
+    last = got.pop("nan")
+    ordered = [got[v].copy().pop() for v in sorted(got)]
+    assert all(a < b for a, b in zip(ordered, ordered[1:])) and last.pop() > ordered[-1]
+
+
+def test_clustered_values(spark):
+    """Nearly all values share their leading bits: each pass holds few rows of a group, and no step sorts its values."""
+    df = spark.range(200_000).selectExpr("id % 2 as k", "case when id < 10 then id * 1e300 else 1e6 + id * 1e-9 end as v")
+    want = df.toPandas()
+    got = {r.k: r for r in exact_quantiles(df, ["k"], "v", PROBS, NAMES).collect()}
+    for k, values in want.groupby("k")["v"]:
+        for p, name in zip(PROBS, NAMES):
+            assert got[k][name] == pytest.approx(np.quantile(values, p), rel=1e-15)
+    images = df.select("k", "v", double_image(F.col("v")).alias("image"))
+    held = holding(first_counts(images, ["k"], PASSES[0]), wanted_ranks(PROBS)).cache()
+    assert held.count() <= 2 * 2 * len(PROBS)
+    second = next_counts(images, ["k"], held, PASSES[0], sum(PASSES[:2]))
+    assert second.groupBy("k").count().agg(F.max("count")).first()[0] < 50_000

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazeline.sources import grid as G
+from hazeline.sources import lines as L
 from hazeline.sources import hourly as H
 from hazeline.sources import lookups, provenance, stages
 
@@ -108,9 +109,9 @@ def sheets(spark, tmp_path_factory):
 
 
 def test_provenance_and_sheet(sheets):
-    row = sheets.where("sheet = 'NoHeader'").first()
+    row = sheets.files.where("sheet = 'NoHeader'").first()
     assert (row.year, row.station, row.file_type) == (2012, "S60211", "INT")
-    names = {r.sheet for r in provenance.wanted_sheets(sheets).collect()}
+    names = {r.sheet for r in sheets.pick(provenance.wanted_sheets).files.collect()}
     assert names == {"Ions-Spec_IC", "NoHeader"}
 
 
@@ -124,27 +125,34 @@ def test_sampler_info(sheets):
 
 def test_names_from_medium_and_sampler_rows(sheets):
     info = G.sampler_info(sheets.where("sheet = 'Station Info'"))
-    wanted = provenance.wanted_sheets(sheets)
-    headed = G.with_grid_header(wanted)
-    _, rejects = G.split_by_header(headed)
-    assert [r.sheet for r in rejects.collect()] == ["NoHeader"]
-    named = G.sheet_names(headed, info).where("sheet = 'Ions-Spec_IC'").first()
+    wanted = sheets.pick(provenance.wanted_sheets)
+    assert [r.path.rsplit("__", 1)[1] for r in G.rejected(wanted).collect()] == ["NoHeader.csv"]
+    named = G.with_sheet_names(wanted, info).files.where("sheet = 'Ions-Spec_IC'").first()
     assert named["names"] == [
         "naps_id", "sampling_date", "sample_type", "spec_tf_nitrate", "spec_tf_nitrate_mdl",
         "dich_nf_nitrate",
     ]
     assert named["warnings"] == []
-    plain = G.sheet_names(headed).where("sheet = 'Ions-Spec_IC'").first()
+    plain = G.with_sheet_names(wanted).files.where("sheet = 'Ions-Spec_IC'").first()
     assert plain["names"][3:] == ["tf_nitrate", "tf_nitrate_mdl", "nf_nitrate"]
 
 
 def test_first_and_last_header(spark):
-    df = spark.createDataFrame([(["a,b", "Date,x", "1,2", "date,y", "3,4"],), (["a", "b"],)], "lines array<string>")
-    got = df.select(
-        G.first_row_with(F.col("lines"), "(?i)naps|date").alias("f"),
-        G.last_row_starting(F.col("lines"), "ate").alias("l"),
-    ).collect()
-    assert [(r.f, r.l) for r in got] == [(2, 4), (0, 0)]
+    df = spark.createDataFrame([(1, "a,b\nDate,x\n1,2\ndate,y\n3,4"), (2, "a\nb"), (3, None)], "k int, t string")
+    lines = L.table_lines(df, "k", "t")
+    grids = G.grids_of(lines, {"header": G.has_cell("(?i)naps|date"), "mark": G.starts_with("ate")})
+    assert sorted((r.path, r.header_row, r.header) for r in grids.files.collect()) == [(1, 2, ["Date", "x"]), (2, 0, None)]
+    assert [(r.path, r.row_no) for r in L.marked(grids.splits, "mark", last=True).collect()] == [(1, 4)]
+    assert [r.path for r in G.rejected(grids).collect()] == [2]
+
+
+def test_places_beyond_the_header_are_named_by_number(spark):
+    df = spark.createDataFrame([(1, "x\nDate,,b\n1,2,3,4\n,,\n5")], "k int, t string")
+    grids = G.grids_of(L.table_lines(df, "k", "t"), {"header": G.has_cell("Date")})
+    got = sorted(tuple(r) for r in G.promote_long(grids).collect())
+    assert got == [(1, 3, "...4", "4"), (1, 3, "Date", "1"), (1, 3, "b", "3"), (1, 5, "Date", "5")]
+    shifted = G.promote_long(grids, optional=G.has_optional_column(F.col("header"), ["no"]))
+    assert sorted(tuple(r) for r in shifted.collect()) == got
 
 
 def test_unique_names(spark):
