@@ -1,7 +1,6 @@
 """The batch run: folders of raw files to the merged, persisted tables.
 
-Every file is read once, into lines, and parsed once, into tagged long rows; both are written to the shared folder. The tables are
-lazy graphs over these stages.
+Every file is read once, into lines, and parsed once, into tagged long rows. Every table is a stage of a run that can be taken up again.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from hazeline.plans import harmonise as Z
 from hazeline.sources import hourly, lookups
 from hazeline.sources.grid import Grids, read_grids, rejected, sampler_info
 from hazeline.sources.provenance import wanted_files, wanted_sheets
-from hazeline.sources.stages import write_stage, write_table_csv
+from hazeline.sources.stages import Run, fingerprint, scratch, write_table_csv
 
 INFO_SHEET = "Station Info"
 
@@ -44,51 +43,66 @@ def integrated(grids: Grids, fraction: str) -> DataFrame:
     return Z.integrated_long(grids.pick(wanted_sheets), info, fraction)
 
 
-def build_tables(spark: SparkSession, folders: Folders) -> dict[str, DataFrame]:
-    """merged (long), quarantine (rows without station or date) and rejects (files without header)."""
-    grids = {
-        name: read_grids(spark, getattr(folders, name)).pick(wanted_files)
-        for name in ("integrated_fine", "integrated_coarse", "speciation", "mass", "dichotomous")
-    }
+SHEETS = ("integrated_fine", "integrated_coarse", "speciation", "mass", "dichotomous")
+
+
+def parse(spark: SparkSession, folders: Folders) -> tuple[DataFrame, DataFrame]:
+    """(tagged long rows of all sources, paths of files without a header)."""
+    grids = {name: read_grids(spark, getattr(folders, name)).pick(wanted_files) for name in SHEETS}
     header_dict = lookups.read_lookup(spark, "header_dict", folders.header_dict)
     scheme = lookups.read_lookup(spark, "part_scheme", folders.part_scheme)
-    short = lookups.read_lookup(spark, "file_type_short", folders.file_type_short)
-
     # In order of trust; the same value from a later source is not used.
-    parsed = Z.parsed_rows([
+    rows = Z.tagged_rows([
         Z.mass_file_long(grids["dichotomous"], scheme, "dich", ("F", "C")),
         Z.mass_file_long(grids["mass"], scheme, "spec", ("F",)),
         integrated(grids["integrated_fine"], "F"),
         integrated(grids["integrated_coarse"], "C"),
         Z.speciation_long(grids["speciation"], header_dict),
     ])
-    merged, aside = Z.merge_long(parsed, short)
     data = [grids[n].pick(wanted_sheets) for n in ("integrated_fine", "integrated_coarse")]
     headed = [*data, *[grids[n] for n in ("speciation", "mass", "dichotomous")]]
-    rejects = reduce(DataFrame.unionByName, map(rejected, headed))
-    tables = {"merged": merged, "quarantine": aside, "rejects": rejects}
-    if folders.hourly and folders.stations:
-        rows, no_header = hourly.read_hourly(spark, folders.hourly)
-        known = lookups.read_stations(spark, folders.stations).select(
-            F.col("naps").cast("string").alias("napsid")
-        )
-        accepted, invalid, report = hourly.checked_hourly(rows, known, allow_invalid_dates=True)
-        tables |= {
-            "hourly": accepted, "hourly_invalid": invalid, "hourly_report": report,
-            "hourly_rejects": no_header,
+    return rows, reduce(DataFrame.unionByName, map(rejected, headed))
+
+
+def hourly_tables(spark: SparkSession, folders: Folders) -> dict[str, DataFrame]:
+    """The checked hourly rows, the rows set aside, the report of the file check and the files without a header."""
+    rows, no_header = hourly.read_hourly(spark, folders.hourly)
+    known = lookups.read_stations(spark, folders.stations).select(F.col("naps").cast("string").alias("napsid"))
+    accepted, invalid, report = hourly.checked_hourly(rows, known, allow_invalid_dates=True)
+    return {"hourly": accepted, "hourly_invalid": invalid, "hourly_report": report, "hourly_rejects": no_header}
+
+
+def run(spark: SparkSession, folders: Folders, target: str) -> dict[str, DataFrame]:
+    """Every table of the batch below ``target``: merged (by fraction, clustered by station and date), quarantine (rows without station
+    or date), rejects (files without a header) and the hourly ones.
+
+    A run that died is taken up behind its last finished stage, as long as the files are the same; stale tables are removed at the end.
+    """
+    stages = Run(spark, target)
+    lookup_files = (folders.header_dict, folders.part_scheme, folders.file_type_short)
+    key = fingerprint(spark, *(getattr(folders, n) for n in SHEETS), *lookup_files)
+    with scratch(spark):
+        if not (stages.finished("parsed", key) and stages.finished("rejects", key)):
+            rows, without_header = parse(spark, folders)
+            stages.stage("rejects", key, lambda: without_header)
+            stages.stage("parsed", key, lambda: rows)
+        short = lookups.read_lookup(spark, "file_type_short", folders.file_type_short)
+        merged, aside = Z.merge_long(stages.read("parsed"), short)
+        tables = {
+            "merged": stages.stage("merged", key, lambda: merged, ["fraction", "is_blank"], ["station", "date"]),
+            "quarantine": stages.stage("quarantine", key, lambda: aside), "rejects": stages.read("rejects"),
         }
+        if folders.hourly and folders.stations:
+            hours = fingerprint(spark, folders.hourly, folders.stations)
+            names = ("hourly", "hourly_invalid", "hourly_report", "hourly_rejects")
+            if not all(stages.finished(n, hours) for n in names):
+                for name, df in hourly_tables(spark, folders).items():
+                    stages.stage(name, hours, lambda df=df: df)
+            tables |= {n: stages.read(n) for n in names}
+    stages.remove_stale()
     return tables
 
 
-def write_tables(tables: dict[str, DataFrame], target: str) -> None:
-    """The merged table by fraction, clustered by station and date; the others as they are."""
-    for name, df in tables.items():
-        if name == "merged":
-            write_stage(df, f"{target}/{name}", ["fraction", "is_blank"], ["station", "date"])
-        else:
-            write_stage(df, f"{target}/{name}")
-
-
 def write_canonical_names(spark: SparkSession, merged: DataFrame, target: str) -> DataFrame:
     """Canonical-name table of the fine samples' columns, written as CSV and returned."""
     fine = merged.where((F.col("fraction") == "F") & ~F.col("is_blank"))

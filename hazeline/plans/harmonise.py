@@ -192,10 +192,15 @@ def mass_file_long(grids: G.Grids, scheme: DataFrame, sampler: str, fractions: S
     )
 
 
-def parsed_rows(sources: Sequence[DataFrame]) -> DataFrame:
-    """The long rows of all sources, tagged with their place in the order of trust; written, so that files are parsed once."""
+def tagged_rows(sources: Sequence[DataFrame]) -> DataFrame:
+    """The long rows of all sources, tagged with their place in the order of trust."""
     tagged = [s.withColumn("source_priority", F.lit(i)) for i, s in enumerate(sources)]
-    return staged(reduce(lambda a, b: a.unionByName(b), tagged), "parsed-rows")
+    return reduce(lambda a, b: a.unionByName(b), tagged)
+
+
+def parsed_rows(sources: Sequence[DataFrame]) -> DataFrame:
+    """The tagged rows, written, so that files are parsed once whatever reads them."""
+    return staged(tagged_rows(sources), "parsed-rows")
 
 
 def merge_long(parsed: DataFrame, file_type_short: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -12,6 +12,7 @@ from hazeline.plans import batch
 from hazeline.plans import harmonise as Z
 from hazeline.plans import sampler_timeline as T
 from hazeline.sources import grid as G
+from hazeline.sources import stages
 from hazeline.sources.provenance import wanted_sheets
 
 D1, D2, D3 = date(2012, 1, 1), date(2012, 1, 4), date(2009, 5, 1)
@@ -171,19 +172,43 @@ def test_batch_run(spark, sources, tmp_path, tmp_path_factory):
         header_dict=str(look / "dict.csv"), part_scheme=str(look / "scheme.csv"),
         file_type_short=str(look / "short.csv"),
     )
-    tables = batch.build_tables(spark, folders)
     target = str(tmp_path / "out")
-    batch.write_tables(tables, target)
-    merged = spark.read.parquet(f"{target}/merged")
+
+    # the first run dies when it writes the merged table
+    def dies(self, name, *args, write=stages.Run.stage, **more):
+        if name == "merged":
+            raise RuntimeError("killed")
+        return write(self, name, *args, **more)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(stages.Run, "stage", dies)
+        with pytest.raises(RuntimeError, match="killed"):
+            batch.run(spark, folders, target)
+    left = tmp_path / "out" / "tables"
+    (left / "merged-half").mkdir()
+    (left / "merged-half" / "part-0.parquet").write_bytes(b"half")
+    # the second one goes on behind the parsed rows and reads no sheet
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(batch, "read_grids", None)
+        tables = batch.run(spark, folders, target)
+        assert sorted(p.name.rsplit("-", 1)[0] for p in left.iterdir()) == ["merged", "parsed", "quarantine", "rejects"]
+        again = batch.run(spark, folders, target)["merged"]  # nothing is made anew
+        assert again.inputFiles() == tables["merged"].inputFiles()
+    merged = tables["merged"]
     assert merged.where("col_name = 'OCEC_spec_oc1_a' and value = 1.0").count() == 1
     assert merged.where("fraction = 'C' and col_name = 'dich_pm2_5_10'").first().value == 3.0
     assert duplicate_keys(
         merged, ["station", "date", "fraction", "is_blank", "file_type", "col_name"]
     ).count() == 0
-    rejects = {r.path.rsplit("/", 1)[1] for r in spark.read.parquet(f"{target}/rejects").collect()}
+    rejects = {r.path.rsplit("/", 1)[1] for r in tables["rejects"].collect()}
     assert rejects == {"2012_S1_X.csv"}
     names = batch.write_canonical_names(spark, merged, f"{target}/names")
     assert "spec.TOR.QF.oc1_a" in {r.new_name for r in names.collect()}
+    # another file makes another key, and the old tables go
+    put(empty, "2012_S2_X.csv", "nothing here either")
+    later = batch.run(spark, folders, target)
+    assert {r.path.rsplit("/", 1)[1] for r in later["rejects"].collect()} == {"2012_S1_X.csv", "2012_S2_X.csv"}
+    assert later["merged"].inputFiles() != merged.inputFiles() and len(list(left.iterdir())) == 4
 
 
 def test_sampler_dictionary(spark, tmp_path):
