@@ -47,7 +47,7 @@ FIRST_LEVEL = 6
 BUCKET_BITS = 32_768
 BUCKETS = 1024
 #: Counters a task holds before it adds them up and sends them.
-HELD = 1_000_000
+HELD = 250_000
 #: Terms in a block and sources in a tile of the distance matrices.
 BLOCK_TERMS = 2048
 TILE = 64
