@@ -33,14 +33,9 @@ from hazeline.llm.stages import discard, materialise
 
 #: Words of a later copy from which it is deleted.
 MIN_WORDS = 10
-SUFFIX = ["doc_id", "tie", "no"]
 BLANK = " \t\n\x0b\x0c\r"
 
 
-def place() -> Column:
-    return F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tie", "no")
-
-
 def name_of(*parts: Column | str) -> Column:
     """128 bits of content: two hashes with different beginnings."""
     return F.struct(F.xxhash64(F.lit(0), *parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b"))
@@ -52,21 +47,48 @@ def line_rows(docs: DataFrame) -> DataFrame:
         F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("at"), line.alias("line"))),
         lambda x: F.length(F.trim(x["line"], F.lit(BLANK))) > 0,
     )
-    trimmed = F.trim(F.col("x.line"), F.lit(BLANK))
+    words = F.array_remove(F.split(F.translate("x.line", BLANK, " " * len(BLANK)), " "), "")
     return (
         docs.select("doc_id", F.xxhash64("text").alias("tie"), F.posexplode(lines).alias("no", "x"))
         .select(
-            *SUFFIX, F.col("x.at").alias("at"), F.size(F.split(trimmed, "[ \\t\\n\\x0B\\f\\r]+")).cast("long").alias("words"),
-            name_of("x.line").alias("name"),
+            "doc_id", "tie", "no", F.col("x.at").alias("at"), F.size(words).cast("long").alias("words"), name_of("x.line").alias("name"),
         )
     )
 
 
-def at_place(df: DataFrame, other: DataFrame, no: Column, how: str = "inner") -> DataFrame:
-    """df joined with the suffix of ``other`` that begins at line ``no`` of the same document; its other columns come along."""
-    there = other.withColumnsRenamed({"doc_id": "__d", "tie": "__t", "no": "__n"})
-    same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("tie") == F.col("__t")) & (no == F.col("__n"))
-    return df.join(there, same, how).drop("__d", "__t", "__n")
+def placed(lines: DataFrame) -> DataFrame:
+    """(doc_id, tie, at, words, name, doc, pos): pos is the line's number among all lines in the order of documents, doc that of its
+    document's first line.
+
+    Documents are put in order by range; the driver sees the number of lines of each range. Rows of equal doc_id and text are one document.
+    """
+    lines = materialise(lines.distinct(), "line-names")
+    sizes = lines.groupBy("doc_id", "tie").agg(F.count(F.lit(1)).alias("n"))
+    ordered = sizes.withColumn("last", F.col("doc_id").isNull())
+    ranged = materialise(
+        ordered.repartitionByRange("last", "doc_id", "tie").withColumn("range", F.spark_partition_id()), "line-documents"
+    )
+    before, offsets = 0, []
+    for r in sorted(ranged.groupBy("range").agg(F.sum("n").alias("n")).collect()):
+        offsets.append((r["range"], before))
+        before += r.n
+    # as many rows as partitions
+    offsets = F.broadcast(lines.sparkSession.createDataFrame(offsets, "range int, before long"))
+    inside = W.partitionBy("range").orderBy("last", "doc_id", "tie").rowsBetween(W.unboundedPreceding, -1)
+    doc = F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    ranged = ranged.join(offsets, "range")
+    starts = ranged.select(F.col("doc_id").alias("d"), F.col("tie").alias("t"), doc.alias("doc"))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t"))
+    return materialise(
+        lines.join(starts, same).select("doc_id", "tie", "at", "words", "name", "doc", (F.col("doc") + F.col("no")).alias("pos")),
+        "line-places",
+    )
+
+
+def at_place(df: DataFrame, other: DataFrame, pos: Column, how: str = "inner") -> DataFrame:
+    """df joined with the suffix of ``other`` that begins at ``pos`` in the same document; its other columns come along."""
+    there = other.withColumnsRenamed({"doc": "__d", "pos": "__p"})
+    return df.join(there, (pos == F.col("__p")) & (F.col("doc") == F.col("__d")), how).drop("__d", "__p")
 
 
 def shared(suffixes: DataFrame) -> DataFrame:
@@ -75,37 +97,44 @@ def shared(suffixes: DataFrame) -> DataFrame:
     intervals = materialise(
         suffixes.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name"), "line-intervals"
     )
-    return suffixes.join(intervals, "name").select(*SUFFIX, "name")
+    return suffixes.join(intervals, "name").select("doc", "pos", "name")
 
 
 def doubled(suffixes: DataFrame, by: int) -> DataFrame:
     """Suffixes named by their own name and that of the suffix ``by`` lines on."""
     ahead = suffixes.withColumnRenamed("name", "next")
-    return at_place(suffixes, ahead, F.col("no") + by).select(*SUFFIX, name_of("name.a", "name.b", "next.a", "next.b").alias("name"))
+    return at_place(suffixes, ahead, F.col("pos") + by).select("doc", "pos", name_of("name.a", "name.b", "next.a", "next.b").alias("name"))
 
 
 def levels(lines: DataFrame) -> list[DataFrame]:
     """Shared names of 1, 2, 4, ... lines, as far as there are any."""
-    # rows of equal doc_id and text are one document
-    found = [materialise(shared(lines.select(*SUFFIX, "name").distinct()), "line-suffixes")]
+    found = [materialise(shared(lines.select("doc", "pos", "name")), "line-suffixes")]
     while found[-1].limit(1).count():
         found.append(materialise(shared(doubled(found[-1], 1 << (len(found) - 1))), "line-suffixes"))
     return found[:-1]
 
 
-def parted(state: DataFrame, names: DataFrame, step: int) -> DataFrame:
+def parted(state: DataFrame | None, names: DataFrame, step: int) -> DataFrame:
     """One round: intervals are parted by the next ``step`` lines.
 
-    state: (doc_id, tie, no, length, node, own): the suffix is in the interval ``node`` of common ``length``; own marks the row that stands for
-    what is known of the suffix itself, others are there to be met.
+    state: (doc, pos, length, node, own): the suffix is in the interval ``node`` of common ``length``; own marks the row that stands for
+    what is known of the suffix itself, others are there to be met. Suffixes without a row of their own are still in the first interval, of
+    length 0; only those with a name of ``step`` lines matter now.
     """
-    met = at_place(state, names.withColumnRenamed("name", "next"), F.col("no") + F.col("length"), "left")
+    next_name = names.withColumnRenamed("name", "next")
+    root = next_name.select(
+        "doc", "pos", F.lit(0).cast("long").alias("length"), name_of(F.lit("root")).alias("node"), F.lit(True).alias("own"), "next"
+    )
+    if state is not None:
+        moved = state.where("own").select(F.col("pos").alias("p"))
+        root = root.join(moved, F.col("pos") == F.col("p"), "left_anti").unionByName(
+            at_place(state, next_name, F.col("pos") + F.col("length"), "left")
+        )
     part = name_of("node.a", "node.b", "next.a", "next.b", F.lit(step))
-    known = F.col("next").isNotNull()
-    met = materialise(met.withColumn("part", F.when(known, part)).drop("next"), "line-met")
+    met = materialise(root.withColumn("part", F.when(F.col("next").isNotNull(), part)).drop("next"), "line-met")
     # a part without a second member moves nothing
     firsts = materialise(
-        met.where("part IS NOT NULL").groupBy("part").agg(F.min(place()).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        met.where("part IS NOT NULL").groupBy("part").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
         .select(F.col("part").alias("of"), "first"),
         "line-firsts",
     )
@@ -114,42 +143,40 @@ def parted(state: DataFrame, names: DataFrame, step: int) -> DataFrame:
     longer = F.struct((F.col("length") + step).cast("long").alias("length"), F.col("part").alias("node"), F.col("own"))
     served = F.struct((F.col("length") + step).cast("long").alias("length"), F.col("part").alias("node"), F.lit(False).alias("own"))
     moves = (
-        F.when(F.col("first").isNull(), F.array(here))
-        .when(place().eqNullSafe(F.col("first")), F.array(here, served)).otherwise(F.array(longer))
+        F.when(F.col("first").isNull(), F.array(here)).when(F.col("pos") == F.col("first"), F.array(here, served)).otherwise(F.array(longer))
     )
-    after = materialise(joined.select(*SUFFIX, F.inline(moves)), "line-state")
+    # who stays in the first interval needs no row
+    after = materialise(joined.select("doc", "pos", F.inline(moves)).where("length > 0"), "line-state")
     for done in (met, firsts):
         discard(done)
     return after
 
 
 def earlier_lengths(lines: DataFrame) -> DataFrame:
-    """(doc_id, tie, no, length): for each suffix the most lines that also start earlier, where there are any."""
+    """(doc, pos, length): for each suffix the most lines that also start earlier, where there are any. lines: as of ``placed``."""
     names = levels(lines)
     if not names:
-        return lines.select(*SUFFIX, F.lit(0).cast("long").alias("length")).where("false")
-    state = names[0].select(
-        *SUFFIX, F.lit(0).cast("long").alias("length"), name_of(F.lit("root")).alias("node"), F.lit(True).alias("own")
-    )
+        return lines.select("doc", "pos", F.lit(0).cast("long").alias("length")).where("false")
+    state = None
     for k in reversed(range(len(names))):
         after = parted(state, names[k], 1 << k)
-        for used in [names[k]] * (k > 0) + [state] * (k < len(names) - 1):
+        for used in [names[k]] * (k > 0) + [state] * (state is not None):
             discard(used)
         state = after
-    return state.where("own AND length > 0").select(*SUFFIX, "length")
+    return state.where("own").select("doc", "pos", "length")
 
 
 def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, tie, at): the lines, by their number in the text, that later copies of enough words cover."""
-    lines = materialise(line_rows(docs).distinct(), "line-names")
-    in_text = W.partitionBy("doc_id", "tie").orderBy("no")
-    upto = lines.select(*SUFFIX, "at", F.sum("words").over(in_text).alias("upto"), "words")
+    lines = placed(line_rows(docs))
+    in_text = W.partitionBy("doc").orderBy("pos")
+    upto = lines.select("doc", "pos", F.sum("words").over(in_text).alias("upto"), "words")
     runs = materialise(earlier_lengths(lines), "line-runs")
-    begun = at_place(runs, upto.select(*SUFFIX, (F.col("upto") - F.col("words")).alias("before")), F.col("no"))
-    ended = at_place(begun, upto.select(*SUFFIX, "upto"), F.col("no") + F.col("length") - 1)
-    long_enough = ended.where(F.col("upto") - F.col("before") >= min_words).select(*SUFFIX, (F.col("no") + F.col("length")).alias("end"))
-    ends = at_place(lines.select(*SUFFIX, "at"), long_enough, F.col("no"), "left")
-    return ends.withColumn("reach", F.max("end").over(in_text)).where("reach > no").select("doc_id", "tie", "at")
+    begun = at_place(runs, upto.select("doc", "pos", (F.col("upto") - F.col("words")).alias("before")), F.col("pos"))
+    ended = at_place(begun, upto.select("doc", "pos", "upto"), F.col("pos") + F.col("length") - 1)
+    long_enough = ended.where(F.col("upto") - F.col("before") >= min_words).select("doc", "pos", (F.col("pos") + F.col("length")).alias("end"))
+    ends = at_place(lines.select("doc_id", "tie", "at", "doc", "pos"), long_enough, F.col("pos"), "left")
+    return ends.withColumn("reach", F.max("end").over(in_text)).where("reach > pos").select("doc_id", "tie", "at")
 
 
 def with_removed(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

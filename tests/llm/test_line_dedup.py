@@ -71,9 +71,10 @@ def test_every_run(spark, make_docs, words):
 
 def test_lengths_over_many_rounds(spark, make_docs):
     rows = long_copies(random.Random(8))
-    lines = ld.line_rows(make_docs(rows))
+    lines = ld.placed(ld.line_rows(make_docs(rows)))
     assert len(ld.levels(lines)) >= 5
-    got = {(r.doc_id, r.no): r.length for r in ld.earlier_lengths(lines).collect()}
+    docs = {r.doc: r.doc_id for r in lines.collect()}
+    got = {(docs[r.doc], r.pos - r.doc): r.length for r in ld.earlier_lengths(lines).collect()}
     want = {(d, i): n for (d, _), lengths in plain_lengths(rows).items() for i, n in enumerate(lengths) if n}
     assert got == want and max(want.values()) > 20
 
