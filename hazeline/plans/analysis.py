@@ -97,17 +97,25 @@ def substitute(df: DataFrame, columns: Sequence[str] = ANALYSIS_COLUMNS) -> Data
     return compose.substitute_limits(df, limits)
 
 
+#: Orders of samplers in the study of the earlier years: "" stands for columns without a sampler in their name.
+EARLIER_SAMPLERS = {
+    "ion_samplers": ("spec", ""), "salt_samplers": ("", "spec", "dich"), "soil_samplers": ("", "dich", "spec"),
+    "organic_carbon": "ocec_spec_oc_b",
+}
+
+
 def reconstruction(
-    observations: DataFrame, om_factor: DataFrame, bad: Sequence[tuple] = BAD_OBSERVATIONS
+    observations: DataFrame, om_factor: DataFrame, bad: Sequence[tuple] = BAD_OBSERVATIONS, **samplers
 ) -> DataFrame:
     """Reconstructed components per city, station and date, with the row's null count.
 
-    Empty rows and known bad observations are left out. Persist it: every table below
-    starts here.
+    Empty rows and known bad observations are left out. ``samplers`` are orders of samplers as ``compose.reconstruct_mass`` takes
+    them, such as EARLIER_SAMPLERS. Persist it: every table below starts here.
     """
-    whole = add_missing(observations, ["spec_pm2_5", *ANALYSIS_COLUMNS])
+    needed = compose.columns_of(**samplers) if samplers else []
+    whole = add_missing(observations, ["spec_pm2_5", *ANALYSIS_COLUMNS, *needed])
     gases = compose.coalesce_gases(whole)
-    full = compose.reconstruct_mass(gases, om_factor)
+    full = compose.reconstruct_mass(gases, om_factor, **samplers)
     kept = full.select(
         "season", "city", "date", "month", "spec_pm2_5", "station",
         "ammonia_ic_spec_ammonia", "myso2", "myhno3", *COMPONENTS, "PBW_h", "PBW_molar", "total",
@@ -164,7 +172,18 @@ def study_tables(
     ratio = A.ratio_quantiles(
         labelled.where(F.col("period") == "after"), ["city", "month_text"], "OM", "EC", **quantile_options,
     )
-    early, late = oc.where(F.col("date") < split), oc.where(F.col("date") >= split)
+    carbon = summaries.with_period(oc, split).where(F.col("period").isNotNull())
+    early = F.col("period") == "before"
+
+    def by_period(before: str, later: str) -> Column:
+        return F.when(early, F.col(before)).otherwise(F.col(later))
+
+    blanks = summaries.blank_comparison(
+        carbon, by_period("ocec_spec_oc_r_a", "ocec_spec_oc_a"), by_period("ocec_spec_oc_r_b", "ocec_spec_oc_b"),
+        [by_period("fb_ocec_spec_poc_b", "fb_ocec_spec_oc_b"), by_period("fb_ocec_spec_oc_r", "fb_ocec_spec_poc_b")],
+        ["city", "period"],
+    )
+    blank_change = summaries.compare_long(blanks, ["city", "type"])
     return {
         "split_table": S.split_table(enough_data(spec), "city", "date", split),
         "mass_closure": compose.mass_closure(spec).agg(F.avg("diff").alias("mean_diff")),
@@ -180,14 +199,8 @@ def study_tables(
         "january_outliers": sigma_outliers(january, ["city"], "spec_pm2_5"),
         "monthly_change": monthly,
         "city_change": summaries.mean_difference(monthly, ["city"]),
-        "blank_before": summaries.blank_comparison(
-            early, F.col("ocec_spec_oc_r_a"), F.col("ocec_spec_oc_r_b"),
-            [F.col("fb_ocec_spec_poc_b"), F.col("fb_ocec_spec_oc_r")],
-        ),
-        "blank_after": summaries.blank_comparison(
-            late, F.col("ocec_spec_oc_a"), F.col("ocec_spec_oc_b"),
-            [F.col("fb_ocec_spec_oc_b"), F.col("fb_ocec_spec_poc_b")],
-        ),
+        "blank_before": blanks.where(early).drop("period"), "blank_after": blanks.where(~early).drop("period"),
+        "blank_change": blank_change, "blank_city_change": summaries.mean_difference(blank_change, ["city"]),
         "water_regression": simple_regression(after, [], "PBW_molar", "PBW_h"),
         "season_means": summaries.season_means(full),
         "season_shares": shares,

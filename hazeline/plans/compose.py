@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +53,20 @@ def _soil(sampler: str) -> Column:
     return total
 
 
+def columns_of(
+    ion_samplers: Sequence[str] = ("spec",), salt_samplers: Sequence[str] | None = None,
+    soil_samplers: Sequence[str] = ("dich", "spec"), organic_carbon: str = "ocec_spec_oc_corr",
+) -> list[str]:
+    """Names of the columns that a reconstruction with these orders of samplers reads."""
+    def glued(template: str, sampler: str, names: Iterable[str]) -> list[str]:
+        return [template.format(sampler=f"{sampler}_" if sampler else "", species=n) for n in names]
+
+    ions = [c for s in ion_samplers for c in glued(ION, s, ("nitrate", "sulphate", "ammonium"))]
+    salts = [c for s in salt_samplers or ion_samplers for c in glued(ION, s, ("sodium", "chloride"))]
+    soils = [c for s in soil_samplers for c in glued(METAL, s, SOIL_COEFFICIENTS)]
+    return [*ions, *salts, *soils, "ocec_spec_ec_a", "ocec_spec_ec_b", organic_carbon]
+
+
 def reconstruct_mass(
     df: DataFrame,
     om_factor: DataFrame,

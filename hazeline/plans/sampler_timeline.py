@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -44,16 +45,23 @@ def sampler_dictionary(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+#: Folder whose samplers the timeline leaves out: they are those of the fine sheets again.
+LEFT_OUT_FOLDER = "IntegratedPM2.5-10"
+
+
 def sampler_timeline(
     samplers: DataFrame, stations: DataFrame, exclusions: DataFrame,
     corrected_city: str | None = None, corrected_type: str = "PM", corrected_text: str = "",
 ) -> DataFrame:
     """Span of years by city, type and sampler, with the colour of the type.
 
-    ``samplers``: (station, year, sampler, type); ``stations``: (station, city);
-    ``exclusions``: (station, from_date, to_date). For one city the sampler text of one type
+    ``samplers``: (station, year, sampler, type) and the folder as dir, if known; ``stations``: (station, city), all others are left
+    out; ``exclusions``: (station, from_date, to_date). For one city the sampler text of one type
     can be overwritten.
     """
+    if "dir" in samplers.columns:
+        # as a filter on text reads it: rows without a folder go too
+        samplers = samplers.where(F.col("dir") != LEFT_OUT_FOLDER)
     spans = samplers.withColumns(
         {"start_year": year_start(F.col("year")), "end_year": year_end(F.col("year"))}
     )
@@ -68,3 +76,10 @@ def sampler_timeline(
     return coverage_span(placed, ["city", "type", "sampler"], "start_year", "end_year").withColumn(
         "colour", colour.otherwise(OTHER_COLOUR)
     )
+
+
+def figure_rows(timeline: DataFrame, kinds: Sequence[str], cities: Sequence[str] = ()) -> DataFrame:
+    """The timeline's rows of some types, and an otherwise empty row for each listed city that has none."""
+    shown = timeline.where(F.col("type").isin(*kinds))
+    listed = shown.sparkSession.createDataFrame([(c,) for c in cities], "city string")
+    return shown.unionByName(listed.join(shown.select("city").distinct(), "city", "left_anti"), allowMissingColumns=True)

@@ -135,14 +135,27 @@ def top_days_composition(
 
 
 def blank_comparison(
-    df: DataFrame, front: Column, back: Column, blanks: Sequence[Column], city: str = "city"
+    df: DataFrame, front: Column, back: Column, blanks: Sequence[Column], keys: Sequence[str] = ("city",)
 ) -> DataFrame:
-    """Mean carbon of front and back cartridge and of the summed blanks by city, long."""
+    """Mean carbon of front and back cartridge and of the summed blanks by key, long.
+
+    Columns that differ between periods are conditions of one pass, with the period among the keys.
+    """
     blank = blanks[0]
     for b in blanks[1:]:
         blank = blank + b
     names = ["mean_oc_cart_a", "mean_oc_cart_b", "passive_travel_field_blank"]
-    means = df.groupBy(city).agg(
+    means = df.groupBy(*keys).agg(
         *[F.avg(c).alias(n) for n, c in zip(names, (front, back, blank))]
     )
-    return gather(means, [city], names).where(F.col("val").isNotNull())
+    return gather(means, keys, names).where(F.col("val").isNotNull())
+
+
+def compare_long(long: DataFrame, keys: Sequence[str], value: str = "val") -> DataFrame:
+    """Value after and before by key, difference (after less before) and ratio, for keys with both; ``long`` has a row for each period."""
+    wide = long.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("period") == p, F.col(value))).alias(p) for p in ("after", "before")]
+    )
+    return wide.where(F.col("before").isNotNull() & F.col("after").isNotNull()).withColumns({
+        "diff": F.col("after") - F.col("before"), "ratio": F.try_divide("after", "before"),
+    })

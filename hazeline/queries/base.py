@@ -32,10 +32,11 @@ def r(column: Column | str, digits: int = 6) -> Column:
     than most of the queries themselves and differs in the last digit on near ties. A double of
     2^52 and more after scaling has no fraction to round and stays as it is.
     """
-    c = F.col(column) if isinstance(column, str) else column
-    scaled = c.cast("double") * F.lit(10.0**digits)
-    whole = F.when(scaled >= 0, F.floor(scaled + 0.5)).otherwise(F.ceil(scaled - 0.5))
-    return F.when(F.abs(scaled) < F.lit(2.0**52), whole / F.lit(10.0**digits)).otherwise(c.cast("double"))
+    c = (F.col(column) if isinstance(column, str) else column).cast("double")
+    scaled = c * F.lit(10.0**digits)
+    # adding zero turns a negative one around
+    whole = F.signum(scaled) * F.floor(F.abs(scaled) + 0.5) / F.lit(10.0**digits) + F.lit(0.0)
+    return F.when(F.abs(scaled) < F.lit(2.0**52), whole).otherwise(c)
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:

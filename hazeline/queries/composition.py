@@ -195,14 +195,39 @@ def dom_blank_comparison(spark, sf):
         F.col("l_tax").alias("c"),
         F.expr("case when l_suppkey % 2 = 0 then null else l_discount end").alias("d"),
     )
-    cut = F.lit("1998-07-01").cast("date")
-    args = (F.col("a"), F.col("b"), [F.col("c"), F.col("d")])
-    before = summaries.blank_comparison(df.where(F.col("date") < cut), *args)
-    after = summaries.blank_comparison(df.where(F.col("date") >= cut), *args)
-    both = before.withColumn("period", F.lit("before")).unionByName(
-        after.withColumn("period", F.lit("after"))
+    return rounded(blank_means(df), 6, "val")
+
+
+def blank_means(df):
+    dated = summaries.with_period(df, F.lit("1998-07-01").cast("date"))
+    return summaries.blank_comparison(dated, F.col("a"), F.col("b"), [F.col("c"), F.col("d")], ["city", "period"])
+
+
+@query(
+    "dom_blank_change",
+    """
+    with t as (select l_returnflag || l_linestatus as city, l_shipdate < timestamp '1998-07-01' as early,
+        case when l_shipdate < timestamp '1998-07-01' then l_quantity else l_quantity + 1 end as a,
+        case when l_partkey % 5 = 0 then null else l_discount end as b, l_tax as c, l_discount + l_tax as d from lineitem),
+    m as (select city, early, avg(a) as a, avg(b) as b, avg(c + d) as c from t group by all),
+    u as (select city, early, unnest(['mean_oc_cart_a', 'mean_oc_cart_b', 'passive_travel_field_blank']) as type, unnest([a, b, c]) as v from m),
+    w as (select city, type, max(v) filter (not early) as after, max(v) filter (early) as before from u group by all)
+    select city, type, round(after, 6) as after, round(before, 6) as before, round(after - before, 8) as diff, round(after / before, 8) as ratio,
+      round(avg(after - before) over (partition by city), 8) as mean_diff from w where after is not null and before is not null
+    """,
+)
+def dom_blank_change(spark, sf):
+    """Carbon of cartridges and blanks before and after, by city and type, in one pass."""
+    early = F.col("l_shipdate") < F.lit("1998-07-01")
+    df = table(spark, sf, "lineitem").select(
+        F.concat("l_returnflag", "l_linestatus").alias("city"), F.to_date("l_shipdate").alias("date"),
+        F.when(early, F.col("l_quantity")).otherwise(F.col("l_quantity") + 1).alias("a"),
+        F.expr("case when l_partkey % 5 = 0 then null else l_discount end").alias("b"),
+        F.col("l_tax").alias("c"), (F.col("l_discount") + F.col("l_tax")).alias("d"),
     )
-    return rounded(both, 6, "val")
+    change = summaries.compare_long(blank_means(df), ["city", "type"])
+    both = change.join(summaries.mean_difference(change, ["city"]), "city")
+    return rounded(rounded(both, 6, "after", "before"), 8, "diff", "ratio", "mean_diff")
 
 
 @query(

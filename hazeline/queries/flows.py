@@ -119,7 +119,8 @@ def pipe_harmonise(spark, sf):
         F.to_date("o_orderdate").alias("date"),
         F.expr("case o_orderpriority when '1-URGENT' then 'C' else 'F' end").alias("fraction"),
         (F.col("o_orderpriority") == "5-LOW").alias("is_blank"),
-        F.lit("PM2.5").alias("file_type"),
+        # from a column, as in the files, so that the join with the short names has a key
+        F.when(F.col("o_orderkey").isNotNull(), "PM2.5").alias("file_type"),
         F.col("o_totalprice").alias("spec_mass"),
         F.expr("case when o_orderkey % 3 = 0 then null else o_totalprice / 7 end").alias("spec_ion"),
     )

@@ -9,6 +9,7 @@ from hazeline.sources import lines as L
 from hazeline.fixed_values import HOUR_COLUMNS
 from hazeline.queries.aggregates import hour_wide
 from hazeline.sources.hourly import checked_hourly, ragged_cells, read_hourly
+from hazeline.sources.lookups import read_lookup, read_stations
 from hazeline.sources.stages import read_stage, stage_path, write_stage, write_table_csv
 from hazeline.queries.base import query, r, table, text_date
 
@@ -201,6 +202,47 @@ def sink_csv_roundtrip(spark, sf):
     )
 
 
+@query(
+    "src_station_table",
+    """
+    select c_custkey % 1000000 as naps, 'S' || c_custkey as station, c_name as station_name, nullif(c_mktsegment, 'BUILDING') as city,
+      cast(c_nationkey + 0.5 as double) as latitude, -c_acctbal as longitude, case when c_custkey % 4 = 0 then c_custkey + 1 end as combined_stations
+    from customer
+    """,
+)
+def src_station_table(spark, sf):
+    """The customers as a station table in CSV, with the flag columns of pollutants, through the station reader."""
+    customers = table(spark, sf, "customer")
+    written = customers.select(
+        F.col("c_custkey").alias("NAPS"), F.col("c_name").alias("Station Name"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "-").otherwise(F.col("c_mktsegment")).alias("City"),
+        (F.col("c_nationkey") + 0.5).alias("Latitude"), (-F.col("c_acctbal")).alias("Longitude"),
+        F.lit("Y").alias("SO2"), F.lit("N").alias("NO2"), F.lit("Y").alias("PAH"),
+        F.when(F.col("c_custkey") % 4 == 0, F.col("c_custkey") + 1).alias("Combined Stations"),
+    )
+    path = stage_path(spark, "stations-csv")
+    write_table_csv(written, path)
+    read = read_stations(spark, path)
+    return read.select(
+        F.col("naps").cast("long").alias("naps"), "station", "station_name", "city", "latitude", "longitude",
+        F.col("combined_stations").cast("long").alias("combined_stations"),
+    )
+
+
+@query(
+    "src_lookup_table",
+    """
+    select o_orderpriority as station, cast(count(*) as integer) as n_published from orders group by all
+    """,
+)
+def src_lookup_table(spark, sf):
+    """Counts by priority written as a table of published counts and read under its schema."""
+    counts = table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("station")).agg(F.count(F.lit(1)).alias("n_published"))
+    path = stage_path(spark, "published-csv")
+    write_table_csv(counts, path)
+    return read_lookup(spark, "published_counts", path)
+
+
 KINDS = {"click": "O3", "error": "SO2", "purchase": "NO2", "signup": "CO", "view": "NO"}
 HOURLY_SQL = (
     "with h as (select case event_type "

@@ -13,7 +13,7 @@ from hazeline.operators.joins import literal_table
 from hazeline.operators.split_date import best_split, candidate_dates, split_scores
 from hazeline.plans import analysis, compose
 from hazeline.plans.daily_stations import radius_study
-from hazeline.plans.sampler_timeline import sampler_timeline
+from hazeline.plans.sampler_timeline import figure_rows, sampler_timeline
 
 STATIONS = [("S60211", "Windsor"), ("S60427", "Toronto"), ("S60439", "Toronto"), ("S90132", "Edmonton")]
 FINE = [c for c in ANALYSIS_COLUMNS if not c.startswith("fb_")]
@@ -176,6 +176,48 @@ def test_radius_study(spark):
     assert out["coverage"].first().start == d
 
 
+def test_blank_change_is_after_less_before(study):
+    observations, spec = study
+    tables = analysis.study_tables(spec, observations, F.lit("2010-01-01").cast("date"))
+    sides = {s: {(r.city, r.type): r.val for r in tables[f"blank_{s}"].collect()} for s in ("before", "after")}
+    got = {(r.city, r.type): r for r in tables["blank_change"].collect()}
+    assert got and set(got) == set(sides["before"]) & set(sides["after"])
+    for key, r in got.items():
+        assert r["diff"] == pytest.approx(sides["after"][key] - sides["before"][key])
+        assert r.ratio == pytest.approx(sides["after"][key] / sides["before"][key])
+    means = {r.city: r.mean_diff for r in tables["blank_city_change"].collect()}
+    assert means["Windsor"] == pytest.approx(sum(r["diff"] for k, r in got.items() if k[0] == "Windsor") / 3)
+
+
+def test_reconstruction_with_the_earlier_orders(spark):
+    day = date(2005, 4, 1)
+    values = {
+        "ions_ic_tf_nitrate": 1.0, "ions_ic_tf_sulphate": 2.0, "ions_ic_tf_ammonium": 3.0, "ions_ic_dich_tf_sodium": 0.5,
+        "ions_ic_dich_tf_chloride": 0.25, "ocec_spec_ec_a": 1.0, "ocec_spec_oc_b": 4.0,
+        **{f"edxrf_dich_{c}": 1.0 for c in ("silicon_si", "calcium_ca", "iron_fe", "potassium_k", "titanium_ti")},
+    }
+    df = spark.createDataFrame([("S1", "Windsor", day, 4, *values.values())], "station string, city string, date date, month int, "
+                               + ", ".join(f"{c} double" for c in values))
+    factors = literal_table(spark, "season string, city string, correction_factor double", [("spring", "Windsor", 1.5)])
+    row = analysis.reconstruction(df, factors, **analysis.EARLIER_SAMPLERS).first()
+    assert (row.ANO3, row.NaCl, row.OM, row.EC) == (1.29, 0.75, 6.0, 1.0)
+    assert row.SOIL == pytest.approx(3.48 + 1.63 + 1.63 + 1.41 + 1.94) and row.total is not None
+    assert analysis.reconstruction(df, factors).first().ANO3 is None
+
+
+def test_timeline_leaves_a_folder_out_and_shows_empty_cities(spark):
+    samplers = spark.createDataFrame(
+        [("S1", 2012, "a", "Spec", "Integrated"), ("S1", 2012, "b", "Dichot", "IntegratedPM2.5-10"), ("S9", 2012, "c", "Spec", "Integrated")],
+        "station string, year int, sampler string, type string, dir string",
+    )
+    stations = spark.createDataFrame([("S1", "Halifax")], "station string, city string")
+    none = literal_table(spark, "station string, from_date date, to_date date", [("S2", "2008-01-01", "2008-12-31")])
+    timeline = sampler_timeline(samplers, stations, none)
+    assert [(r.city, r.sampler) for r in timeline.collect()] == [("Halifax", "a")]
+    shown = figure_rows(timeline, ["Dichot", "Spec"], ["Canterbury", "Halifax"])
+    assert sorted((r.city, r.sampler) for r in shown.collect()) == [("Canterbury", None), ("Halifax", "a")]
+
+
 def test_sampler_timeline(spark):
     samplers = spark.createDataFrame(
         [("S1", 2003, "a", "Spec"), ("S1", 2005, "a", "Spec"), ("S2", 2008, "b", "PM"), ("S2", 2009, "b", "PM"), ("S2", 2010, "c", "Dichot")],
