@@ -151,7 +151,7 @@ def proj_value_limit_pairs(spark, sf):
         spark, "old_name string, new_name string, mdl_name string, file_type string",
         [("quantity", "amount", "amount_mdl", "PM2.5"), ("other", "x", "x_mdl", "PM2.5")],
     )
-    routed = C.route_pairs(long, scheme, "dich")
+    routed = C.route_pairs(long, scheme, "dich").drop("species")
     return routed.withColumns({"value": r("value", 4), "mdl": r("mdl", 4)})
 
 
