@@ -47,11 +47,17 @@ def line_rows(docs: DataFrame) -> DataFrame:
         F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("at"), line.alias("line"))),
         lambda x: F.length(F.trim(x["line"], F.lit(BLANK))) > 0,
     )
-    words = F.array_remove(F.split(F.translate("x.line", BLANK, " " * len(BLANK)), " "), "")
+    line = F.col("x.line")
+    # single spaces between words, as nearly always, are counted; anything else is cut up
+    odd = line.startswith(" ") | line.endswith(" ")
+    for mark in ("  ", *BLANK[1:]):
+        odd = odd | line.contains(mark)
+    cut = F.size(F.array_remove(F.split(F.translate(line, BLANK, " " * len(BLANK)), " "), ""))
+    words = F.when(odd, cut).otherwise(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1)
     return (
         docs.select("doc_id", F.xxhash64("text").alias("tie"), F.posexplode(lines).alias("no", "x"))
         .select(
-            "doc_id", "tie", "no", F.col("x.at").alias("at"), F.size(words).cast("long").alias("words"), name_of("x.line").alias("name"),
+            "doc_id", "tie", "no", F.col("x.at").alias("at"), words.cast("long").alias("words"), name_of("x.line").alias("name"),
         )
     )
 
