@@ -21,9 +21,8 @@ from hazeline.sources.stages import staged
 
 #: Bits of the image that each pass adds.
 PASSES = (24, 20, 20)
-#: Exponents of normal doubles, and every 32nd power of two from 2^-1024 on.
+#: Exponents of normal doubles.
 LEAST, MOST = -1022, 1023
-COARSE_POWERS = tuple(2.0**e for e in range(-1024, MOST + 1, 32))
 
 
 def double_image(value: Column) -> Column:
@@ -33,12 +32,10 @@ def double_image(value: Column) -> Column:
     the logarithm rounds to the neighbour.
     """
     size = F.abs(value)
-    coarse = F.lit(list(COARSE_POWERS))
 
     def power(e: Column) -> Column:
-        place = (e + 1024).cast("int")
-        fine = F.call_function("shiftleft", F.lit(1).cast("long"), place % 32).cast("double")
-        return F.get(coarse, F.shiftright(place, 5)) * fine
+        # exact: Java's pow gives the very number where both arguments are whole and it can be represented
+        return F.pow(F.lit(2.0), e)
 
     near = F.least(F.greatest(F.floor(F.log2(size)), F.lit(LEAST)), F.lit(MOST))
     up = ((size / 2) >= power(near)).cast("long")
