@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from hazeline.fixed_values import EARTH_RADIUS_KM
 from hazeline.functions.numeric import haversine_km
 from hazeline.operators.sizes import broadcast_if_small
+from hazeline.sources.stages import staged
 
 
 def null_safe_join(
@@ -212,16 +213,52 @@ def within_radius(
     ).where(F.col(out) < km)
 
 
+#: Rows that a block of a cell holds of either side, about, and pairs that a task meets.
+BLOCK, TASK_PAIRS = 1000, 16_000_000
+
+
+def _meet_in_blocks(left: DataFrame, right: DataFrame, cell: Sequence[str], near: Column) -> DataFrame:
+    """The pairs of rows with the same cell for which ``near`` holds, cells of any size.
+
+    A cell's rows are cut into blocks on both sides, and every block of one side meets every block of the other under a key of its own. A row
+    is copied once for each block of the other side, so the copies are fewer than the pairs by the size of a block. The number of
+    tasks follows from the number of pairs: the rows alone, few beside them, would be put together into one task.
+    """
+    # written: a row keeps its number, and so its block
+    sides = {
+        name: staged(df.withColumn("__n", F.monotonically_increasing_id()), "cell-rows") for name, df in (("__a", left), ("__b", right))
+    }
+    sizes = [df.groupBy(*cell).agg(F.count(F.lit(1)).alias(f"{name}_rows")) for name, df in sides.items()]
+    cells = staged(sizes[0].join(sizes[1], list(cell)), "cell-sizes")
+    pairs = cells.agg(F.sum(F.col("__a_rows").cast("double") * F.col("__b_rows"))).first()[0] or 0
+    tasks = math.ceil(pairs / TASK_PAIRS)
+
+    def spread(mine: str, other: str) -> DataFrame:
+        blocks = {name: F.ceil(F.col(f"{name}_rows") / BLOCK) for name in (mine, other)}
+        copies = (
+            sides[mine].join(cells, list(cell)).withColumn(mine, F.pmod(F.xxhash64("__n"), blocks[mine]))
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), blocks[other] - 1)))
+            .drop("__n", "__a_rows", "__b_rows")
+        )
+        return copies.repartition(tasks, *cell, "__a", "__b") if tasks > 1 else copies
+
+    # the blocks are far more rows than the tables Spark knows, so no broadcast
+    met = spread("__a", "__b").join(spread("__b", "__a").hint("merge"), [*cell, "__a", "__b"]).where(near)
+    return met.drop(*cell, "__a", "__b")
+
+
 def near_centres(
     points: DataFrame, centres: DataFrame, km: float, lat: str = "latitude", lon: str = "longitude", out: str = "distance_km",
 ) -> DataFrame:
     """Every pair of a point and a centre nearer than ``km``, with the distance; both tables may be of any size.
 
     The globe is cut into rows of latitude as high as the radius, and each row into cells as wide as the radius reaches there. A point
-    lies in one cell, a centre looks into its own and the neighbouring ones, and the two meet by an equality join.
+    lies in one cell, a centre looks into its own and the neighbouring ones, and the two meet by an equality join, in blocks where a
+    cell is full. Pairs whose straight distance is too long go before the distance on the globe is worked out.
     Centres' coordinates are named ``centre_latitude`` and ``centre_longitude``.
     """
     step = km / (math.pi * EARTH_RADIUS_KM / 180) * 1.0001
+    half_chord = math.sin(min(km / (2 * EARTH_RADIUS_KM), math.pi / 2))
 
     def row_of(latitude: Column) -> Column:
         return F.floor(latitude / step).cast("long")
@@ -229,7 +266,7 @@ def near_centres(
     def cells_in(row: Column) -> Column:
         """Number of cells of a row: the widest difference of longitude within the radius of any of its points fits into one."""
         edge = F.least(F.greatest(F.abs((row - 1) * step), F.abs((row + 2) * step)), F.lit(90.0))
-        reach = F.lit(math.sin(min(km / (2 * EARTH_RADIUS_KM), math.pi / 2))) / F.cos(F.radians(edge))
+        reach = F.lit(half_chord) / F.cos(F.radians(edge))
         width = F.when(reach < 1, F.degrees(F.asin(reach)) * 2.0002).otherwise(F.lit(360.0))
         return F.greatest(F.floor(F.lit(360.0) / width), F.lit(1)).cast("long")
 
@@ -237,20 +274,28 @@ def near_centres(
         turned = F.pmod(longitude + 180, F.lit(360.0))
         return F.least(F.floor(turned / 360 * count).cast("long"), count - 1)
 
+    def in_space(side: str, latitude: str, longitude: str) -> dict[str, Column]:
+        """The place on a globe of radius 1."""
+        phi, theta = F.radians(latitude), F.radians(longitude)
+        return {f"{side}x": F.cos(phi) * F.cos(theta), f"{side}y": F.cos(phi) * F.sin(theta), f"{side}z": F.sin(phi)}
+
     placed = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumn("__row", row_of(F.col(lat)))
-    placed = placed.withColumn("__cell", cell_of(F.col(lon), cells_in(F.col("__row"))))
+    placed = placed.withColumn("__cell", cell_of(F.col(lon), cells_in(F.col("__row")))).withColumns(in_space("__p", lat, lon))
     mine = row_of(F.col("centre_latitude"))
     looking = (
         centres.where("centre_latitude IS NOT NULL AND centre_longitude IS NOT NULL")
+        .withColumns(in_space("__c", "centre_latitude", "centre_longitude"))
         .withColumn("__row", F.explode(F.array(mine - 1, mine, mine + 1))).withColumn("__count", cells_in(F.col("__row")))
         .withColumn("__at", cell_of(F.col("centre_longitude"), F.col("__count")))
     )
     around = F.array_distinct(F.transform(F.array(*[F.col("__at") + i for i in (-1, 0, 1)]), lambda c: F.pmod(c, F.col("__count"))))
     looking = looking.withColumn("__cell", F.explode(around)).drop("__count", "__at")
-    met = placed.join(looking, ["__row", "__cell"]).withColumn(
-        out, haversine_km(F.col(lat), F.col(lon), F.col("centre_latitude"), F.col("centre_longitude"))
-    )
-    return met.where(F.col(out) < km).drop("__row", "__cell")
+    apart = [F.col(f"__p{axis}") - F.col(f"__c{axis}") for axis in "xyz"]
+    # a little longer than the chord of the radius: the distance itself decides
+    chord = 2 * half_chord * 1.000001 + 1e-12
+    met = _meet_in_blocks(placed, looking, ["__row", "__cell"], reduce(lambda a, b: a + b, [d * d for d in apart]) <= chord * chord)
+    distance = haversine_km(F.col(lat), F.col(lon), F.col("centre_latitude"), F.col("centre_longitude"))
+    return met.withColumn(out, distance).where(F.col(out) < km).drop(*[f"__{side}{axis}" for side in "pc" for axis in "xyz"])
 
 
 def compare_with_reference(

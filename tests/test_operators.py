@@ -321,6 +321,20 @@ def test_many_centres_near_poles_and_the_date_line(spark):
         assert got == [(i, j) for i, a in enumerate(places) for j, b in enumerate(places[::3]) if km(a, b) < radius]
 
 
+def test_a_full_cell_is_met_in_blocks_by_many_tasks(spark, monkeypatch):
+    """All points and centres in one cell, equal rows among them: the pairs are whole, and no task makes more than a part of them."""
+    monkeypatch.setattr(J, "BLOCK", 50, raising=False)
+    monkeypatch.setattr(J, "TASK_PAIRS", 5000, raising=False)
+    points = spark.range(600).selectExpr("id % 300 as p", "50.0D as latitude", "8.0D + id % 3 * 0.01D as longitude")
+    centres = spark.range(400).selectExpr("id as c", "50.0D as centre_latitude", "8.0D as centre_longitude")
+    met = J.near_centres(points, centres, 1.0)  # 0.01 degrees are 0.7 km, 0.02 degrees 1.4 km
+    assert met.columns == ["p", "latitude", "longitude", "c", "centre_latitude", "centre_longitude", "distance_km"]
+    pairs = met.groupBy("p", "c").count().agg(F.count(F.lit(1)), F.min("count"), F.max("count")).first()
+    assert tuple(pairs) == (200 * 400, 2, 2)
+    by_task = met.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert by_task <= 400 * 400 / 4
+
+
 def test_exclusion_ranges_of_all_kinds(spark):
     rng = random.Random(9)
     day = lambda: rng.choice([None, date(2010, 1, 1) + timedelta(days=rng.randrange(2000))])
