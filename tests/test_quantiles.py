@@ -1,3 +1,4 @@
+import math
 import random
 import struct
 
@@ -5,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hazeline.operators import quantiles
 from hazeline.operators.aggregates import box_stats, global_bounds, median_iqr
 from hazeline.operators.quantiles import PASSES, double_image, exact_quantiles, first_counts, holding, next_counts, wanted_ranks
 
@@ -99,3 +101,30 @@ def test_clustered_values(spark):
     assert held.count() <= 2 * 2 * len(PROBS)
     second = next_counts(images, ["k"], held, PASSES[0], sum(PASSES[:2]))
     assert second.groupBy("k").count().agg(F.max("count")).first()[0] < 50_000
+
+
+def test_values_settled_by_their_leading_bits_need_no_later_pass(spark, monkeypatch):
+    """Few different values are known after the first pass; the last one joins with an empty table. Another group may go on alone."""
+    passes = []
+    monkeypatch.setattr(quantiles, "next_counts", lambda *args: passes.append(args) or next_counts(*args))
+    few = spark.range(20_000).selectExpr("id % 2 as k", "cast(id * id % 50 as double) as v")
+    odd = [(7, float("nan")), (7, 1.0), (7, -0.0), (7, 0.0), (8, float("nan")), (9, None)]
+    few = few.unionByName(spark.createDataFrame(odd, "k long, v double"))
+
+    def check(df):
+        got = {r.k: r for r in exact_quantiles(df, ["k"], "v", PROBS, NAMES).collect()}
+        for k, values in df.where("k < 7").toPandas().groupby("k")["v"]:
+            assert [got[k][name] for name in NAMES] == pytest.approx([np.quantile(values, p) for p in PROBS], rel=1e-15)
+        assert got[7].n == 4 and got[7].b == 0.0 and got[7].c == 0.5 and math.isnan(got[8].c)
+        assert got[9].n == 0 and got[9].c is None
+
+    check(few)
+    assert len(passes) == 1
+    check(few.unionByName(spark.range(10_000).selectExpr("2L as k", "1e6 + id * 1e-9 as v")))
+    assert len(passes) == 3
+
+
+def test_an_image_is_worked_out_once_for_each_row(spark):
+    df = spark.range(5000).selectExpr("id % 3 as k", "1e6 + id * 1e-9 as v")
+    text = exact_quantiles(df, ["k"], "v", (0.5,), ("m",))._jdf.queryExecution().executedPlan().toString()
+    assert text.upper().count("LOG2(") == 1
