@@ -1,10 +1,11 @@
 """Exact quantiles (linear interpolation between order statistics) by group, by radix selection.
 
 Every value has an image: a whole number of 64 bits that sorts like it. A pass counts values by group and the leading bits of their images,
-combined before the shuffle; a running sum over these counts tells which few of them hold a wanted rank. Where all values with such leading bits are
-equal, the rank is settled. The next pass looks only at values with the other ones and counts them by more bits; after the last pass all
-bits are known. The number of passes is fixed, passes without open bits read no rows, a count of one pass and group has at most two to the bits of the pass as many rows for each wanted rank, and clustered values cost nothing more: they share leading
-bits and part in a later pass. So no task sees a group's values, whatever the group's size, and the same steps run at every size.
+combined before the shuffle; a running sum over these counts tells which few of them hold a wanted rank. Where all values with such leading
+bits are equal, the rank is settled. The next pass looks only at values with the other ones and counts them by more bits; after the last pass
+all bits are known. The number of passes is bounded, a count of one pass and group has at most two to the bits of the pass as many rows for
+each wanted rank, and clustered values cost nothing more: they share leading bits and part in a later pass. So no task sees a group's values,
+whatever the group's size, and the same steps run at every size.
 """
 
 from __future__ import annotations

@@ -40,14 +40,14 @@ ORDER_BITS = {"source_priority": 8, "file_no": 63, "row_no": 55}
 def integrated_long(grids: G.Grids, samplers: DataFrame | None, fraction: str) -> DataFrame:
     """2010+ sheets: sampler and medium in the names, blanks by sample type."""
     named = G.with_sheet_names(grids, samplers)
-    rows = G.observations(named, "sampling_date", True, ["file_no", "station", "sheet"])
+    rows = G.observations(named, "sampling_date", True, ["file_no", "station", "sheet"], SKIP)
     return G.measures_long(
         rows.select(
             *ORDER, "station", "date", F.lit(fraction).alias("fraction"),
             any_of(F.col("blank_code"), BLANK_CODES).alias("is_blank"),
-            F.col("sheet").alias("file_type"), "names", "cells",
+            F.col("sheet").alias("file_type"), "measured", "cells",
         ),
-        [*ORDER, *LONG[:5]], SKIP,
+        [*ORDER, *LONG[:5]],
     )
 
 
@@ -78,7 +78,7 @@ def speciation_long(grids: G.Grids, header_dict: DataFrame) -> DataFrame:
 
     ``header_dict``: (file_type, old_name, new_name, new_file_type).
     """
-    rows = G.observations(G.with_sheet_names(grids), "date", False, ["file_no", "station", "file_type"])
+    rows = G.observations(G.with_sheet_names(grids), "date", False, ["file_no", "station", "file_type"], SKIP, ["x0"])
     media = F.when((F.col("file_type") == "NA") & (F.col("media") == "y"), "C").otherwise(F.col("media"))
     # ICPMS rows need a fraction; WICPMS only where the file has one; others are fine.
     fraction = (
@@ -92,12 +92,12 @@ def speciation_long(grids: G.Grids, header_dict: DataFrame) -> DataFrame:
         {
             "media": media,
             "fraction": fraction,
-            "cart": F.when(_in_files(CARTRIDGE_IN_X0), G.cell_named("x0")).otherwise(F.col("cart")),
+            "cart": F.when(_in_files(CARTRIDGE_IN_X0), F.col("x0")).otherwise(F.col("cart")),
             "is_blank": any_of(F.col("blank_code"), BLANK_CODES),
         }
     ).where(F.col("fraction").isin("F", "C"))
     keep = [*ORDER, "station", "date", "fraction", "is_blank", "file_type", "cart", "media"]
-    long = _fixed_columns(G.measures_long(cells, keep, SKIP))
+    long = _fixed_columns(G.measures_long(cells, keep))
     name = F.col("col_name")
     glued = (
         F.when(
@@ -146,27 +146,27 @@ def mass_file_long(grids: G.Grids, scheme: DataFrame, sampler: str, fractions: S
 
     Dichotomous files keep the first row of a station, date and fraction.
     """
-    rows = G.observations(G.with_sheet_names(grids), "date", False, ["file_no", "station"]).where(
+    rows = G.observations(G.with_sheet_names(grids), "date", False, ["file_no", "station"], more=["mass"]).where(
         F.col("c_f").isin(*fractions)
     )
     if sampler == "dich":
         rows = keep_first(rows, ["station", "date", "c_f"], ORDER)
     keep = [*ORDER, "station", "date", "fraction", "is_blank"]
     keyed = rows.select(
-        *ORDER, "station", "date", F.col("c_f").alias("fraction"), F.lit(False).alias("is_blank"), "names", "cells",
+        *ORDER, "station", "date", F.col("c_f").alias("fraction"), F.lit(False).alias("is_blank"), "names", "cells", "mass",
     )
-    mass = {f: F.col("fraction") == f for f in fractions}
+    hits = {f: F.col("fraction") == f for f in fractions}
 
     def by_fraction(values: dict[str, str]):
         result = F
-        for f, hit in mass.items():
+        for f, hit in hits.items():
             result = result.when(hit, values[f])
         return result
 
     # the mass goes along with the pairs, under its own table and name
     entries = F.concat(
         F.array(F.struct(
-            F.lit(None).cast("string").alias("species"), G.to_double(G.cell_named("mass")).alias("value"),
+            F.lit(None).cast("string").alias("species"), G.to_double(F.col("mass")).alias("value"),
             F.lit(None).cast("double").alias("mdl"),
         )),
         F.coalesce(G.pair_entries(), F.array()),

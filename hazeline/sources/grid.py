@@ -34,7 +34,12 @@ CellCutter = Callable[[Column], Column]
 
 def comma_cells(line: Column) -> Column:
     """Cells of a line: quotes gone, missing-value tokens null."""
-    return F.transform(F.split(strip_quotes(line), ","), lambda cell: na_to_null(cell))
+    return F.transform(plain_cells(line), lambda cell: na_to_null(cell))
+
+
+def plain_cells(line: Column) -> Column:
+    """Cells of a line as they stand, but for quotes: for rows of which only some cells are looked at, each by ``na_to_null``."""
+    return F.split(strip_quotes(line), ",")
 
 
 def _first_cell(line: Column, cells: CellCutter) -> Column:
@@ -76,8 +81,11 @@ class Grids:
         return replace(self, files=files(self.files))
 
     def rows(self, *keep: str) -> DataFrame:
-        """Every line of the chosen files: path, block, at, line, row_no and columns of the file table."""
-        spread = self.splits.select(*L.SPLIT, "shift").join(self.files.select("path", *keep), "path")
+        """Every line of the chosen files: path, block, at, line, row_no and columns of the file table.
+
+        What lines meet is written, one row for each split: by its true size Spark sends it to the lines, and never the lines to it.
+        """
+        spread = staged(self.splits.select(*L.SPLIT, "shift").join(self.files.select("path", *keep), "path"), "file-splits")
         return self.lines.join(spread, L.SPLIT).withColumn("row_no", F.col("at") + F.col("shift")).drop("shift")
 
 
@@ -148,11 +156,15 @@ def unique_names(names: Column) -> Column:
     return F.transform(names, numbered)
 
 
-def body_rows(grids: Grids, keep: Sequence[str], cells: CellCutter = comma_cells) -> DataFrame:
-    """Kept columns, row_no and cells of each row below the header that is not empty."""
+def _below_header(grids: Grids, keep: Sequence[str], cells: CellCutter) -> DataFrame:
     headed = grids.where(F.col("header_row") > 0)
     below = headed.rows("header_row", *[c for c in keep if c != "path"]).where(F.col("row_no") > F.col("header_row"))
-    return below.select(*keep, "row_no", cells(F.col("line")).alias("cells")).where(F.exists("cells", lambda c: c.isNotNull()))
+    return below.select(*keep, "row_no", cells(F.col("line")).alias("cells"))
+
+
+def body_rows(grids: Grids, keep: Sequence[str], cells: CellCutter = comma_cells) -> DataFrame:
+    """Kept columns, row_no and cells of each row below the header that is not empty."""
+    return _below_header(grids, keep, cells).where(F.exists("cells", lambda c: c.isNotNull()))
 
 
 def cells_long(grids: Grids, cells: CellCutter = comma_cells, optional: Column | None = None) -> DataFrame:
@@ -246,42 +258,35 @@ def with_sheet_names(grids: Grids, samplers: DataFrame | None = None) -> Grids:
     return replace(grids, files=staged(named, "sheet-names"))
 
 
-def cell_named(name: str, names: str = "names", cells: str = "cells") -> Column:
-    """The cell of a data row under a given name; null if the sheet has no such column."""
-    at = F.array_position(F.col(names), name).cast("int")
-    return F.when(at > 0, F.get(F.col(cells), at - 1))
+def observations(grids: Grids, date_column: str, serial: bool, keep: Sequence[str], skip: str = "$^", more: Sequence[str] = ()) -> DataFrame:
+    """Data rows with date, discriminators and ``more`` named cells as columns, and the cells still together, as they stand.
 
+    Adds ``blank_code``: the cell of the first discriminator column that the sheet has; and ``measured``: the names that do not match
+    ``skip``, null for the others, worked out once for each file. Rows without any cell are still there: they have no measures.
+    """
+    place = {c: F.nullif(F.array_position("names", c).cast("int"), F.lit(0)) - 1 for c in (date_column, *DISCRIMINATORS, *more)}
+    single = {c: place[c] for c in (*DISCRIMINATORS, *more)}
+    at = {"date": place[date_column], "blank_code": F.coalesce(*[place[c] for c in DISCRIMINATORS[:5]]), **single}
+    # worked out once for each file, so that little code runs for each row
+    known = {f"at_{name}": column for name, column in at.items()}
+    named = replace(grids, files=grids.files.withColumns(
+        {**known, "measured": F.transform("names", lambda n: F.when(~n.rlike(skip), n))}
+    ))
+    body = _below_header(named, [*keep, "names", "measured", *known], plain_cells)
+    cell = {name: na_to_null(F.get("cells", F.col(f"at_{name}"))) for name in at}
+    date = serial_date(cell["date"]) if serial else parse_date(cell["date"], ("yyyy-MM-dd", "yyyyMMdd"))
+    return body.withColumns({**cell, "date": date}).drop(*known)
 
-def observations(grids: Grids, date_column: str, serial: bool, keep: Sequence[str]) -> DataFrame:
-    """Data rows with date and discriminators as columns, and the cells still together.
 
-    Adds ``blank_code``: the cell of the first discriminator column that the sheet has.
-    """
-    body = body_rows(grids, [*keep, "names"])
-    cell = cell_named(date_column)
-    date = serial_date(cell) if serial else parse_date(cell, ("yyyy-MM-dd", "yyyyMMdd"))
-    code = F
-    for c in DISCRIMINATORS[:5]:
-        code = code.when(F.array_contains("names", c), cell_named(c))
-    return body.withColumns(
-        {
-            "date": date,
-            "blank_code": code,
-            **{c: cell_named(c) for c in DISCRIMINATORS},
-        }
-    )
+def _number(cell: Column) -> Column:
+    return to_double(na_to_null(cell))
 
 
-def measures_long(df: DataFrame, keep: Sequence[str], skip: str) -> DataFrame:
-    """(keep..., col_name, value): the numeric cells; names matching ``skip`` are left out."""
-    zipped = F.zip_with(
-        F.col("names"), F.col("cells"),
-        lambda n, c: F.struct(n.alias("col_name"), to_double(c).alias("value")),
-    )
-    wanted = F.filter(
-        zipped, lambda s: s["value"].isNotNull() & ~s["col_name"].rlike(skip)
-    )
-    return df.select(*keep, F.inline(wanted))
+def measures_long(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """(keep..., col_name, value): the numeric cells under the measured names."""
+    cells = df.select(*keep, F.inline(F.arrays_zip(F.col("measured").alias("col_name"), F.col("cells").alias("cell"))))
+    numbers = cells.where(F.col("col_name").isNotNull() & F.col("cell").isNotNull())
+    return numbers.select(*keep, "col_name", _number(F.col("cell")).alias("value")).where(F.col("value").isNotNull())
 
 
 def pair_entries(mass: str = "mass") -> Column:
@@ -295,8 +300,8 @@ def pair_entries(mass: str = "mass") -> Column:
         steps,
         lambda i: F.struct(
             F.get(names, start + 2 * i).alias("species"),
-            to_double(F.get(cells, start + 2 * i)).alias("value"),
-            to_double(F.get(cells, start + 2 * i + 1)).alias("mdl"),
+            _number(F.get(cells, start + 2 * i)).alias("value"),
+            _number(F.get(cells, start + 2 * i + 1)).alias("mdl"),
         ),
     )
 

@@ -24,7 +24,9 @@ SPLIT = ["path", "block"]
 
 def plain_path(path: Column) -> Column:
     """A path as it was written, from Spark's address of a file; local ones come with one slash or with three."""
-    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    # most paths have no escape, and lines have one each
+    return F.regexp_replace(F.when(F.contains(path, F.lit("%")), decoded).otherwise(path), "^file:/+", "file:/")
 
 
 def listed_files(spark: SparkSession, path: str) -> DataFrame:

@@ -137,6 +137,15 @@ def test_names_from_medium_and_sampler_rows(sheets):
     assert plain["names"][3:] == ["tf_nitrate", "tf_nitrate_mdl", "nf_nitrate"]
 
 
+def test_rows_meet_what_is_known_of_their_file(sheets):
+    """Names are searched once for each file; the lines are neither sent to the split table nor shuffled."""
+    named = G.with_sheet_names(sheets)
+    rows = G.observations(named, "sampling_date", True, ["station"], "flag")
+    text = G.measures_long(rows, ["station", "date", "blank_code"])._jdf.queryExecution().executedPlan().toString()
+    assert "array_position" not in text and "RLIKE" not in text.upper() and "lambda" not in text
+    assert text.count("Join") == 1 and "BuildRight" in text and "hashpartitioning" not in text
+
+
 def test_first_and_last_header(spark):
     df = spark.createDataFrame([(1, "a,b\nDate,x\n1,2\ndate,y\n3,4"), (2, "a\nb"), (3, None)], "k int, t string")
     lines = L.table_lines(df, "k", "t")
