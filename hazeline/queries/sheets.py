@@ -21,6 +21,11 @@ def text(column: str):
     return F.col(column).cast("string")
 
 
+def named(*parts):
+    """One text of texts and numbers, a missing one as null; formatting every row's file name is far slower."""
+    return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("null")) for p in parts])
+
+
 def write_sheets(spark, rows, heads, name: str) -> str:
     """rows: (file, place, value) in the order of place, an array of numbers; heads: (file, lines) put above them. Returns the folder."""
     above = heads.distinct().select("file", F.posexplode("lines").alias("i", "value")).select(
@@ -64,7 +69,7 @@ def integrated_sheets(spark, sf) -> str:
         n.alias("n"), F.year("l_shipdate").alias("year"), F.when(ions, "Ions-Spec_IC").otherwise("PM2.5").alias("sheet"),
         F.array("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.col("l_extendedprice") * 100).cast("long")).alias("place"),
         F.concat_ws(",", F.concat(F.lit('"'), n.cast("string"), F.lit('"')), date, kind, values).alias("value"),
-    ).withColumn("file", F.format_string("%d_S%d_INT__%s.csv", "year", "n", "sheet"))
+    ).withColumn("file", named(F.col("year"), "_S", F.col("n"), "_INT__", F.col("sheet"), ".csv"))
     files = rows.select("file", "n", "year", "sheet").distinct()
     title, lead = F.lit("Sheet of a station,,"), "NAPS ID,Sampling Date,Sample Type,"
     plain = F.col("sheet") == "PM2.5"
@@ -75,7 +80,7 @@ def integrated_sheets(spark, sf) -> str:
     ).otherwise(F.array(
         title, F.lit("Medium,N/A,N/A,TF,TF,NF"), F.lit("Sampler,,,S-1,S-1,S-2"), F.lit(f"{lead}Nitrate,Nitrate MDL,Nitrate"),
     )).alias("lines"))
-    info = files.where("n % 3 <> 0").select(F.format_string("%d_S%d_INT__Station Info.csv", "year", "n").alias("file"), F.array(*map(F.lit, [
+    info = files.where("n % 3 <> 0").select(named(F.col("year"), "_S", F.col("n"), "_INT__Station Info.csv").alias("file"), F.array(*map(F.lit, [
         "Site,x", "Sampler # (S-1),x", "Description,Speciation sampler", "Sampler # (S-2),x", "Description,Dichotomous sampler",
     ])).alias("lines"))
     return write_sheets(spark, rows, sheets.union(info), "integrated-sheets")
@@ -121,7 +126,7 @@ def mass_sheets(spark, sf) -> str:
         F.expr("case when o_orderkey % 5 = 0 then '' else concat(o_custkey, '.0') end"), F.lit("0.125"),
     ]
     rows = table(spark, sf, "orders").select(
-        F.format_string("%d_S%d_PMDICHOT.csv", F.year("o_orderdate"), F.col("o_custkey") % 20 + 1).alias("file"),
+        named(F.year("o_orderdate"), "_S", F.col("o_custkey") % 20 + 1, "_PMDICHOT.csv").alias("file"),
         F.array("o_orderkey").alias("place"), F.concat_ws(",", *cells).alias("value"),
     )
     head = F.array(F.lit("Dichotomous sampler at Town"), F.lit("Date,C_F,Mass,Iron,Iron d_l,Odd,Odd d_l"))
@@ -197,7 +202,7 @@ def speciation_sheets(spark, sf) -> str:
     code = F.when(ft == "CARB", F.col("cart")).when(ft == "IC", F.col("media")).when(ft == "NA", F.lit("y")).otherwise(F.col("fr"))
     second = F.when(~ft.isin("NA", "WICPMS"), F.col("other"))
     rows = events.select(
-        F.format_string("%d_%s_%s.csv", F.year("date"), "station", "ft").alias("file"), "ft", "station", F.array("event_id").alias("place"),
+        named(F.year("date"), "_", F.col("station"), "_", F.col("ft"), ".csv").alias("file"), "ft", "station", F.array("event_id").alias("place"),
         F.concat_ws(",", F.date_format("date", "yyyy-MM-dd"), F.when(coded, code), "value", second, F.lit("V0")).alias("value"),
     )
     names = (

@@ -26,7 +26,9 @@ def plain_path(path: Column) -> Column:
     """A path as it was written, from Spark's address of a file; local ones come with one slash or with three."""
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     # most paths have no escape, and lines have one each
-    return F.regexp_replace(F.when(F.contains(path, F.lit("%")), decoded).otherwise(path), "^file:/+", "file:/")
+    plain = F.when(F.contains(path, F.lit("%")), decoded).otherwise(path)
+    local = F.concat(F.lit("file:/"), F.ltrim(F.substring(plain, 7, 2**31 - 1), F.lit("/")))
+    return F.when(F.startswith(plain, F.lit("file:/")), local).otherwise(plain)
 
 
 def listed_files(spark: SparkSession, path: str) -> DataFrame:
